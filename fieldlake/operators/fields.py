@@ -81,13 +81,9 @@ def authorised_requests(requests: DataFrame, users: DataFrame, wanted: str) -> D
     return requests.join(holders, "user_id", "left_semi")
 
 
-def visible_rows(rows: DataFrame, fields: DataFrame, users: DataFrame) -> DataFrame:
-    """Which rows each user may see, as one row per (user, own field row) plus a
-    mark for users who see all.
-
-    Users who see everything are not multiplied with the table: they get the
-    scope ``all`` (read the table itself), everyone else the rows of own fields.
-    """
+def own_rows(rows: DataFrame, fields: DataFrame, users: DataFrame) -> DataFrame:
+    """Rows of own fields, per user with ``view_own_data``. A field has one owner,
+    so the result is never larger than the table."""
     own = users.filter(has_permission(F.col("permissions"), "view_own_data")).select("user_id")
     owned = fields.select("field_id", "user_id").join(own, "user_id")
     return rows.join(owned, "field_id")

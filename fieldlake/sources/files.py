@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldlake.schemas import IMAGE_METADATA, SENSOR_DATA
 
 
-def readings_json(spark: SparkSession, path: str) -> DataFrame:
+def readings_json(spark: SparkSession, path: str, suffix: str = "json") -> DataFrame:
     """Cold history: JSON array files in date folders.
 
     The declared schema drops ``_id`` and reads rainfall as double. Date folders
@@ -16,7 +16,7 @@ def readings_json(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = (
         spark.read.schema(SENSOR_DATA).option("multiLine", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").json(path)
+        .option("pathGlobFilter", f"*.{suffix}").json(path)
     )
     day = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:[a-z_]+=)?(\d{8})/", 1)
     return rows.select("*", F.to_date(day, "yyyyMMdd").alias("ingest_date"))

@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fieldlake import constants as K
+from fieldlake.functions import risk as R
 from fieldlake.operators import disease as D
 from fieldlake.session import work_path
 
@@ -65,57 +67,53 @@ def threshold_archive(stream: DataFrame, base: str, threshold: int = K.ARCHIVE_T
     """
     spark = stream.sparkSession
     waiting, archive = f"{base}/waiting", f"{base}/archive"
-    state = {"first": 0, "rows": 0}
+    state = {"reached": _last_flush(spark, archive), "last": -1}
+
+    def unarchived() -> DataFrame:
+        return spark.read.schema(stored).parquet(waiting).filter(F.col("batch_id") > state["reached"])
 
     def flush(last: int) -> None:
-        rows = spark.read.parquet(waiting).filter(F.col("batch_id").between(state["first"], last))
-        rows.write.mode("overwrite").parquet(f"{archive}/flush_id={last}")
-        state.update(first=last + 1, rows=0)
+        unarchived().write.mode("overwrite").parquet(f"{archive}/flush_id={last}")
+        state["reached"] = last
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{waiting}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
-        state["rows"] += spark.read.schema(batch.schema).parquet(target).count()
+        batch.write.mode("overwrite").parquet(f"{waiting}/batch_id={batch_id}")
         state["last"] = batch_id
-        if state["rows"] >= threshold:
+        if unarchived().count() >= threshold:
             flush(batch_id)
 
+    stored = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
     drain_batches(stream, base, write)
-    if state["rows"]:
+    if state["last"] > state["reached"]:
         flush(state["last"])
     return archive
 
 
-class InfectionCourse(StatefulProcessor):
-    """Start time and latest severity per (field, disease).
+def _last_flush(spark: SparkSession, archive: str) -> int:
+    """The last batch an earlier run has archived, -1 if there was none."""
+    try:
+        return spark.read.parquet(archive).agg(F.max("flush_id")).first()[0]
+    except AnalysisException:
+        return -1
+
+
+class FirstDetection(StatefulProcessor):
+    """Adds to each row the time its (field, disease) was first detected.
 
     Rows are field-hours whose window has closed, so a key has at most one row
-    per hour and later batches only bring later hours: the first row ever seen
-    is the first detection, and no rows have to wait in state.
+    per hour, and later batches only bring later hours: the earliest hour of a
+    key's first batch is the first detection, and no rows wait in state.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("course", "start timestamp, severity double, days_active int")
+        self._started = handle.getValueState("started", "micros long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(rows)).sort_values("slot").reset_index(drop=True)
-        known = self._state.exists()
-        start = pd.Timestamp(self._state.get()[0]) if known else found["slot"].iloc[0]
-        start = start.tz_localize(None) if start.tzinfo else start
-        found["days_active"] = ((found["slot"] - start) // pd.Timedelta(days=1)).astype("int32")
-        found["status"] = "active_infection"
-        if not known:
-            found.loc[0, "status"] = "new_infection"
-        days, base = found["days_active"], found["risk"]
-        grown = base.copy()
-        for name, factor in K.GROWTH_FACTOR.items():
-            grown = grown.mask(found["progression"] == name, (base * factor ** days).clip(upper=1.0))
-        for name, step in K.GROWTH_STEP.items():
-            grown = grown.mask(found["progression"] == name, (base + step * days).clip(upper=1.0))
-        found["severity"] = grown.round(3)
-        last = found.iloc[-1]
-        self._state.update((start.to_pydatetime(), float(last["severity"]), int(last["days_active"])))
-        yield found[["field_id", "disease", "slot", "risk", "days_active", "status", "severity"]]
+        found = pd.concat(list(rows))
+        if not self._started.exists():
+            self._started.update((int(found["slot_micros"].min()),))
+        found["started_micros"] = self._started.get()[0]
+        yield found
 
     def close(self) -> None:
         pass
@@ -133,14 +131,21 @@ def infection_stream(readings: DataFrame, fields: DataFrame) -> DataFrame:
     )
     conditions = hourly.withColumn("slot", F.col("hour.start"))
     selected = D.best_rules(D.with_crop(conditions, fields)).select(
-        "field_id", "disease", "slot", "risk", "progression"
+        "field_id", "disease", "risk", "progression", F.unix_micros("slot").alias("slot_micros")
     )
-    return selected.groupBy("field_id", "disease").transformWithStateInPandas(
-        statefulProcessor=InfectionCourse(),
-        outputStructType="field_id long, disease string, slot timestamp, risk double, days_active int, "
-                         "status string, severity double",
+    started = selected.groupBy("field_id", "disease").transformWithStateInPandas(
+        statefulProcessor=FirstDetection(),
+        outputStructType="field_id long, disease string, risk double, progression string, slot_micros long, "
+                         "started_micros long",
         outputMode="append", timeMode="none",
     )
+    slot, first = F.timestamp_micros("slot_micros"), F.timestamp_micros("started_micros")
+    days = R.whole_days(first, slot)
+    return started.select(
+        "field_id", "disease", slot.alias("slot"), "risk", days.alias("days_active"),
+        F.when(slot == first, "new_infection").otherwise("active_infection").alias("status"),
+        F.round(R.severity(F.col("risk"), days, F.col("progression")), 3).alias("severity"),
+    )
 
 
 def alert_stream(records: DataFrame, fields: DataFrame) -> DataFrame:
