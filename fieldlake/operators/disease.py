@@ -137,10 +137,12 @@ def newest(rows: DataFrame, time: str, tie: list[str], n: int) -> DataFrame:
 
 
 def analytics(records: DataFrame) -> DataFrame:
-    severity = F.col("severity").cast("decimal(10,3)")
+    """Counts and severity per disease, season, zone and status. Severities are
+    summed as decimals, so the mean does not depend on the order of tasks."""
+    total = F.sum(F.col("severity").cast("decimal(10,3)")).cast("double")
     return records.groupBy("disease", "season", "climate_zone", "status").agg(
         F.count(F.lit(1)).alias("n_records"),
-        F.avg(severity).cast("double").alias("mean_severity"),
+        (total / F.count("severity")).alias("mean_severity"),
         F.max("severity").alias("max_severity"),
     )
 

@@ -63,7 +63,7 @@ def dq_length(spark, sf):
 
 
 @query("dq_expected_classes", with_views("images", f"""
-    WITH seen AS (SELECT DISTINCT CASE WHEN class_label = 'Potato___healthy' THEN 'Unknownclass' ELSE class_label END
+    , seen AS (SELECT DISTINCT CASE WHEN class_label = 'Potato___healthy' THEN 'Unknownclass' ELSE class_label END
       AS class_label FROM images), wanted AS (SELECT unnest([{CLASSES}]) AS class_label)
     SELECT class_label, 'unexpected' AS problem FROM seen WHERE class_label NOT IN (SELECT class_label FROM wanted)
     UNION ALL SELECT class_label, 'missing' FROM wanted WHERE class_label NOT IN (SELECT class_label FROM seen)"""))
@@ -93,7 +93,7 @@ def dq_split_classes(spark, sf):
 
 
 @query("dq_missing_slots", with_views("readings", """
-    WITH filled AS (SELECT DISTINCT sensor_id, time_bucket(INTERVAL 3 HOUR, "timestamp", TIMESTAMP '2000-01-01') AS slot
+    , filled AS (SELECT DISTINCT sensor_id, time_bucket(INTERVAL 3 HOUR, "timestamp", TIMESTAMP '2000-01-01') AS slot
       FROM readings), spans AS (SELECT sensor_id, date_trunc('day', min(slot)) AS a, date_trunc('day', max(slot)) AS b
       FROM filled GROUP BY 1),
     grid AS (SELECT sensor_id, CAST(unnest(range(a, b + INTERVAL 1 DAY, INTERVAL 3 HOUR)) AS TIMESTAMP) AS slot FROM spans)

@@ -106,20 +106,20 @@ def upsert_users(spark, sf):
 
 
 ABSENT = """SELECT c_custkey AS field_id, c_name AS name FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"""
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
 
 def _incoming_fields(spark, sf):
-    """Each customer sent twice; those with an order are stored already."""
+    """Each customer sent twice; those with an urgent order are stored already."""
     new = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("field_id"), F.col("c_name").alias("name"))
     both = new.withColumn("version", F.lit(1)).unionByName(
         new.select("field_id", F.lit("second").alias("name"), F.lit(2).alias("version")))
-    old = V.table(spark, sf, "orders").select(F.col("o_custkey").alias("field_id"))
-    return both, old
+    urgent = V.table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return both, urgent.select(F.col("o_custkey").alias("field_id"))
 
 
 @query("insert_if_absent", f"""{ABSENT}
-    UNION ALL SELECT DISTINCT o_custkey, 'stored' FROM orders""")
+    UNION ALL SELECT DISTINCT o_custkey, 'stored' FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def insert_if_absent(spark, sf):
     new, stored = _incoming_fields(spark, sf)
     path = work_path(spark, "fields")

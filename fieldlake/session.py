@@ -65,6 +65,17 @@ def shared_base(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.getFileStatus(place).isDirectory()
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path under the shared folder."""
     return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"

@@ -99,6 +99,6 @@ def write_json_archive(nested: DataFrame, path: str, rows_per_file: int = 50_000
         nested.select(F.date_format("timestamp", "yyyyMMdd").alias("day"),
                       F.floor(F.col("event_id") / rows_per_file).alias("batch"), record.alias("r"))
         .groupBy("day", "batch").agg(F.collect_list("r").alias("rows"))
-        .select("day", F.to_json("rows", {"pretty": "true"}).alias("value"))
+        .select("day", F.to_json("rows", {"pretty": "true", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"}).alias("value"))
     )
     arrays.write.option("maxRecordsPerFile", 1).partitionBy("day").option("compression", "none").text(path)

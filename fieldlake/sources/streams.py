@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldlake.session import is_folder
 from fieldlake.sources.domain import readings_from_events
 from fieldlake.sources.tables import table
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(
-        jvm_path).isDirectory()
-
-
 def table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
     """A table of the data folder as a stream, whether it is one file or a folder of files."""
     folder = folder.rstrip("/")
@@ -21,7 +16,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, max_files: int | N
     reader = spark.readStream.schema(table(spark, folder, name).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if _is_folder(spark, path):
+    if is_folder(spark, path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 

@@ -11,14 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fieldlake import constants as K
 from fieldlake.functions import risk as R
 from fieldlake.operators import disease as D
-from fieldlake.session import work_path
+from fieldlake.session import path_exists, work_path
 
 WATERMARK = "1 hour"
 
@@ -91,10 +90,9 @@ def threshold_archive(stream: DataFrame, base: str, threshold: int = K.ARCHIVE_T
 
 def _last_flush(spark: SparkSession, archive: str) -> int:
     """The last batch an earlier run has archived, -1 if there was none."""
-    try:
-        return spark.read.parquet(archive).agg(F.max("flush_id")).first()[0]
-    except AnalysisException:
+    if not path_exists(spark, archive):
         return -1
+    return spark.read.parquet(archive).agg(F.max("flush_id")).first()[0]
 
 
 class FirstDetection(StatefulProcessor):
