@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldlake import constants as K
 from fieldlake.functions import labels as LB
-from fieldlake.operators.ordered import ranked_by_hash
+from fieldlake.operators.ordered import cut_points
+from fieldlake.session import stored
 
 
 def raw_images(files: DataFrame) -> DataFrame:
@@ -55,24 +56,33 @@ def file_columns(files: DataFrame, root: str = "") -> DataFrame:
     })
 
 
-def split_name(rank: Column, n: Column) -> Column:
-    """Split by rank in the class: held-out = ceil(0.30 n), of it test = ceil(half).
+def held_out(n: Column) -> Column:
+    """Images of a class of n that are not for training: ceil(0.30 n); none of a single one."""
+    return F.when(n == 1, 0).otherwise(F.ceil(F.lit(K.VAL_SHARE + K.TEST_SHARE) * n))
 
-    A class of one image goes to train.
-    """
-    held = F.when(n == 1, 0).otherwise(F.ceil(F.lit(K.VAL_SHARE + K.TEST_SHARE) * n))
-    test = F.ceil(held * F.lit(K.TEST_SHARE / (K.VAL_SHARE + K.TEST_SHARE)))
-    return F.when(rank <= n - held, "train").when(rank <= n - test, "val").otherwise("test")
+
+def test_size(n: Column) -> Column:
+    """The test part of the held-out images: half of them, rounded up."""
+    return F.ceil(held_out(n) * F.lit(K.TEST_SHARE / (K.VAL_SHARE + K.TEST_SHARE)))
 
 
-def stratified_split(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED) -> DataFrame:
-    """Train, val and test per class, by rank of a seeded hash.
+def stratified_split(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED,
+                     chunk_digits: int = 3) -> DataFrame:
+    """Train, val and test per class, by rank of a seeded hash, with exact sizes.
 
-    Run it on paths and labels, before pixels are read: these rows are shuffled.
+    Only the hash at the two cut ranks of each class is looked up; rows are then
+    compared with it where they are. No row is shuffled for its label unless
+    the table of classes is too large to broadcast. ``chunk_digits`` hex digits
+    cut a class into 16**digits even pieces, whatever its share of the table.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
-    ranked = ranked_by_hash(images, "class_label", digest, key, "class_rank", "class_size")
-    return ranked.withColumn("split", split_name(F.col("class_rank"), F.col("class_size")))
+    n = F.col("total")
+    cuts = cut_points(images, "class_label", digest, key,
+                      {"_train": n - held_out(n), "_val": n - test_size(n)},
+                      chunk=F.substring(digest, 1, chunk_digits))
+    place = F.struct(digest, F.col(key))
+    split = F.when(place <= F.col("_train"), "train").when(place <= F.col("_val"), "val").otherwise("test")
+    return images.join(stored(cuts, "split-cuts"), "class_label").withColumn("split", split).drop("_train", "_val")
 
 
 def with_copies(images: DataFrame, copies: int = K.AUGMENTED_COPIES) -> DataFrame:

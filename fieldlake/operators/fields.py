@@ -97,5 +97,5 @@ def rows_for_user(rows: DataFrame, fields: DataFrame, users: DataFrame, user_id)
     sees_own = user.filter(has_permission(F.col("permissions"), "view_own_data"))
     visible = fields.select("field_id", "user_id").join(sees_own.select("user_id"), "user_id", "left_semi").select("field_id")
     everything = sees_all.agg(F.count(F.lit(1)) > 0).scalar()
-    marked = visible.distinct().withColumn("_own", F.lit(True))
+    marked = visible.withColumn("_own", F.lit(True))
     return rows.join(marked, "field_id", "left").filter(everything | F.col("_own")).drop("_own")

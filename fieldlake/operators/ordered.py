@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fieldlake.session import stored
+
 
 def with_chunk_offsets(per_chunk: DataFrame, keys: Sequence[str], chunk: str, size: str, offset: str) -> DataFrame:
     """Sum of ``size`` over the earlier chunks of a key (one row per key and chunk)."""
@@ -20,22 +22,30 @@ def with_chunk_offsets(per_chunk: DataFrame, keys: Sequence[str], chunk: str, si
     return per_chunk.withColumn(offset, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
 
 
-def ranked_by_hash(rows: DataFrame, key: str, digest: Column, tie: str, rank: str, total: str,
-                   chunk_digits: int = 3) -> DataFrame:
-    """Rank of every row inside its key, in order of (hash text, tie), and the key's row count.
+def cut_points(rows: DataFrame, key: str, order: Column, tie: str, cuts: dict[str, Column],
+               chunk: Column) -> DataFrame:
+    """For every key the (order, tie) pair at given ranks, one column per cut.
 
-    Chunks are the first hex digits of the hash: 16**digits even pieces per key,
-    whatever the key's share of the table. Three digits make 4,096 pieces.
+    ``cuts`` maps column names to a rank worked out from the key's row count
+    ``total``; ``chunk`` must follow ``order`` (a prefix of it). Rows are counted
+    per (key, chunk) on the map side; only the few chunks that hold a cut are
+    sorted, so hardly any row is shuffled.
     """
-    marked = rows.withColumn("_digest", digest).withColumn("_chunk", F.substring("_digest", 1, chunk_digits))
+    marked = rows.select(key, order.alias("_order"), F.col(tie).alias("_tie"), chunk.alias("_chunk"))
     sizes = marked.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
+    per_key = Window.partitionBy(key)
     offsets = with_chunk_offsets(sizes, [key], "_chunk", "_size", "_offset").withColumn(
-        total, F.sum("_size").over(Window.partitionBy(key))
-    )
-    inside = Window.partitionBy(key, "_chunk").orderBy("_digest", tie)
-    return (
-        marked.withColumn("_local", F.row_number().over(inside))
-        .join(offsets.drop("_size"), [key, "_chunk"])
-        .withColumn(rank, F.col("_offset") + F.col("_local"))
-        .drop("_digest", "_chunk", "_local", "_offset")
+        "total", F.sum("_size").over(per_key))
+    named = F.array(*[F.struct(F.lit(n).alias("name"), rank.cast("long").alias("rank")) for n, rank in cuts.items()])
+    wanted = offsets.withColumn("_cut", F.explode(named)).filter(
+        (F.col("_cut.rank") > F.col("_offset")) & (F.col("_cut.rank") <= F.col("_offset") + F.col("_size"))
+    ).select(key, "_chunk", F.col("_cut.name").alias("_name"), (F.col("_cut.rank") - F.col("_offset")).alias("_place"))
+    inside = Window.partitionBy(key, "_chunk", "_name").orderBy("_order", "_tie")
+    found = (
+        marked.join(stored(wanted, "cuts"), [key, "_chunk"])
+        .withColumn("_row", F.row_number().over(inside))
+        .filter(F.col("_row") == F.col("_place"))
+        .withColumn("_pair", F.struct("_order", "_tie"))
     )
+    return found.groupBy(key).agg(
+        *[F.max(F.when(F.col("_name") == name, F.col("_pair"))).alias(name) for name in cuts])

@@ -70,7 +70,7 @@ def name_clashes(images: DataFrame) -> DataFrame:
     """Output names that two or more inputs would share: same class, same stem."""
     return (
         images.groupBy("class_label", LB.stem(LB.path_part(F.col("path"), 1)).alias("stem"))
-        .agg(F.count(F.lit(1)).alias("n_inputs"), F.min("path").alias("first_path"))
+        .agg(F.count(F.lit(1)).alias("n_inputs"))
         .filter(F.col("n_inputs") > 1)
     )
 

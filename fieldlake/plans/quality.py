@@ -73,7 +73,7 @@ def dq_expected_classes(spark, sf):
 
 
 @query("dq_duplicate_paths", with_views("images", """
-    SELECT class_label, stem, count(*) AS n_inputs, min(path) AS first_path FROM (
+    SELECT class_label, stem, count(*) AS n_inputs FROM (
       SELECT class_label, path, split_part(filename, '.', 1) AS stem FROM images
       UNION ALL SELECT class_label, path || '.bmp', filename FROM images WHERE image_id % 3 = 0
       UNION ALL SELECT class_label, replace(path, '.', '0.'), split_part(filename, '.', 1) || '0' FROM images)

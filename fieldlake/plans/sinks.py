@@ -198,8 +198,7 @@ def sink_manifest(spark, sf):
 def prepared_images(spark, sf, size: int = 16):
     """Split, resize, copy and change the pixel images: the whole preparation chain."""
     images = V.pixel_images(spark, sf, "colour")
-    split = DS.stratified_split(images.select("image_id", "class_label"))
-    sized = IM.resize(images.drop("class_label").join(split, "image_id"), size, size)
+    sized = IM.resize(DS.stratified_split(images), size, size)
     drawn = DS.augmentation_draws(DS.with_copies(sized), "image_id")
     name = F.concat("image.origin", "suffix", F.lit(".jpg"))
     return IM.apply_augmentation(drawn).withColumn("name", name)

@@ -14,10 +14,10 @@ def infection_progress(spark, sf):
 
 
 @query("stratified_split", with_views("split", """
-    SELECT image_id, class_label, class_rank, class_size, split FROM split"""))
+    SELECT image_id, class_label, split FROM split"""))
 def stratified_split(spark, sf):
     images = V.images(spark, sf).select("image_id", "class_label")
-    return DS.stratified_split(images).select("image_id", "class_label", "class_rank", "class_size", "split")
+    return DS.stratified_split(images)
 
 
 @query("latest_per_sensor", with_views("readings", """

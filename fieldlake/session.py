@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle width is left to the cluster: AQE
 # coalesces small partitions and splits skewed ones at run time.
@@ -65,6 +65,17 @@ def shared_base(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a reduced table to the shared folder and read it back.
+
+    Cuts the lineage, and gives Catalyst the true size: it broadcasts the table
+    when that is under the threshold, and shuffles otherwise.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)

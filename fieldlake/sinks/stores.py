@@ -16,14 +16,17 @@ def append_hot(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def append_cold(rows: DataFrame, path: str, ingest_date) -> None:
+def append_cold(rows: DataFrame, path: str, ingest_date, seen: Observation | None = None) -> None:
     """Append to the cold layout data_type=/ingest_date=.
 
     The rebalance hint lets AQE size the files: small partitions are merged, a
-    type or day with most of the rows is split over many tasks.
+    type or day with most of the rows is split over many tasks. Rows are
+    counted after it, in the writing stage, where a retried task counts once.
     """
-    dated = rows.withColumn("ingest_date", ingest_date)
-    dated.hint("rebalance", "data_type", "ingest_date").write.mode("append").partitionBy(
+    sized = rows.withColumn("ingest_date", ingest_date).hint("rebalance", "data_type", "ingest_date")
+    if seen is not None:
+        sized = sized.observe(seen, F.count(F.lit(1)).alias("n"))
+    sized.write.mode("append").partitionBy(
         "data_type", "ingest_date").parquet(path)
 
 
@@ -47,9 +50,8 @@ def append_logged(rows: DataFrame, kind: str, path: str, log_path: str, ingest_d
     """Cold append plus one log row with the true outcome. The count is taken
     while writing, so the rows are not read twice; nothing is logged for no rows."""
     seen = Observation()
-    counted = rows.withColumn("data_type", F.lit(kind)).observe(seen, F.count(F.lit(1)).alias("n"))
     try:
-        append_cold(counted, path, ingest_date)
+        append_cold(rows.withColumn("data_type", F.lit(kind)), path, ingest_date, seen)
     except Exception:
         _log(rows.sparkSession, log_path, kind, 0, "failed")
         raise

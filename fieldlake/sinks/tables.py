@@ -34,7 +34,7 @@ def absent_rows(new: DataFrame, old: DataFrame, key: str, tie: str) -> DataFrame
     """New rows whose key is not stored yet; of equal new keys the first stays."""
     order = Window.partitionBy(key).orderBy(tie)
     first = new.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n")
-    return first.join(old.select(key), key, "left_anti")
+    return first.join(old.select(key).distinct(), key, "left_anti")
 
 
 class JobRun:

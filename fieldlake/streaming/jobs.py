@@ -41,18 +41,18 @@ def drain_batches(stream: DataFrame, base: str, write: Callable[[DataFrame, int]
 
 
 def hot_and_cold(stream: DataFrame, base: str) -> tuple[str, str]:
-    """Every micro-batch to the hot table and to the cold archive, by batch id."""
+    """Every micro-batch to the hot table and to the cold archive, by batch id.
+
+    The batch is read twice rather than cached: reading a file again is cheaper
+    than keeping a large batch on the executors, and survives their loss.
+    """
     hot, cold = f"{base}/hot", f"{base}/cold"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            kept.write.mode("overwrite").parquet(f"{hot}/batch_id={batch_id}")
-            dated = kept.withColumn("ingest_date", F.to_date("timestamp"))
-            dated.hint("rebalance", "ingest_date").write.mode("overwrite").option(
-                "partitionOverwriteMode", "static").partitionBy("ingest_date").parquet(f"{cold}/batch_id={batch_id}")
-        finally:
-            kept.unpersist()
+        batch.write.mode("overwrite").parquet(f"{hot}/batch_id={batch_id}")
+        dated = batch.withColumn("ingest_date", F.to_date("timestamp"))
+        dated.hint("rebalance", "ingest_date").write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("ingest_date").parquet(f"{cold}/batch_id={batch_id}")
 
     drain_batches(stream, base, write)
     return hot, cold
