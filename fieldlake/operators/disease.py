@@ -39,7 +39,11 @@ def field_conditions(readings: DataFrame, time="slot") -> DataFrame:
 
 
 def readings_with_weather(readings: DataFrame, weather: DataFrame) -> DataFrame:
-    """Every reading with the weather of its field at the same time (exact equi key)."""
+    """Every reading with the weather of its field at the same time (exact equi key).
+
+    Pass the stored weather table rather than an aggregation: then both join
+    sides are plain shuffles, and AQE can split a hot field and time.
+    """
     context = [c for c in weather.columns if c not in ("field_id", "slot")]
     packed = weather.select("field_id", "slot", F.struct(*context).alias("weather_context"))
     return readings.join(packed, ["field_id", "slot"])

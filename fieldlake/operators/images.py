@@ -53,13 +53,16 @@ def pixel_stats(images: DataFrame, digits: int = 4) -> DataFrame:
     }).drop("_m")
 
 
-def channel_stats(images: DataFrame, digits: int = 4) -> DataFrame:
-    """Mean and deviation per colour, of three-channel images only. No shuffle."""
+def channel_stats(images: DataFrame, digits: int = 4, names=CHANNEL_NAMES) -> DataFrame:
+    """Mean and deviation per colour, of three-channel images only. No shuffle.
+
+    ``names`` gives the stored channel order.
+    """
     colour = images.filter(F.col("image.nChannels") == 3).withColumn(
         "_c", P.channel_moments("image.data", "image.nChannels")
     )
     columns = {}
-    for position, name in enumerate(CHANNEL_NAMES):
+    for position, name in enumerate(names):
         columns[f"{name}_mean"] = F.round(_mean(F.col("_c")[position]), digits)
         columns[f"{name}_std"] = F.round(_std(F.col("_c")[position]), digits)
     return colour.withColumns(columns).drop("_c")
@@ -89,6 +92,13 @@ def to_rgb(images: DataFrame) -> DataFrame:
     return images.withColumn("rgb", P.rgb("image.data", "image.nChannels"))
 
 
+def as_rgb(images: DataFrame) -> DataFrame:
+    """The image struct itself with three channels in R, G, B order."""
+    rgb = P.rgb("image.data", "image.nChannels")
+    image = F.col("image").withField("data", rgb).withField("nChannels", F.lit(3))
+    return images.withColumn("image", image)
+
+
 def _replace(images: DataFrame, data: Column, height=None, width=None) -> DataFrame:
     image = F.col("image").withField("data", data)
     if height is not None:

@@ -69,9 +69,10 @@ def rain_spells(readings: DataFrame, chunk: str = "hour", time: str = "timestamp
     third of all readings is spread over its chunks; pieces of a run that
     crosses a chunk border share the name and meet in the last aggregation.
     """
-    wet = F.col("rainfall") > 0
+    wet = F.coalesce(F.col("rainfall") > 0, F.lit(False))
     marked = readings.select("sensor_id", time, tie, "rainfall").withColumn("_chunk", F.date_trunc(chunk, time))
-    inside = Window.partitionBy("sensor_id", "_chunk").orderBy(time, tie)
+    inside = Window.partitionBy("sensor_id", "_chunk").orderBy(time, tie).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     numbered = marked.withColumn("_dry", F.sum(F.when(wet, 0).otherwise(1)).over(inside))
     pieces = numbered.filter(wet).groupBy("sensor_id", "_chunk", "_dry").agg(
         F.min(time).alias("start"), F.max(time).alias("end"), F.count(F.lit(1)).alias("n"),

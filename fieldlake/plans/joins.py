@@ -7,6 +7,7 @@ from fieldlake.operators import dataset as DS, disease as D, fields as FL
 from fieldlake.plans.registry import query
 from fieldlake.plans.scalars import conditions, requests
 from fieldlake.plans.views import with_views
+from fieldlake.session import stored
 from fieldlake.sources import domain as V
 
 
@@ -23,7 +24,7 @@ def join_fields_sensors(spark, sf):
     JOIN weather w ON w.field_id = r.field_id AND w.slot = r.slot"""))
 def join_readings_weather(spark, sf):
     rows = V.readings(spark, sf).select("event_id", "field_id", "slot")
-    return D.readings_with_weather(rows, V.weather(spark, sf)).select(
+    return D.readings_with_weather(rows, stored(V.weather(spark, sf), "weather")).select(
         "event_id", "field_id", "slot", "weather_context.*")
 
 

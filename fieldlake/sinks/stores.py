@@ -46,9 +46,12 @@ def _log(spark, path: str, kind: str, count: int, status: str) -> None:
     spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def append_logged(rows: DataFrame, kind: str, path: str, log_path: str, ingest_date) -> None:
-    """Cold append plus one log row with the true outcome. The count is taken
-    while writing, so the rows are not read twice; nothing is logged for no rows."""
+def append_logged(rows: DataFrame, kind: str, path: str, log_path: str, ingest_date) -> int:
+    """Cold append plus one log row with the true outcome; returns the row count.
+
+    The count is taken while writing, so the rows are not read twice; nothing
+    is logged for no rows.
+    """
     seen = Observation()
     try:
         append_cold(rows.withColumn("data_type", F.lit(kind)), path, ingest_date, seen)
@@ -57,6 +60,7 @@ def append_logged(rows: DataFrame, kind: str, path: str, log_path: str, ingest_d
         raise
     if seen.get["n"]:
         _log(rows.sparkSession, log_path, kind, seen.get["n"], "stored")
+    return seen.get["n"]
 
 
 def route(rows: DataFrame, hot: str, cold: str, log_path: str, ingest_date) -> None:
