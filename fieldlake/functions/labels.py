@@ -39,6 +39,11 @@ def path_part(path: Column, from_end: int) -> Column:
     return F.try_element_at(parts, F.lit(-from_end))
 
 
+def plain_path(path: Column) -> Column:
+    """Path without its scheme: sources spell local files file:/ or file:///."""
+    return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
+
+
 def suffix(name: Column) -> Column:
     """Text after the last dot, as written."""
     return F.regexp_extract(name, r"\.([^.]+)$", 1)

@@ -66,23 +66,36 @@ def test_size(n: Column) -> Column:
     return F.ceil(held_out(n) * F.lit(K.TEST_SHARE / (K.VAL_SHARE + K.TEST_SHARE)))
 
 
-def stratified_split(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED,
-                     chunk_digits: int = 3) -> DataFrame:
-    """Train, val and test per class, by rank of a seeded hash, with exact sizes.
+def _split_hash(key: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+
 
-    Only the hash at the two cut ranks of each class is looked up; rows are then
-    compared with it where they are. No row is shuffled for its label unless
-    the table of classes is too large to broadcast. ``chunk_digits`` hex digits
-    cut a class into 16**digits even pieces, whatever its share of the table.
+def split_cuts(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED, chunk_digits: int = 3) -> DataFrame:
+    """The hash at the two cut ranks of each class: one row per class, stored.
+
+    Reads keys and labels only. ``chunk_digits`` hex digits cut a class into
+    16**digits even pieces, whatever its share of the table.
     """
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
-    n = F.col("total")
+    digest, n = _split_hash(key, seed), F.col("total")
     cuts = cut_points(images, "class_label", digest, key,
                       {"_train": n - held_out(n), "_val": n - test_size(n)},
                       chunk=F.substring(digest, 1, chunk_digits))
-    place = F.struct(digest, F.col(key))
+    return stored(cuts, "split-cuts")
+
+
+def with_split(images: DataFrame, cuts: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED) -> DataFrame:
+    """Rows labelled by comparing their hash with the cuts of their class, where
+    they are: nothing is shuffled unless the table of classes is too large to
+    broadcast."""
+    place = F.struct(_split_hash(key, seed), F.col(key))
     split = F.when(place <= F.col("_train"), "train").when(place <= F.col("_val"), "val").otherwise("test")
-    return images.join(stored(cuts, "split-cuts"), "class_label").withColumn("split", split).drop("_train", "_val")
+    return images.join(cuts, "class_label").withColumn("split", split).drop("_train", "_val")
+
+
+def stratified_split(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED,
+                     chunk_digits: int = 3) -> DataFrame:
+    """Train, val and test per class, by rank of a seeded hash, with exact sizes."""
+    return with_split(images, split_cuts(images, key, seed, chunk_digits), key, seed)
 
 
 def with_copies(images: DataFrame, copies: int = K.AUGMENTED_COPIES) -> DataFrame:

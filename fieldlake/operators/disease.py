@@ -124,7 +124,7 @@ def disease_records(readings: DataFrame, fields: DataFrame) -> DataFrame:
 
 def alerts(records: DataFrame, fields: DataFrame) -> DataFrame:
     names = fields.select("field_id", "name")
-    words = F.replace(F.regexp_replace("disease", "^[^_]*_+", ""), F.lit("_"), F.lit(" "))
+    words = F.regexp_replace(F.regexp_replace("disease", "^[^_]*_+", ""), "_+", " ")
     return records.join(names, "field_id").select(
         F.col("detection_date").alias("created_at"), "status", "field_id",
         F.format_string("%s risk detected in %s", words, F.col("name")).alias("message"),

@@ -199,7 +199,7 @@ def sort_metadata(spark, sf):
 
 @query("newest_alerts", with_views("records fields", """
     SELECT r.detection_date AS created_at, r.status, r.field_id,
-    replace(regexp_replace(r.disease, '^[^_]*_+', ''), '_', ' ') || ' risk detected in ' || f.name AS message
+    regexp_replace(regexp_replace(r.disease, '^[^_]*_+', ''), '_+', ' ', 'g') || ' risk detected in ' || f.name AS message
     FROM records r JOIN fields f ON f.field_id = r.field_id ORDER BY created_at DESC, r.field_id, message LIMIT 20"""))
 def newest_alerts(spark, sf):
     fields = V.fields(spark, sf)

@@ -51,17 +51,16 @@ def prepare_images(spark: SparkSession, raw: str, out: str, name: str, size=K.TA
     """Raw image tree to a split, resized and augmented pixel table with manifest,
     metadata and summaries.
 
-    Paths are split first; pixels are decoded once, changed in their task, and
-    only shuffled to size the output files.
+    The split is worked out on paths alone; pixels are decoded once, labelled
+    and changed in their task, and only shuffled to size the output files.
     """
     paths = DS.raw_images(FS.image_files(spark, raw))
     if paths.isEmpty():
         raise ValueError(f"no images under {raw}")
-    SD.write_manifest(DS.stratified_split(paths, key="path"), f"{out}/manifest")
-    pixels = DS.raw_images(FS.decoded_images(spark, raw).withColumn("path", F.col("image.origin")))
-    valid = IM.as_rgb(IM.valid_images(pixels, skip_corrupted))
-    split = spark.read.parquet(f"{out}/manifest")
-    placed = IM.resize(valid.drop("class_label").join(split, "path"), *size)
+    cuts = DS.split_cuts(paths, key="path")
+    SD.write_manifest(DS.with_split(paths, cuts, key="path"), f"{out}/manifest")
+    pixels = IM.valid_images(DS.raw_images(FS.decoded_images(spark, raw)), skip_corrupted)
+    placed = IM.resize(IM.as_rgb(DS.with_split(pixels, cuts, key="path")), *size)
     drawn = DS.augmentation_draws(DS.with_copies(placed, copies), "path")
     named = IM.apply_augmentation(drawn).withColumns({
         "name": DS.output_name(F.col("path"), F.col("suffix")), "image_id": F.col("path")})

@@ -37,7 +37,7 @@ def stream_infection_state(spark, sf):
 
 @query("stream_alerts", with_views("records fields", """
     SELECT r.detection_date AS created_at, r.status, r.field_id,
-    replace(regexp_replace(r.disease, '^[^_]*_+', ''), '_', ' ') || ' risk detected in ' || f.name AS message
+    regexp_replace(regexp_replace(r.disease, '^[^_]*_+', ''), '_+', ' ', 'g') || ' risk detected in ' || f.name AS message
     FROM records r JOIN fields f ON f.field_id = r.field_id"""))
 def stream_alerts(spark, sf):
     stored, fields = work_path(spark, "records"), V.fields(spark, sf)

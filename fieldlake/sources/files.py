@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldlake.functions.labels import plain_path
 from fieldlake.schemas import IMAGE_METADATA, SENSOR_DATA
 
 
@@ -29,12 +30,11 @@ def metadata_csv(spark: SparkSession, path: str) -> DataFrame:
 def image_files(spark: SparkSession, path: str, contents: bool = False) -> DataFrame:
     """All files below a folder; bytes are read only when asked for (column pruning)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    columns = ["path", F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("modified_at")]
+    columns = [plain_path(F.col("path")).alias("path"), F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("modified_at")]
     return files.select(*columns, *(["content"] if contents else []))
 
 
 def decoded_images(spark: SparkSession, path: str) -> DataFrame:
     """Pixels in BGR order; files that do not decode are kept with height -1."""
-    return (
-        spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
-    )
+    images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
+    return images.withColumn("path", plain_path(F.col("image.origin")))
