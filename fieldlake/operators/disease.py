@@ -79,10 +79,8 @@ def best_rules(conditions: DataFrame) -> DataFrame:
 
     Row-local (see ``functions.risk.best_rule``): neither join nor shuffle.
     """
-    winner = R.best_rule(*[F.col(c) for c in
-                           ("crop_type", "temperature", "humidity", "rainfall", "soil_moisture")])
     return (
-        conditions.withColumn("_best", winner)
+        conditions.withColumn("_best", R.best_rule())
         .filter(F.col("_best").isNotNull())
         .withColumns({c: F.col(f"_best.{c}") for c in ("disease", "risk", "progression")})
         .drop("_best")

@@ -55,7 +55,7 @@ def test_best_rule_on_all_bounds(spark):
         ["tomato", "Potato", "pepper", "mixed"], [14.9, 15.0, 20.0, 22.0, 25.0, 30.0, 32.1], [29.0, 30.0, 70.0, 85.0, 100.0],
         [0.0, 1.9, 2.0, 5.0, 10.0], [None, 30.0, 50.0, 70.0, 90.1]))
     df = spark.createDataFrame(cases, "crop string, t double, h double, r double, m double").coalesce(1)
-    best = R.best_rule(*[F.col(c) for c in ("crop", "t", "h", "r", "m")])
+    best = R.best_rule("crop", "t", "h", "r", "m")
     got = column(df, best)
     for case, row in zip(cases, got):
         wanted = brute_force(*case)
@@ -65,11 +65,11 @@ def test_best_rule_on_all_bounds(spark):
 def test_two_weak_matches_do_not_fire(spark):
     df = spark.range(1).select(F.lit("pepper").alias("c"), F.lit(27.0).alias("t"), F.lit(90.0).alias("h"),
                                F.lit(0.0).alias("r"), F.lit(10.0).alias("m"))
-    assert column(df, R.best_rule(*[F.col(c) for c in "cthrm"])) == [None]
+    assert column(df, R.best_rule(*"cthrm")) == [None]
 
 
 def test_tie_goes_to_the_first_rule(spark):
-    both = R.best_rule(F.lit("potato"), F.lit(21.0), F.lit(90.0), F.lit(12.0), F.lit(75.0))
+    both = R.best_rule("'potato'", "21D", "90D", "12D", "75D")
     assert column(spark.range(1), both)[0]["disease"] == "Potato___Early_blight"
 
 
