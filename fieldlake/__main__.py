@@ -1,7 +1,7 @@
 """Command line: spark-submit -m style entry to the end-to-end jobs.
 
     python -m fieldlake history TABLES OUT --requester 0 [--owner 16] [--no-diseases]
-    python -m fieldlake stream  TABLES OUT [--owner 16]
+    python -m fieldlake stream  TABLES OUT [--owner 16] [--interval 60]
     python -m fieldlake images  RAW OUT [--name leaf-images]
 """
 
@@ -24,6 +24,7 @@ def main() -> None:
     history.add_argument("--requester", type=int, required=True)
     history.add_argument("--no-diseases", action="store_true")
     stream = commands.add_parser("stream", help="drain live readings into hot and cold tables")
+    stream.add_argument("--interval", type=int, help="seconds between batches; once over everything if left out")
     for command in (history, stream):
         command.add_argument("tables")
         command.add_argument("out")
@@ -43,7 +44,7 @@ def main() -> None:
                           args.requester, args.out, args.owner, not args.no_diseases)
     else:
         pipelines.live(streams.readings_stream(spark, args.tables), domain.fields(spark, args.tables),
-                       args.out, args.owner)
+                       args.out, args.owner, args.interval)
 
 
 if __name__ == "__main__":

@@ -22,6 +22,27 @@ def with_chunk_offsets(per_chunk: DataFrame, keys: Sequence[str], chunk: str, si
     return per_chunk.withColumn(offset, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
 
 
+def hot_spans(rows: DataFrame, key: str, time: str, rows_per_chunk: int) -> DataFrame:
+    """Keys with more than ``rows_per_chunk`` rows: first time and chunk width in microseconds.
+
+    At most rows / rows_per_chunk keys can be hot, so the table is small; it is
+    stored, and Catalyst broadcasts it when its size allows.
+    """
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    spans = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_first"), F.max(micros).alias("_last"))
+    width = F.floor((F.col("_last") - F.col("_first")) / F.ceil(F.col("_n") / rows_per_chunk)) + 1
+    hot = spans.filter((F.col("_n") > rows_per_chunk) & F.col(key).isNotNull())
+    return stored(hot.select(key, "_first", width.alias("_width")), "hot-keys")
+
+
+def with_time_chunk(rows: DataFrame, spans: DataFrame, key: str, time: str, how: str = "left") -> DataFrame:
+    """Number of the time chunk of each row; 0 for all rows of a key that is not hot."""
+    since = F.unix_micros(F.col(time).cast("timestamp")) - F.col("_first")
+    chunk = F.coalesce(F.floor(since / F.col("_width")), F.lit(0))
+    return rows.join(spans, key, how).withColumn("_chunk", chunk).drop("_first", "_width")
+
+
 def cut_points(rows: DataFrame, key: str, order: Column, tie: str, cuts: dict[str, Column],
                chunk: Column) -> DataFrame:
     """For every key the (order, tie) pair at given ranks, one column per cut.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fieldlake import constants as K
-from fieldlake.operators.ordered import with_chunk_offsets
+from fieldlake.operators.ordered import hot_spans, with_chunk_offsets, with_time_chunk
 
 
 def dedupe(readings: DataFrame, keys=("sensor_id", "timestamp"), tie: str = "event_id") -> DataFrame:
@@ -61,28 +61,32 @@ def missing_slots(readings: DataFrame, hours: int = K.SLOT_HOURS) -> DataFrame:
     return grid.join(filled, ["sensor_id", "slot"], "left_anti")
 
 
-def rain_spells(readings: DataFrame, chunk: str = "hour", time: str = "timestamp", tie: str = "event_id") -> DataFrame:
+def rain_spells(readings: DataFrame, rows_per_chunk: int = 1_000_000, time: str = "timestamp",
+                tie: str = "event_id") -> DataFrame:
     """Runs of consecutive wet readings per sensor: start, end, length, total, peak.
 
-    A run is named by the number of dry readings before it. Those are counted
-    per (sensor, chunk of time) and added up over chunks, so a sensor with a
-    third of all readings is spread over its chunks; pieces of a run that
+    A run is named by the number of dry readings before it. A sensor with more
+    than ``rows_per_chunk`` readings is counted in time chunks of about that
+    size, and the counts of earlier chunks are added; pieces of a run that
     crosses a chunk border share the name and meet in the last aggregation.
     """
     wet = F.coalesce(F.col("rainfall") > 0, F.lit(False))
-    marked = readings.select("sensor_id", time, tie, "rainfall").withColumn("_chunk", F.date_trunc(chunk, time))
+    narrow = readings.select("sensor_id", time, tie, "rainfall")
+    spans = hot_spans(readings, "sensor_id", time, rows_per_chunk)
     inside = Window.partitionBy("sensor_id", "_chunk").orderBy(time, tie).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    numbered = marked.withColumn("_dry", F.sum(F.when(wet, 0).otherwise(1)).over(inside))
+    numbered = with_time_chunk(narrow, spans, "sensor_id", time).withColumn(
+        "_dry", F.sum(F.when(wet, 0).otherwise(1)).over(inside))
     pieces = numbered.filter(wet).groupBy("sensor_id", "_chunk", "_dry").agg(
         F.min(time).alias("start"), F.max(time).alias("end"), F.count(F.lit(1)).alias("n"),
         F.sum(F.col("rainfall").cast("decimal(18,3)")).alias("total"), F.max("rainfall").alias("peak"),
     )
-    dry_per_chunk = marked.groupBy("sensor_id", "_chunk").agg(F.count_if(~wet).alias("_size"))
+    dry_per_chunk = with_time_chunk(narrow, spans, "sensor_id", time, "inner").groupBy("sensor_id", "_chunk").agg(
+        F.count_if(~wet).alias("_size"))
     offsets = with_chunk_offsets(dry_per_chunk, ["sensor_id"], "_chunk", "_size", "_offset").drop("_size")
     return (
-        pieces.join(offsets, ["sensor_id", "_chunk"])
-        .groupBy("sensor_id", (F.col("_offset") + F.col("_dry")).alias("dry_before"))
+        pieces.join(offsets, ["sensor_id", "_chunk"], "left")
+        .groupBy("sensor_id", (F.coalesce("_offset", F.lit(0)) + F.col("_dry")).alias("dry_before"))
         .agg(
             F.min("start").alias("spell_start"), F.max("end").alias("spell_end"),
             F.sum("n").alias("n_readings"), F.sum("total").cast("double").alias("total_rainfall"),

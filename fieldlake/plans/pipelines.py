@@ -41,9 +41,10 @@ def history(readings: DataFrame, fields: DataFrame, users: DataFrame, requester,
         D.fertiliser_advice(own).write.mode("overwrite").parquet(f"{out}/recommendations")
 
 
-def live(readings: DataFrame, fields: DataFrame, out: str, owner=None) -> tuple[str, str]:
+def live(readings: DataFrame, fields: DataFrame, out: str, owner=None,
+         interval: int | None = None) -> tuple[str, str]:
     """Live readings of an owner's active fields into the hot table and the cold archive."""
-    return J.hot_and_cold(readings_of(readings, fields, owner), out)
+    return J.hot_and_cold(readings_of(readings, fields, owner), out, interval)
 
 
 def prepare_images(spark: SparkSession, raw: str, out: str, name: str, size=K.TARGET_SIZE,

@@ -33,14 +33,17 @@ def drain_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFr
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
-def drain_batches(stream: DataFrame, base: str, write: Callable[[DataFrame, int], None]) -> None:
+def drain_batches(stream: DataFrame, base: str, write: Callable[[DataFrame, int], None],
+                  interval: int | None = None) -> None:
+    """Run ``write`` on every batch: over what is available, or every ``interval`` seconds until stopped."""
+    trigger = {"processingTime": f"{interval} seconds"} if interval else {"availableNow": True}
     (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start().awaitTermination()
+        .trigger(**trigger).start().awaitTermination()
     )
 
 
-def hot_and_cold(stream: DataFrame, base: str) -> tuple[str, str]:
+def hot_and_cold(stream: DataFrame, base: str, interval: int | None = None) -> tuple[str, str]:
     """Every micro-batch to the hot table and to the cold archive, by batch id.
 
     The batch is read twice rather than cached: reading a file again is cheaper
@@ -54,7 +57,7 @@ def hot_and_cold(stream: DataFrame, base: str) -> tuple[str, str]:
         dated.hint("rebalance", "ingest_date").write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy("ingest_date").parquet(f"{cold}/batch_id={batch_id}")
 
-    drain_batches(stream, base, write)
+    drain_batches(stream, base, write, interval)
     return hot, cold
 
 

@@ -38,8 +38,8 @@ def brute_spells(rows):
     return sorted(tuple(s) for s in spells)
 
 
-@pytest.mark.parametrize("chunk", ["minute", "hour", "day"])
-def test_rain_spells_equal_brute_force_with_a_hot_sensor(spark, chunk):
+@pytest.mark.parametrize("rows_per_chunk", [20, 300, 1_000_000])
+def test_rain_spells_equal_brute_force_with_a_hot_sensor(spark, rows_per_chunk):
     """One sensor holds most rows; runs cross chunk borders and midnight; some rain is missing."""
     rng = random.Random(5)
     rows = []
@@ -47,7 +47,7 @@ def test_rain_spells_equal_brute_force_with_a_hot_sensor(spark, chunk):
         sensor = 1 if rng.random() < 0.6 else rng.randint(2, 9)
         ts = T0 + timedelta(minutes=rng.randint(0, 3 * 24 * 60))
         rows.append((i, sensor, ts, rng.choice([0.0, 0.0, 1.5, 2.25, 7.0, None])))
-    got = TL.rain_spells(rain_table(spark, rows), chunk=chunk).select(
+    got = TL.rain_spells(rain_table(spark, rows), rows_per_chunk=rows_per_chunk).select(
         "sensor_id", "spell_start", "spell_end", "n_readings", "peak_rainfall").collect()
     assert sorted(tuple(r) for r in got) == brute_spells(rows)
 
