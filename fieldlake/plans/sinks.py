@@ -11,7 +11,9 @@ from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
 from fieldlake.sources import domain as V, files as FS, streams as SR
 from fieldlake.streaming import jobs as J
 
-EVENT_DAY = F.to_date("timestamp")
+def event_day():
+    return F.to_date("timestamp")
+
 TYPE_SQL = """CASE WHEN event_id % 10 < 6 THEN 'realtime' WHEN event_id % 10 < 8 THEN 'historical'
     WHEN event_id % 10 = 8 THEN 'ml_training' ELSE 'other' END"""
 
@@ -29,7 +31,7 @@ def typed_readings(spark, sf):
     UNION ALL SELECT event_id, 'cold', {TYPE_SQL} FROM readings WHERE event_id % 10 BETWEEN 6 AND 8"""))
 def route_hot_cold(spark, sf):
     base = work_path(spark, "route")
-    ST.route(typed_readings(spark, sf), f"{base}/hot", f"{base}/cold", f"{base}/log", EVENT_DAY)
+    ST.route(typed_readings(spark, sf), f"{base}/hot", f"{base}/cold", f"{base}/log", event_day())
     columns = ["event_id", "store", "data_type"]
     hot = spark.read.parquet(f"{base}/hot").withColumn("store", F.lit("hot")).select(columns)
     return hot.unionByName(spark.read.parquet(f"{base}/cold").withColumn("store", F.lit("cold")).select(columns))
@@ -47,7 +49,7 @@ def sink_hot_append(spark, sf):
     CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS ingest_date FROM readings"""))
 def sink_cold_partitioned(spark, sf):
     path = work_path(spark, "cold")
-    ST.append_cold(typed_readings(spark, sf), path, EVENT_DAY)
+    ST.append_cold(typed_readings(spark, sf), path, event_day())
     return spark.read.parquet(path).select(
         "event_id", "sensor_id", "moisture", "data_type", F.col("ingest_date").cast("string"))
 
@@ -72,7 +74,7 @@ def sink_generation_log(spark, sf):
     base = work_path(spark, "generation")
     rows = typed_readings(spark, sf)
     for kind in ST.COLD_TYPES:
-        ST.append_logged(rows.filter(F.col("data_type") == kind), kind, f"{base}/cold", f"{base}/log", EVENT_DAY)
+        ST.append_logged(rows.filter(F.col("data_type") == kind), kind, f"{base}/cold", f"{base}/log", event_day())
     return spark.read.parquet(f"{base}/log").select("type", "record_count", "status")
 
 

@@ -1,6 +1,9 @@
 """Shapes of physical plans that scale depends on."""
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -59,3 +62,9 @@ def test_filters_reach_the_scan(spark, small):
 def test_every_check_has_its_job():
     assert set(oracle_sql()) <= set(queries())
     assert set(queries()) - set(oracle_sql()) == {"resize_pixels", "rotate", "sink_processed_images"}
+
+
+def test_queries_load_without_a_session():
+    """The registry builds no column at import time, so it can be listed before Spark starts."""
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
