@@ -32,7 +32,8 @@ def history(readings: DataFrame, fields: DataFrame, users: DataFrame, requester,
     own = readings_of(readings, fields, owner)
     with TS.ledgered(spark, f"{out}/batch_jobs", "history") as run:
         run.records = ST.append_logged(
-            own, "ml_training", f"{out}/cold", f"{out}/data_generation_logs", F.to_date("timestamp"))
+            own.withColumn("data_type", F.lit("ml_training")), ["ml_training"], f"{out}/cold",
+            f"{out}/data_generation_logs", F.to_date("timestamp"))["ml_training"]
         if include_diseases:
             D.disease_records(own, fields).write.mode("append").parquet(f"{out}/disease_records")
             records = spark.read.parquet(f"{out}/disease_records")

@@ -73,8 +73,8 @@ def sink_fallback(spark, sf):
 def sink_generation_log(spark, sf):
     base = work_path(spark, "generation")
     rows = typed_readings(spark, sf)
-    for kind in ST.COLD_TYPES:
-        ST.append_logged(rows.filter(F.col("data_type") == kind), kind, f"{base}/cold", f"{base}/log", event_day())
+    cold = rows.filter(F.col("data_type").isin(ST.COLD_TYPES))
+    ST.append_logged(cold, ST.COLD_TYPES, f"{base}/cold", f"{base}/log", event_day())
     return spark.read.parquet(f"{base}/log").select("type", "record_count", "status")
 
 

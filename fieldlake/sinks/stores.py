@@ -16,18 +16,18 @@ def append_hot(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def append_cold(rows: DataFrame, path: str, ingest_date, seen: Observation | None = None) -> None:
+def append_cold(rows: DataFrame, path: str, ingest_date, seen: Observation | None = None, kinds=()) -> None:
     """Append to the cold layout data_type=/ingest_date=.
 
     The rebalance hint lets AQE size the files: small partitions are merged, a
-    type or day with most of the rows is split over many tasks. Rows are
-    counted after it, in the writing stage, where a retried task counts once.
+    type or day with most of the rows is split over many tasks. Rows of the
+    given types are counted after it, in the writing stage, where a retried
+    task counts once.
     """
     sized = rows.withColumn("ingest_date", ingest_date).hint("rebalance", "data_type", "ingest_date")
     if seen is not None:
-        sized = sized.observe(seen, F.count(F.lit(1)).alias("n"))
-    sized.write.mode("append").partitionBy(
-        "data_type", "ingest_date").parquet(path)
+        sized = sized.observe(seen, *[F.count_if(F.col("data_type") == kind).alias(kind) for kind in kinds])
+    sized.write.mode("append").partitionBy("data_type", "ingest_date").parquet(path)
 
 
 def append_with_fallback(rows: DataFrame, path: str, fallback: str) -> str:
@@ -46,34 +46,36 @@ def _log(spark, path: str, kind: str, count: int, status: str) -> None:
     spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def append_logged(rows: DataFrame, kind: str, path: str, log_path: str, ingest_date) -> int:
-    """Cold append plus one log row with the true outcome; returns the row count.
+def append_logged(rows: DataFrame, kinds: list[str], path: str, log_path: str, ingest_date) -> dict[str, int]:
+    """Cold append plus one log row per type with the true outcome; returns the counts.
 
-    The count is taken while writing, so the rows are not read twice; nothing
-    is logged for no rows.
+    The counts are taken while writing, so the rows are not read twice. A type
+    without rows is not logged.
     """
-    seen = Observation()
+    seen, spark = Observation(), rows.sparkSession
     try:
-        append_cold(rows.withColumn("data_type", F.lit(kind)), path, ingest_date, seen)
+        append_cold(rows, path, ingest_date, seen, kinds)
     except Exception:
-        _log(rows.sparkSession, log_path, kind, 0, "failed")
+        for kind in kinds:
+            _log(spark, log_path, kind, 0, "failed")
         raise
-    if seen.get["n"]:
-        _log(rows.sparkSession, log_path, kind, seen.get["n"], "stored")
-    return seen.get["n"]
+    for kind in kinds:
+        if seen.get[kind]:
+            _log(spark, log_path, kind, seen.get[kind], "stored")
+    return seen.get
 
 
 def route(rows: DataFrame, hot: str, cold: str, log_path: str, ingest_date) -> None:
     """Send rows by ``data_type``: realtime to the hot store and its cold archive,
     historical and ml_training to the cold store with a log row, others nowhere.
 
-    Each write filters its own type, which reaches the scan of a stored input.
+    Two passes, one per store; their type filters reach the scan of a stored input.
     """
-    realtime = rows.filter(F.col("data_type") == "realtime")
-    append_hot(realtime, hot)
-    append_cold(realtime.withColumn("data_type", F.lit("realtime_archive")), cold, ingest_date)
-    for kind in COLD_TYPES:
-        append_logged(rows.filter(F.col("data_type") == kind), kind, cold, log_path, ingest_date)
+    kind = F.col("data_type")
+    append_hot(rows.filter(kind == "realtime"), hot)
+    kept = rows.filter(kind.isin("realtime", *COLD_TYPES))
+    renamed = kept.withColumn("data_type", F.when(kind == "realtime", "realtime_archive").otherwise(kind))
+    append_logged(renamed, COLD_TYPES, cold, log_path, ingest_date)
 
 
 def nested_readings(flat: DataFrame) -> DataFrame:

@@ -126,11 +126,11 @@ def test_fallback_keeps_the_rows(spark, tmp_path):
 
 def test_failed_write_is_logged_as_failed_and_nothing_for_no_rows(spark, tmp_path):
     log = str(tmp_path / "log")
-    rows = spark.range(3).withColumn("t", F.lit(1))
+    rows = spark.range(3).withColumn("data_type", F.lit("historical"))
     with pytest.raises(Exception):
-        ST.append_logged(rows, "historical", "nostore://x/y", log, F.current_date())
-    ST.append_logged(rows, "historical", str(tmp_path / "cold"), log, F.current_date())
-    ST.append_logged(rows.filter("false"), "ml_training", str(tmp_path / "cold"), log, F.current_date())
+        ST.append_logged(rows, ["historical"], "nostore://x/y", log, F.current_date())
+    counts = ST.append_logged(rows, ["historical", "ml_training"], str(tmp_path / "cold"), log, F.current_date())
+    assert counts == {"historical": 3, "ml_training": 0}
     got = spark.read.parquet(log).select("type", "record_count", "status").collect()
     assert sorted(tuple(r) for r in got) == [("historical", 0, "failed"), ("historical", 3, "stored")]
 
