@@ -2,7 +2,7 @@
 
 Pixels stay one byte each in a binary column. An expression form
 (``transform`` over an array of ints) takes four bytes per pixel and is
-interpreted element by element; see the README for the measured difference.
+interpreted element by element, five to thirteen times slower when measured.
 Rows are independent, so Spark can spread images over tasks freely.
 """
 

@@ -1,10 +1,11 @@
-"""Ordered running totals that do not put one key on one task.
+"""Order inside a key without putting one key on one task.
 
 A window ``partitionBy(key)`` sends all rows of a key to one task. When one
-key can hold a third of the table that task decides the run time. Both
-functions here cut the key's order into chunks instead: order inside a chunk
-by a window on (key, chunk), count per chunk, and add up the counts of earlier
-chunks on the small chunk table. Results equal those of the plain window.
+key can hold a third of the table, that task decides the run time. The
+functions here cut the key's order into chunks: rows are ordered inside a
+chunk by a window on (key, chunk), counted per chunk, and the counts of
+earlier chunks are added up on the small chunk table. Results equal those of
+the plain window.
 """
 
 from __future__ import annotations
