@@ -16,7 +16,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # The JVM does not compile methods over 8,000 bytes; scoring twelve rules in
     # one generated method ran 13 times slower than in split ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -54,8 +54,8 @@ def hot_and_cold(stream: DataFrame, base: str, interval: int | None = None) -> t
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{hot}/batch_id={batch_id}")
         dated = batch.withColumn("ingest_date", F.to_date("timestamp"))
-        dated.hint("rebalance", "ingest_date").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy("ingest_date").parquet(f"{cold}/batch_id={batch_id}")
+        dated.hint("rebalance", "ingest_date").write.mode("overwrite").partitionBy("ingest_date").parquet(
+            f"{cold}/batch_id={batch_id}")
 
     drain_batches(stream, base, write, interval)
     return hot, cold
