@@ -58,6 +58,30 @@ def op5_url_logistic(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.RULES, model)
 
 
+#: Wanted token shares of the two domains that ``labels`` tells apart.
+SHARES = {"high": 0.93, "low": 0.07}
+
+
+def op6_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldlake.llm import mixing
+
+    docs = table(spark, folder, "documents")
+    return mixing.rates(docs, mixing.train(docs, quality_domains(table(spark, folder, "labels")), "domain"), SHARES)
+
+
+def quality_domains(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("domain"))
+
+
+def op7_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldlake.llm import toxicity
+
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, toxicity.graded_labels(docs, table(spark, folder, "labels")), "grade")
+    return toxicity.score(docs, model).select(
+        "doc_id", "expected_severity", "grade", (F.col("expected_severity") >= 0.5).alias("rejected"))
+
+
 def op8_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     from fieldlake.llm import sharding
 
@@ -65,6 +89,6 @@ def op8_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 JOBS: dict[str, Job] = {f.__name__: f for f in (
-    op2_token_counts, op3_warc_transactions, op5_url_logistic, op8_hash_tree_shards)}
+    op2_token_counts, op3_warc_transactions, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards)}
 
 CHECKS: dict[str, str] = {"op3_warc_transactions": OP3}
