@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,6 +25,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WHITE), lambda w: w != "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def unit(*seed: Column) -> Column:
     """A draw in (0, 1) that only depends on the given values."""
     high = F.shiftrightunsigned(F.xxhash64(*seed), 11)

@@ -88,7 +88,13 @@ def op8_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents"), 40)
 
 
+def op9_simhash_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldlake.llm import decontaminate
+
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 JOBS: dict[str, Job] = {f.__name__: f for f in (
-    op2_token_counts, op3_warc_transactions, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards)}
+    op2_token_counts, op3_warc_transactions, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks)}
 
 CHECKS: dict[str, str] = {"op3_warc_transactions": OP3}
