@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldlake.llm.common import numbers, unit, words
+from fieldlake.llm.common import let, numbers, unit, words
 from fieldlake.session import stored
 
 #: Labelled documents read for training, at most.
@@ -76,21 +76,25 @@ def posteriors(text: Column, model: Classifier) -> Column:
     if len(model.domains) == 1:
         return F.array(F.lit(1.0))
     names = sorted(model.weights)
-    logs: list[Column] = []
-    if names:
-        hits = features(text, names)
-        places = F.transform(hits, lambda f: (F.array_position(F.split(F.lit("\n".join(names)), "\n"), f) - 1).cast("int"))
-        scale = F.sqrt(F.greatest(F.size(hits), F.lit(1)).cast("double"))
-        for i, prior in enumerate(model.priors):
-            logs.append(F.lit(prior) + _total(places, [model.weights[n][i] for n in names]) / scale)
-    else:
-        logs = [F.lit(p) for p in model.priors]
-    top = F.greatest(*logs)
-    parts = F.transform(F.array(*logs), lambda x: F.exp(x - top))
-    return F.transform(parts, lambda p: F.round(p / F.aggregate(parts, F.lit(0.0), lambda a, b: a + b), DECIMALS))
+    listed = F.split(F.lit("\n".join(names)), "\n")
+    places = F.transform(features(text, names), lambda f: (F.array_position(listed, f) - 1).cast("int")) if names else F.array().cast("array<int>")
+    return let(places, lambda at: let(_logs(at, names, model), _shares))
+
+
+def _logs(places: Column, names: list[str], model: Classifier) -> Column:
+    scale = F.sqrt(F.greatest(F.size(places), F.lit(1)).cast("double"))
+    return F.array(*[F.lit(prior) + _total(places, [model.weights[n][i] for n in names]) / scale for i, prior in enumerate(model.priors)])
+
+
+def _shares(logs: Column) -> Column:
+    total = lambda parts: F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+    top = F.array_max(logs)
+    return let(F.transform(logs, lambda x: F.exp(x - top)), lambda parts: let(total(parts), lambda t: F.transform(parts, lambda p: F.round(p / t, DECIMALS))))
 
 
 def _total(places: Column, values: list[float]) -> Column:
+    if not values:
+        return F.lit(0.0)
     return F.aggregate(places, F.lit(0.0), lambda a, i: a + F.get(numbers(values, "double"), i))
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldlake.llm.common import unit
+from fieldlake.llm.common import let, unit
 from fieldlake.session import stored
 
 #: Shards per rack, racks per region, regions of the base tree.
@@ -65,8 +65,7 @@ def _first(nodes: Column, key: Column, level: int) -> Column:
 def shard_of(key: Column, leaves: list[Leaf]) -> Column:
     """The shard of a key; rows without a key share the shard of the null key."""
     region = _first(_nodes(leaves, 0), key, 0)
-    rack = _first(region["children"], key, 1)
-    return _first(rack["children"], key, 2)["id"]
+    return let(region, lambda r: let(_first(r["children"], key, 1), lambda k: _first(k["children"], key, 2)["id"]))
 
 
 def place(docs: DataFrame, count: int) -> DataFrame:

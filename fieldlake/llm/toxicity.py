@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldlake.llm.common import numbers, sigmoid
+from fieldlake.llm.common import let, numbers, sigmoid
 from fieldlake.session import stored
 
 #: Documents read for training, at most; half of them from grade 0.
@@ -143,7 +143,7 @@ def linear(text: Column, model: Model) -> Column:
 
 def chances(x: Column, model: Model) -> Column:
     """``P(grade >= j)`` for j from 1."""
-    return F.array(*[sigmoid(x - F.lit(c)) for c in model.cuts])
+    return let(x, lambda v: F.array(*[sigmoid(v - F.lit(c)) for c in model.cuts]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldlake.llm.common import numbers, sigmoid
+from fieldlake.llm.common import let, numbers, sigmoid
 from fieldlake.session import stored
 
 #: Rules of the registered query: (verdict, host and path start). Fixed values.
@@ -61,8 +61,8 @@ def grams(host: Column, path: Column, sizes: tuple[int, ...], buckets: int) -> C
 
 def margin(buckets: Column, weights: Column, bias: float) -> Column:
     """Bias plus the mean-scaled sum of the weights of a row's buckets."""
-    total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(weights, b))
-    return F.lit(bias) + total / F.sqrt(F.greatest(F.size(buckets), F.lit(1)))
+    total = lambda bs: F.aggregate(bs, F.lit(0.0), lambda a, b: a + F.get(weights, b))
+    return let(buckets, lambda bs: F.lit(bias) + total(bs) / F.sqrt(F.greatest(F.size(bs), F.lit(1))))
 
 
 def train(labelled: DataFrame, sizes: tuple[int, ...] = (3, 4), buckets: int = 4096, steps: int = 15,
