@@ -94,7 +94,13 @@ def op9_simhash_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldlake.llm import ngram_join
+
+    return ngram_join.join_documents(table(spark, folder, "documents"))
+
+
 JOBS: dict[str, Job] = {f.__name__: f for f in (
-    op2_token_counts, op3_warc_transactions, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks)}
+    op2_token_counts, op3_warc_transactions, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks, op10_ngram_jaccard)}
 
 CHECKS: dict[str, str] = {"op3_warc_transactions": OP3}
