@@ -50,6 +50,12 @@ FROM p LEFT JOIN g ON p.html = g.html AND p.payload_bytes >= 1000
 """
 
 
+def op4_hnsw_search(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldlake.llm import hnsw
+
+    return hnsw.nearest(table(spark, folder, "embeddings"))
+
+
 def op5_url_logistic(spark: SparkSession, folder: str) -> DataFrame:
     from fieldlake.llm import url_filter
 
@@ -101,6 +107,6 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 JOBS: dict[str, Job] = {f.__name__: f for f in (
-    op2_token_counts, op3_warc_transactions, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks, op10_ngram_jaccard)}
+    op2_token_counts, op3_warc_transactions, op4_hnsw_search, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks, op10_ngram_jaccard)}
 
 CHECKS: dict[str, str] = {"op3_warc_transactions": OP3}
