@@ -22,17 +22,27 @@ from fieldlake.session import stored
 TRAIN_ROWS = 20_000
 #: Features kept, at most.
 FEATURES = 1024
+#: Slots of the features' hash table; of two features in one slot the weaker is left out.
+SLOTS = 1 << 16
 #: Posteriors are rounded to this many decimals.
 DECIMALS = 4
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Naive Bayes over the features that tell domains apart: log prior and log ratios by domain."""
+    """Naive Bayes over the features that tell domains apart: log prior and log shares by domain.
+
+    ``places`` is a hash table: the number of the feature (in their order) in each slot.
+    """
 
     domains: tuple[str, ...]
     priors: tuple[float, ...]
     weights: dict[str, tuple[float, ...]]
+    places: tuple[int, ...] = ()
+
+
+def _slot(feature: Column) -> Column:
+    return F.pmod(F.xxhash64(feature), F.lit(SLOTS)).cast("int")
 
 
 def features(text: Column, among: list[str] | None = None) -> Column:
@@ -63,8 +73,16 @@ def train(docs: DataFrame, labelled: DataFrame, domain: str, rows: int = TRAIN_R
     # information of presence: how far a domain's share lies from that of the others, in standard errors
     tells = F.greatest(*[F.abs(F.log(a / b)) * F.sqrt(F.least(F.col(f"n{i}") + 0.5, F.col("n") - F.col(f"n{i}") + 0.5)) for i, (a, b) in enumerate(zip(inside, other, strict=True))])
     strong = per.filter(F.col("n") >= least).select("f", tells.alias("t"), *[F.log(a).alias(f"l{i}") for i, a in enumerate(inside)])
-    kept = strong.filter("t >= 4").orderBy(F.desc("t"), "f").limit(FEATURES).collect()
-    return Classifier(names, tuple(math.log(sizes[d] / total) for d in names), {r["f"]: tuple(r[f"l{i}"] for i in range(len(names))) for r in kept})
+    kept = strong.filter("t >= 4").orderBy(F.desc("t"), "f").limit(FEATURES).withColumn("slot", _slot(F.col("f"))).collect()
+    slots: dict[int, str] = {}
+    for r in kept:
+        slots.setdefault(r["slot"], r["f"])
+    weights = {r["f"]: tuple(r[f"l{i}"] for i in range(len(names))) for r in kept if slots[r["slot"]] == r["f"]}
+    order = {f: i for i, f in enumerate(sorted(weights))}
+    places = [0] * SLOTS
+    for slot, f in slots.items():
+        places[slot] = order[f]
+    return Classifier(names, tuple(math.log(sizes[d] / total) for d in names), weights, tuple(places))
 
 
 def posteriors(text: Column, model: Classifier) -> Column:
@@ -76,8 +94,7 @@ def posteriors(text: Column, model: Classifier) -> Column:
     if len(model.domains) == 1:
         return F.array(F.lit(1.0))
     names = sorted(model.weights)
-    listed = F.split(F.lit("\n".join(names)), "\n")
-    places = F.transform(features(text, names), lambda f: (F.array_position(listed, f) - 1).cast("int")) if names else F.array().cast("array<int>")
+    places = F.transform(features(text, names), lambda f: F.get(numbers(model.places, "int"), _slot(f))) if names else F.array().cast("array<int>")
     return let(places, lambda at: let(_logs(at, names, model), _shares))
 
 
