@@ -12,6 +12,21 @@ from fieldlake.session import work_path
 Job = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_range_coded_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return coded_ids(table(spark, folder, "documents"))
+
+
+def coded_ids(docs: DataFrame) -> DataFrame:
+    """Write the ids of ``docs`` and give their digests as read back."""
+    import public_tokenizers
+
+    from fieldlake.llm import range_coder
+
+    path = work_path(docs.sparkSession, "ids")
+    range_coder.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return range_coder.digests(docs.sparkSession, path)
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -107,6 +122,6 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 JOBS: dict[str, Job] = {f.__name__: f for f in (
-    op2_token_counts, op3_warc_transactions, op4_hnsw_search, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks, op10_ngram_jaccard)}
+    op1_range_coded_ids, op2_token_counts, op3_warc_transactions, op4_hnsw_search, op5_url_logistic, op6_soft_mixing, op7_ordinal_toxicity, op8_hash_tree_shards, op9_simhash_leaks, op10_ngram_jaccard)}
 
 CHECKS: dict[str, str] = {"op3_warc_transactions": OP3}
