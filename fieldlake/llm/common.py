@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Word borders of the text operators: ASCII white space.
 WHITE = r"[\x20\x09-\x0D]+"
+#: Largest bit map in 64-bit parts; a fuller map only lets more rows through.
+MOST_PARTS = 1 << 18
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,3 +44,34 @@ def sigmoid(x: Column) -> Column:
 
 def log_odds(p: float) -> float:
     return math.log(p / (1.0 - p))
+
+
+def _bits(parts: int) -> list[tuple[Column, Column]]:
+    """The two places of ``h`` in a map: part and bit."""
+    out = []
+    for shift in (0, 32):
+        x = F.shiftrightunsigned("h", shift)
+        out.append((F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(parts - 1)).cast("int"), x.bitwiseAND(F.lit(63)).cast("int")))
+    return out
+
+
+def bit_map(hashes: DataFrame) -> list[int]:
+    """A bit map of the distinct ``h``, of a size bounded by ``MOST_PARTS``: two bits each."""
+    count = hashes.count()
+    parts = min(MOST_PARTS, 1 << max(8, math.ceil(math.log2(max(count, 1)))))
+    rows = hashes.select(F.explode(F.array(*[
+        F.struct(part.alias("part"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("mask")) for part, bit in _bits(parts)])).alias("b"))
+    out = [0] * parts
+    for part, mask in rows.groupBy("b.part").agg(F.bit_or("b.mask")).collect():
+        out[part] = mask
+    return out
+
+
+def listed(h: Column, bits: Column, parts: int) -> Column:
+    """Whether a map may hold ``h``; never false for one it was made of."""
+    test = F.lit(True)
+    for shift in (0, 32):
+        x = F.shiftrightunsigned(h, shift)
+        part = F.get(bits, F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(parts - 1)).cast("int"))
+        test = test & (F.call_function("shiftrightunsigned", part, x.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    return test

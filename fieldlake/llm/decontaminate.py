@@ -20,13 +20,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldlake.llm.common import let, numbers, words
+from fieldlake.llm.common import bit_map, let, listed, numbers, words
 from fieldlake.session import stored
 
 SHINGLE = 5
 BLOCKS, BLOCK_BITS = 4, 16
-#: Largest bit map of item shingles in 64-bit parts; a fuller map only lets more documents through.
-MOST_PARTS = 1 << 18
 
 
 def shingles(tokens: Column, size: int) -> Column:
@@ -36,36 +34,6 @@ def shingles(tokens: Column, size: int) -> Column:
         F.sequence(F.lit(0), F.size(h) - size), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))))
 
 
-def _bits(parts: int) -> list[tuple[Column, Column]]:
-    """The two places of shingle ``h`` in a map: part and mask."""
-    out = []
-    for shift in (0, 32):
-        x = F.shiftrightunsigned("h", shift)
-        out.append((F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(parts - 1)).cast("int"), x.bitwiseAND(F.lit(63)).cast("int")))
-    return out
-
-
-def bit_map(hashes: DataFrame) -> list[int]:
-    """A bit map of the distinct ``h``, of a size bounded by ``MOST_PARTS``: two bits per shingle."""
-    count = hashes.count()
-    parts = min(MOST_PARTS, 1 << max(8, math.ceil(math.log2(max(count, 1)))))
-    rows = hashes.select(F.explode(F.array(*[
-        F.struct(part.alias("part"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("mask")) for part, bit in _bits(parts)])).alias("b"))
-    out = [0] * parts
-    for part, mask in rows.groupBy("b.part").agg(F.bit_or("b.mask")).collect():
-        out[part] = mask
-    return out
-
-
-def _listed(h: Column, bits: Column, parts: int) -> Column:
-    test = F.lit(True)
-    for shift in (0, 32):
-        x = F.shiftrightunsigned(h, shift)
-        part = F.get(bits, F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(parts - 1)).cast("int"))
-        test = test & (F.call_function("shiftrightunsigned", part, x.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    return test
-
-
 def fingerprints(lists: DataFrame, key: list[str]) -> DataFrame:
     """SimHash of the shingle list ``w`` of each key (keys are unique).
 
@@ -138,7 +106,7 @@ def _leaks(docs: DataFrame, cut: DataFrame, k: int, least: float, radius: int) -
     # documents with enough listed shingles for the shortest window, numbered once and for all
     mapped = numbers(bits, "bigint")
     cut_docs = docs.select("doc_id", shingles(words(F.col("text")), k).alias("all"))
-    hits = F.filter(F.transform("all", lambda h, i: F.when(_listed(h, mapped, len(bits)), F.struct(i.alias("at"), h.alias("h")))), lambda x: x.isNotNull())
+    hits = F.filter(F.transform("all", lambda h, i: F.when(listed(h, mapped, len(bits)), F.struct(i.alias("at"), h.alias("h")))), lambda x: x.isNotNull())
     enough = cut_docs.withColumn("hits", hits).filter(F.size("hits") >= max(1, math.ceil(least * (shortest - (k - 1)) - 1e-9)))
     some = stored(enough.withColumn("row", F.monotonically_increasing_id()), "leak-documents")
 

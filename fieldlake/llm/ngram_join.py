@@ -8,8 +8,9 @@ that begin alike share their path; a traversal counts overlaps along the paths a
 leaves a subtree as soon as what remains of the tree and of the probe can't reach
 the overlap needed. All comparisons are exact integers.
 
-How frequent an n-gram is only steers the order: counts of n-grams that repeat
-inside a task's batch are added up over all documents in a table of fixed size.
+How frequent an n-gram is only steers the order. Frequent ones are known from counts
+of n-grams that repeat inside a batch, added up over all documents in a table of
+fixed size; the others' sets are counted exactly.
 """
 
 from __future__ import annotations
@@ -18,14 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fieldlake.llm import shingles
+from fieldlake.llm.common import bit_map, listed, numbers
 from fieldlake.llm.components import components
 from fieldlake.session import stored
 
 #: Bits of the frequency table.
 BITS = 20
+#: Share of the hash range in which n-grams of one set only are looked for.
+RANGE = 0.3
 #: N-grams of a block, or of one side of a pair of block parts, that a task holds.
 PART = 1_500_000
 #: N-grams looked at between two bounds of a traversal.
@@ -213,63 +217,108 @@ def _levels(rows: DataFrame) -> np.ndarray:
     return levels
 
 
-def _ties(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Edges (a, b) between sets that share an n-gram of their prefixes.
+def _spread(levels: np.ndarray, below: float | None):
+    """A mapInArrow function from (node, text) to rows (key, node, level) of n-grams.
 
-    Equal n-grams of a batch are tied to its smallest set on the spot, and one row
-    per n-gram goes on: an n-gram in many prefixes has one row per batch.
+    With ``below``, only the n-grams of level 0 in that share of the hash range, and
+    the node is named from the text. Without, all that can matter: those of level 0,
+    and of the others the first ones in order, as many as a prefix has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = {shingles.name(s)[0]: s for s in shingles.sets(batch.column(0)) if len(s)}
-            keys, nodes = [], []
-            for node, s in sets.items():
-                p = prefix_size(len(s))
-                keys.append(s[np.argsort(levels[s >> np.uint64(64 - BITS)], kind="stable")[:p]])
-                nodes.append(np.full(len(keys[-1]), node, np.int64))
-            if not keys:
-                continue
-            key, node = np.concatenate(keys).view(np.int64), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            head = np.concatenate([[True], key[1:] != key[:-1]])
-            hub = np.repeat(node[head], np.diff(np.concatenate([np.flatnonzero(head), [len(key)]])))
-            inner = np.unique(np.stack([node[~head], hub[~head]], 1), axis=0)
-            for x, y, tie in ((key[head], node[head], False), (inner[:, 0], inner[:, 1], True)):
-                for at in range(0, len(x), 100_000):
-                    a, b = x[at : at + 100_000], y[at : at + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), tie))], ["a", "b", "tie"])
-
-    from pyspark.sql import Window
-
-    rows = docs.select("text").mapInArrow(run, "a long, b long, tie boolean")
-    hub = F.min("b").over(Window.partitionBy("tie", "a"))
-    # a tie stands as it is; a row of an n-gram ties its set to the n-gram's smallest
-    met = rows.withColumn("hub", hub).select(
-        F.when(F.col("tie"), F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("tie"), F.col("b")).otherwise(F.col("hub")).alias("b"))
-    return met.filter("a <> b").distinct()
-
-
-def _links(docs: DataFrame, members: DataFrame, levels: np.ndarray, every: bool) -> DataFrame:
-    """Similar pairs (a, b) of sets inside the blocks of ``members`` (doc_id, node, n, block).
+            sets = shingles.sets(batch.column("text"))
+            if below is None:
+                own = dict(zip(batch.column("node").to_pylist(), sets, strict=True))
+            else:
+                own = {shingles.name(s)[0]: s for s in sets if len(s)}
+            keys, nodes, ranks = [], [], []
+            for node, s in own.items():
+                level = levels[s >> np.uint64(64 - BITS)]
+                if below is None:
+                    hot = np.flatnonzero(level)
+                    some = np.concatenate([np.flatnonzero(level == 0), hot[np.argsort(level[hot], kind="stable")][: prefix_size(len(s))]])
+                else:
+                    some = np.flatnonzero((level == 0) & (s < np.uint64(int(below * 2**64))))
+                keys.append(s[some])
+                ranks.append(level[some])
+                nodes.append(np.full(len(some), node, np.int64))
+            key = np.concatenate(keys or [np.empty(0, np.uint64)]).view(np.int64)
+            node = np.concatenate(nodes or [np.empty(0, np.int64)])
+            rank = np.concatenate(ranks or [np.empty(0, np.uint8)]).astype(np.int8)
+            for at in range(0, len(key), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (key, node, rank)], ["key", "node", "level"])
+
+    return run
+
+
+KEYS = "key long, node long, level byte"
+
+
+def _candidates(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(node, n, text) of the sets that can have a partner at all.
+
+    In the global order n-grams of a single set come first. A set with a whole prefix
+    of them shares none of its prefix, so it has no partner. They are looked for in a
+    fixed share of the hash range, where every set lists its rare n-grams.
+    """
+    rare = docs.select("text").mapInArrow(_spread(levels, RANGE), KEYS)
+    alone = rare.groupBy("key").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
+    rest = classes.join(own, "node", "left").filter(F.coalesce("alone", F.lit(0)) < prefix)
+    rest = stored(rest.select("node", "n", F.col("doc_id").alias("own")), "ngram-rest")
+    hashed = lambda c: F.xxhash64(F.col(c))
+    bits = bit_map(rest.select(hashed("own").alias("h")))
+    near = docs.select("doc_id", "text").filter(listed(hashed("doc_id"), numbers(bits, "bigint"), len(bits)))
+    texts = near.join(rest, F.col("doc_id").eqNullSafe(F.col("own"))).select("node", "n", "text")
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # other rows with the same doc_id go
+            names = [shingles.name(s)[0] for s in shingles.sets(batch.column("text"))]
+            yield batch.filter(pa.compute.equal(batch.column("node"), pa.array(names, pa.int64())))
+
+    same = texts.mapInArrow(named, "node long, n long, text string")
+    return stored(same.groupBy("node").agg(F.first("n").alias("n"), F.first("text").alias("text")), "ngram-candidates")
+
+
+def _ties(candidates: DataFrame, levels: np.ndarray) -> DataFrame:
+    """Edges (a, b) between sets that share an n-gram of their prefixes.
+
+    The order is: n-grams of one set, n-grams of level 0 by their number of sets, then
+    the frequent ones by level. Each n-gram ties its sets to the smallest of them, so
+    the edges are as many as the prefixes' n-grams, not as their pairs.
+    """
+    rows = stored(candidates.select("node", "text").mapInArrow(_spread(levels, None), KEYS), "ngram-keys")
+    rare = rows.filter("level = 0").withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    rare = stored(rare, "ngram-rare")
+    alone = rare.filter("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    room = candidates.select("node", (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1).alias("p")).join(alone, "node", "left")
+    room = room.select("node", (F.col("p") - F.coalesce("alone", F.lit(0))).alias("room")).filter("room > 0")
+    shared = rare.filter("sets > 1").unionByName(rows.filter("level > 0").withColumn("sets", F.lit(0).cast("long")))
+    order = Window.partitionBy("node").orderBy("level", "sets", "key")
+    prefix = shared.join(room, "node").withColumn("place", F.row_number().over(order)).filter("place <= room").select("key", "node")
+    prefix = stored(prefix, "ngram-prefixes")
+    hubs = stored(prefix.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").drop("last"), "ngram-hubs")
+    return prefix.join(hubs, "key").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+
+
+def _links(members: DataFrame, levels: np.ndarray, every: bool) -> DataFrame:
+    """Similar pairs (a, b) of sets inside the blocks of ``members`` (node, n, text, block).
 
     A block with more n-grams than ``PART`` is cut into parts by hash, and each pair of
     parts is a unit of its own.
     """
-    weight = members.groupBy("block").agg(F.sum("n").alias("weight"))
-    parts = F.ceil(F.col("weight") / PART).cast("int")
-    spread = members.join(weight, "block").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    weight = members.groupBy("block").agg(F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
+    spread = members.join(stored(weight, "ngram-blocks"), "block").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     units = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least("part", p).alias("i"), F.greatest("part", p).alias("j")))
-    spread = spread.select("doc_id", "node", "block", "part", F.explode(units).alias("u"))
-    texts = docs.select("doc_id", "text").join(spread.withColumnRenamed("doc_id", "own"), F.col("doc_id").eqNullSafe(F.col("own")))
-    rows = texts.select("block", "u.i", "u.j", "part", "node", "text").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
+    rows = spread.select("block", "part", "node", "text", F.explode(units).alias("u")).select("block", "u.i", "u.j", "part", "node", "text")
+    rows = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
 
     def unit(held: list[tuple], key: tuple) -> list[tuple[int, int]]:
         sides: list[dict[int, np.ndarray]] = [{}, {}]
         for part, node, s in held:
-            if shingles.name(s)[0] == node:  # another row with this doc_id, else
-                sides[part != key[1]][node] = s
+            sides[part != key[1]][node] = s
         names = [list(side) for side in sides]
         if key[1] == key[2]:
             found = join(list(sides[0].values()), None, levels, every) if len(names[0]) > 1 else []
@@ -312,9 +361,10 @@ def linked(docs: DataFrame, every: bool = False) -> tuple[DataFrame, DataFrame]:
     classes = stored(classes, "ngram-sets")
     if not classes.filter("c <> d").isEmpty():
         raise ValueError("two different sets have one name")
-    blocks = components(_ties(docs, levels)).select("node", F.col("label").alias("block"))
-    members = stored(classes.select("node", "doc_id", "n").join(blocks, "node"), "ngram-members")
-    return named.drop("check"), stored(_links(docs, members, levels, every), "ngram-links")
+    candidates = _candidates(docs, classes.select("node", "doc_id", "n"), levels)
+    blocks = components(_ties(candidates, levels)).select("node", F.col("label").alias("block"))
+    members = stored(candidates.join(stored(blocks, "ngram-members"), "node"), "ngram-texts")
+    return named.drop("check"), stored(_links(members, levels, every), "ngram-links")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
