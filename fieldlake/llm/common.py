@@ -67,7 +67,7 @@ def bit_map(hashes: DataFrame) -> list[int]:
     return out
 
 
-def listed(h: Column, bits: Column, parts: int) -> Column:
+def in_map(h: Column, bits: Column, parts: int) -> Column:
     """Whether a map may hold ``h``; never false for one it was made of."""
     test = F.lit(True)
     for shift in (0, 32):

@@ -20,7 +20,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldlake.llm.common import bit_map, let, listed, numbers, words
+from fieldlake.llm.common import bit_map, in_map, let, numbers, words
 from fieldlake.session import stored
 
 SHINGLE = 5
@@ -106,7 +106,7 @@ def _leaks(docs: DataFrame, cut: DataFrame, k: int, least: float, radius: int) -
     # documents with enough listed shingles for the shortest window, numbered once and for all
     mapped = numbers(bits, "bigint")
     cut_docs = docs.select("doc_id", shingles(words(F.col("text")), k).alias("all"))
-    hits = F.filter(F.transform("all", lambda h, i: F.when(listed(h, mapped, len(bits)), F.struct(i.alias("at"), h.alias("h")))), lambda x: x.isNotNull())
+    hits = F.filter(F.transform("all", lambda h, i: F.when(in_map(h, mapped, len(bits)), F.struct(i.alias("at"), h.alias("h")))), lambda x: x.isNotNull())
     enough = cut_docs.withColumn("hits", hits).filter(F.size("hits") >= max(1, math.ceil(least * (shortest - (k - 1)) - 1e-9)))
     some = stored(enough.withColumn("row", F.monotonically_increasing_id()), "leak-documents")
 
@@ -133,3 +133,9 @@ def _leaks(docs: DataFrame, cut: DataFrame, k: int, least: float, radius: int) -
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "m"))
     return filled.select("doc_id", "m", "start", "key").join(exact, "key").groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", "b.similarity", (-F.col("b.back")).alias("start_word"), F.col("b.m").alias("n_words"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, least: float = 0.8, radius: int = 15) -> DataFrame:
+    """``docs`` without those that hold an item; all columns stay, rows without doc_id too unless their text leaks."""
+    found = stored(leaks(docs, items, least, radius).select(F.col("doc_id").alias("_leak")).distinct(), "leak-ids")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leak"]), "left_anti")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fieldlake.llm import shingles
-from fieldlake.llm.common import bit_map, listed, numbers
+from fieldlake.llm.common import bit_map, in_map, numbers
 from fieldlake.llm.components import components
 from fieldlake.session import stored
 
@@ -270,7 +270,7 @@ def _candidates(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> Data
     rest = stored(rest.select("node", "n", F.col("doc_id").alias("own")), "ngram-rest")
     hashed = lambda c: F.xxhash64(F.col(c))
     bits = bit_map(rest.select(hashed("own").alias("h")))
-    near = docs.select("doc_id", "text").filter(listed(hashed("doc_id"), numbers(bits, "bigint"), len(bits)))
+    near = docs.select("doc_id", "text").filter(in_map(hashed("doc_id"), numbers(bits, "bigint"), len(bits)))
     texts = near.join(rest, F.col("doc_id").eqNullSafe(F.col("own"))).select("node", "n", "text")
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,3 +384,22 @@ def join_documents(docs: DataFrame) -> DataFrame:
     least = stored(with_label.groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-components")
     out = with_label.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return out.unionByName(named.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One document of each component, that with the smallest doc_id; all columns stay.
+
+    Documents without words stay, each. A row that is repeated with its doc_id stays
+    once. The ids that go are collected in a table and joined; the texts of all others
+    stay where they are where that table is small.
+    """
+    classes = stored(join_documents(docs), "ngram-result").filter("n_shingles > 0")
+    gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    again = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
+    again = stored(again, "ngram-repeated")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, kept["doc_id"].eqNullSafe(again["_again"]), "left_anti")
+    more = kept.join(again, kept["doc_id"].eqNullSafe(again["_again"]), "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(more)
