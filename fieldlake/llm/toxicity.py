@@ -51,8 +51,8 @@ def sample(labelled: DataFrame, grade: str, rows: int = TRAIN_ROWS) -> DataFrame
     return known.filter("grade = 0").orderBy(*order).limit(rows // 2).union(known.filter("grade > 0").orderBy(*order).limit(rows // 2))
 
 
-def vocabulary(train: DataFrame, least_share: float = 0.05, z: float = 4.0) -> list[str]:
-    """Words whose share of documents differs between grade 0 and the others by ``z`` standard errors of the log ratio.
+def vocabulary(train: DataFrame, least_share: float = 0.1, z: float = 4.0) -> list[str]:
+    """Words whose share of documents differs between grade 0 and the others by ``z`` standard errors.
 
     Counted by Spark over the distinct words of each distinct training text; a word must
     occur in ``least_share`` of the texts on its side, so that the odd words of a few
@@ -65,9 +65,10 @@ def vocabulary(train: DataFrame, least_share: float = 0.05, z: float = 4.0) -> l
         return []
     words = train.select((F.col("grade") > 0).cast("int").alias("bad"), F.explode(F.array_distinct(terms(F.col("text")))).alias("w")).filter("w != ''")
     per = words.groupBy("w").agg(F.sum("bad").alias("b"), F.count(F.lit(1)).alias("n"))
-    per = per.filter((F.col("b") >= least_share * bad) | (F.col("n") - F.col("b") >= least_share * good))
+    per = per.filter("n >= 3").filter((F.col("b") >= least_share * bad) | (F.col("n") - F.col("b") >= least_share * good))
     b, g = F.col("b") + 0.5, F.col("n") - F.col("b") + 0.5
-    score = (F.log(b / F.lit(bad)) - F.log(g / F.lit(good))) / F.sqrt(1 / b + 1 / g)
+    share = F.col("n") / F.lit(good + bad)
+    score = (F.col("b") / F.lit(bad) - (F.col("n") - F.col("b")) / F.lit(good)) / F.sqrt(share * (1 - share) * F.lit(1.0 / good + 1.0 / bad) + 1e-12)
     # a word must also tell much, not only surely: at least four times as frequent on one side
     ratio = F.abs(F.log(b / F.lit(bad)) - F.log(g / F.lit(good)))
     rows = per.filter((F.abs(score) >= z) & (ratio >= math.log(4.0))).orderBy(F.abs(score).desc(), "w").limit(WORDS).select("w").collect()
