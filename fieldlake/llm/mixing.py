@@ -69,9 +69,11 @@ def train(docs: DataFrame, labelled: DataFrame, domain: str, rows: int = TRAIN_R
     per = read.select("_domain", F.explode("f").alias("f")).groupBy("f").agg(
         F.count(F.lit(1)).alias("n"), *[F.count(F.when(F.col("_domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(names)])
     inside = [(F.col(f"n{i}") + 0.5) / (sizes[d] + 1.0) for i, d in enumerate(names)]
-    other = [(F.col("n") - F.col(f"n{i}") + 0.5) / (total - sizes[d] + 1.0) for i, d in enumerate(names)]
-    # information of presence: how far a domain's share lies from that of the others, in standard errors
-    tells = F.greatest(*[F.abs(F.log(a / b)) * F.sqrt(F.least(F.col(f"n{i}") + 0.5, F.col("n") - F.col(f"n{i}") + 0.5)) for i, (a, b) in enumerate(zip(inside, other, strict=True))])
+    # how far a domain's share of documents with the feature lies from that of the others, in standard errors
+    share = F.col("n") / F.lit(total)
+    tells = F.greatest(*[
+        F.abs(F.col(f"n{i}") / sizes[d] - (F.col("n") - F.col(f"n{i}")) / (total - sizes[d])) / F.sqrt(share * (1 - share) * (1.0 / sizes[d] + 1.0 / (total - sizes[d])) + 1e-12)
+        for i, d in enumerate(names)])
     strong = per.filter(F.col("n") >= least).select("f", tells.alias("t"), *[F.log(a).alias(f"l{i}") for i, a in enumerate(inside)])
     kept = strong.filter("t >= 4").orderBy(F.desc("t"), "f").limit(FEATURES).withColumn("slot", _slot(F.col("f"))).collect()
     slots: dict[int, str] = {}
@@ -203,6 +205,8 @@ def _membership(text: Column, model: Classifier) -> Column:
 
 def _rate(seen: DataFrame, name: str, model: Classifier, shares: dict[str, float]) -> Column:
     groups = seen.groupBy(F.col(f"{name}.p").alias("p")).agg(F.sum(f"{name}.n").alias("tokens"))
-    total = sum(shares.get(d, 0.0) for d in model.domains) or 1.0
+    total = sum(shares.get(d, 0.0) for d in model.domains)
+    if not total:  # no share is asked for: nothing to move
+        return F.lit(1.0)
     history, step, pull = fit(stored(groups.filter("tokens > 0"), "mix-groups"), [shares.get(d, 0.0) / total for d in model.domains])
     return rate_of(F.col(f"{name}.p"), history, step, pull)
