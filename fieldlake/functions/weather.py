@@ -102,6 +102,11 @@ def grid_key(lat: Column, lon: Column) -> Column:
     return F.format_string("%.2f,%.2f", lat.cast("double"), lon.cast("double"))
 
 
+def is_weather(payload: Column) -> Column:
+    """Whether a parsed answer is weather at all: text that is no JSON and error answers are not."""
+    return payload["main"].isNotNull() & payload["wind"].isNotNull() & payload["clouds"].isNotNull()
+
+
 def payload_columns(payload: Column, lat: Column, day_of_year: Column) -> list[Column]:
     """Flat weather columns of a parsed live payload."""
     rainfall = F.coalesce(payload["rain"]["1h"], F.lit(0.0))

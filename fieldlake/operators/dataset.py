@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldlake import constants as K
@@ -10,12 +12,17 @@ from fieldlake.operators.ordered import cut_points
 from fieldlake.session import stored
 
 
-def raw_images(files: DataFrame) -> DataFrame:
+def raw_images(files: DataFrame, root: str | None = None) -> DataFrame:
     """Files of a raw tree that are images; the class is the containing folder.
 
-    Folders of the same name in different places form one class.
+    Folders of the same name in different places form one class. With ``root``, files
+    that lie in the root itself have no class and are left out. Spark's file scans
+    do not list folders that start with ``_`` or a dot.
     """
     name, folder = LB.path_part(F.col("path"), 1), LB.path_part(F.col("path"), 2)
+    if root is not None:
+        plain = re.sub("^[a-z0-9]+:/+", "/", root).rstrip("/")
+        files = files.filter(F.regexp_replace("path", "/[^/]*$", "") != plain)
     return files.filter(LB.is_raw_image(name) & ~F.startswith(folder, F.lit("."))).withColumns(
         {"filename": name, "class_label": folder}
     )
@@ -49,7 +56,7 @@ def file_columns(files: DataFrame, root: str = "") -> DataFrame:
     modification time is passed on where the scan provides it."""
     return files.withColumns({
         "filename": LB.path_part(F.col("path"), 1),
-        "filepath": F.when(F.startswith("path", F.lit(root)), F.substring("path", len(root) + 1, 1 << 30)).otherwise(
+        "filepath": F.when(F.startswith("path", F.lit(root)), F.substr("path", F.lit(len(root) + 1))).otherwise(
             F.col("path")),
         "file_size_kb": LB.size_kb(F.col("file_size_bytes")),
         "format": LB.image_format(LB.path_part(F.col("path"), 1)),
@@ -86,10 +93,11 @@ def split_cuts(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEE
 def with_split(images: DataFrame, cuts: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED) -> DataFrame:
     """Rows labelled by comparing their hash with the cuts of their class, where
     they are: nothing is shuffled unless the table of classes is too large to
-    broadcast."""
+    broadcast. Images without a class form one class of their own."""
     place = F.struct(_split_hash(key, seed), F.col(key))
     split = F.when(place <= F.col("_train"), "train").when(place <= F.col("_val"), "val").otherwise("test")
-    return images.join(cuts, "class_label").withColumn("split", split).drop("_train", "_val")
+    own = cuts.withColumnRenamed("class_label", "_class")
+    return images.join(own, F.col("class_label").eqNullSafe(F.col("_class"))).withColumn("split", split).drop("_class", "_train", "_val")
 
 
 def stratified_split(images: DataFrame, key: str = "image_id", seed: int = K.SPLIT_SEED,

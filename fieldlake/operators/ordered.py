@@ -64,7 +64,8 @@ def cut_points(rows: DataFrame, key: str, order: Column, tie: str, cuts: dict[st
     ).select(key, "_chunk", F.col("_cut.name").alias("_name"), (F.col("_cut.rank") - F.col("_offset")).alias("_place"))
     inside = Window.partitionBy(key, "_chunk", "_name").orderBy("_order", "_tie")
     found = (
-        marked.join(stored(wanted, "cuts"), [key, "_chunk"])
+        marked.join(stored(wanted.withColumnRenamed(key, "_key").withColumnRenamed("_chunk", "_cut_chunk"), "cuts"),
+                    F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_cut_chunk")))
         .withColumn("_row", F.row_number().over(inside))
         .filter(F.col("_row") == F.col("_place"))
         .withColumn("_pair", F.struct("_order", "_tie"))

@@ -9,11 +9,15 @@ from fieldlake.functions import labels as LB
 
 
 def out_of_range(rows: DataFrame, ranges, key: str) -> DataFrame:
-    """One row per (row, column outside its range), in a single pass over the table."""
+    """One row per (row, column outside its range), in a single pass over the table.
+
+    A rule for a column that the table does not have is an error: it would pass unseen.
+    """
+    missing = [column for column, _, _ in ranges if column not in rows.columns]
+    if missing:
+        raise ValueError(f"no column for the range rules of {', '.join(missing)}")
     checks = []
     for column, low, high in ranges:
-        if column not in rows.columns:
-            continue
         value = F.col(column).cast("double")
         bad = F.lit(False)
         if low is not None:
@@ -61,7 +65,7 @@ def class_mismatches(images: DataFrame, expected=K.EXPECTED_CLASSES) -> DataFram
     """Classes seen but not expected, or expected but not seen."""
     wanted = images.sparkSession.createDataFrame([(c,) for c in expected], "class_label string")
     seen = images.select("class_label").distinct().withColumn("seen", F.lit(True))
-    both = seen.join(F.broadcast(wanted.withColumn("wanted", F.lit(True))), "class_label", "full")
+    both = seen.join(wanted.withColumn("wanted", F.lit(True)), "class_label", "full")
     problem = F.when(F.col("wanted").isNull(), "unexpected").when(F.col("seen").isNull(), "missing")
     return both.select("class_label", problem.alias("problem")).filter(F.col("problem").isNotNull())
 

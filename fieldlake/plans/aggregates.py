@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from fieldlake.functions import weather as W
 from fieldlake.operators import dataset as DS, disease as D, images as IM, summary as S, timeline as TL
 from fieldlake.plans.pixels import STATS_SQL
 from fieldlake.plans.registry import query
 from fieldlake.plans.scalars import conditions
 from fieldlake.plans.scans import processed_metadata
 from fieldlake.plans.sinks import SUMMARY
-from fieldlake.plans.views import with_views
+from fieldlake.plans.views import ZONE, season_sql, with_views
 from fieldlake.sources import domain as V
 
 
@@ -58,13 +59,16 @@ def daily_field_summary(spark, sf):
     return summary.withColumn("analysis_date", F.col("analysis_date").cast("string"))
 
 
-@query("disease_analytics", with_views("progress", """
+@query("disease_analytics", with_views("progress fields", f"""
     SELECT disease, season, climate_zone, status, count(*) AS n_records,
     CAST(sum(CAST(severity AS DECIMAL(10,3))) AS DOUBLE) / count(*) AS mean_severity, max(severity) AS max_severity
-    FROM (SELECT *, 'winter' AS season, 'any' AS climate_zone FROM progress) GROUP BY 1, 2, 3, 4"""))
+    FROM (SELECT p.*, {season_sql('dayofyear(p.slot)')} AS season, {ZONE} AS climate_zone
+      FROM (SELECT field_id, disease, slot, status, severity FROM progress) p
+      JOIN (SELECT field_id, lat FROM fields) f ON f.field_id = p.field_id) GROUP BY 1, 2, 3, 4"""))
 def disease_analytics(spark, sf):
     found = D.detections(V.readings(spark, sf), V.fields(spark, sf))
-    return D.analytics(found.withColumns({"season": F.lit("winter"), "climate_zone": F.lit("any")}))
+    return D.analytics(found.withColumns({
+        "season": W.season(F.dayofyear("slot"), F.col("lat")), "climate_zone": W.climate_zone(F.col("lat"))}))
 
 
 @query("disease_analytics_noon", with_views("records", """

@@ -26,20 +26,26 @@ def readings_of(readings: DataFrame, fields: DataFrame, owner=None) -> DataFrame
 def history(readings: DataFrame, fields: DataFrame, users: DataFrame, requester, out: str, owner=None,
             include_diseases: bool = True) -> None:
     """Training history: readings to the cold store with a log row, noon disease
-    records to their table, the daily summary mart, and a ledger entry."""
+    records to their table, the daily summary mart, and a ledger entry.
+
+    Disease records, alerts, summary and advice of the owner's fields are replaced,
+    those of other fields stay; so a run may be repeated or made for one owner. Cold
+    readings are appended per run, as an archive."""
     spark = readings.sparkSession
     check_allowed(users, requester, "run_simulation")
     own = readings_of(readings, fields, owner)
+    mine = FL.active_fields(fields, owner).select("field_id")
     with TS.ledgered(spark, f"{out}/batch_jobs", "history") as run:
         run.records = ST.append_logged(
             own.withColumn("data_type", F.lit("ml_training")), ["ml_training"], f"{out}/cold",
             f"{out}/data_generation_logs", F.to_date("timestamp"))["ml_training"]
         if include_diseases:
-            D.disease_records(own, fields).write.mode("append").parquet(f"{out}/disease_records")
-            records = spark.read.parquet(f"{out}/disease_records")
-            D.alerts(records, fields).write.mode("overwrite").parquet(f"{out}/alerts")
-            S.daily_field_summary(own, records).write.mode("overwrite").parquet(f"{out}/analytics_summary")
-        D.fertiliser_advice(own).write.mode("overwrite").parquet(f"{out}/recommendations")
+            records = D.disease_records(own, fields)
+            TS.replace_rows(records, f"{out}/disease_records", "field_id", mine)
+            records = spark.read.parquet(f"{out}/disease_records").join(mine, "field_id", "left_semi")
+            TS.replace_rows(D.alerts(records, fields), f"{out}/alerts", "field_id", mine)
+            TS.replace_rows(S.daily_field_summary(own, records), f"{out}/analytics_summary", "field_id", mine)
+        TS.replace_rows(D.fertiliser_advice(own), f"{out}/recommendations", "field_id", mine)
 
 
 def live(readings: DataFrame, fields: DataFrame, out: str, owner=None,
@@ -56,12 +62,12 @@ def prepare_images(spark: SparkSession, raw: str, out: str, name: str, size=K.TA
     The split is worked out on paths alone; pixels are decoded once, labelled
     and changed in their task, and only shuffled to size the output files.
     """
-    paths = DS.raw_images(FS.image_files(spark, raw))
+    paths = DS.raw_images(FS.image_files(spark, raw), raw)
     if paths.isEmpty():
         raise ValueError(f"no images under {raw}")
     cuts = DS.split_cuts(paths, key="path")
     SD.write_manifest(DS.with_split(paths, cuts, key="path"), f"{out}/manifest")
-    pixels = IM.valid_images(DS.raw_images(FS.decoded_images(spark, raw)), skip_corrupted)
+    pixels = IM.valid_images(DS.raw_images(FS.decoded_images(spark, raw), raw), skip_corrupted)
     placed = IM.resize(IM.as_rgb(DS.with_split(pixels, cuts, key="path")), *size)
     drawn = DS.augmentation_draws(DS.with_copies(placed, copies), "path")
     named = IM.apply_augmentation(drawn).withColumns({

@@ -8,27 +8,39 @@ from fieldlake.plans.registry import query
 from fieldlake.plans.views import CLASSES, with_views
 from fieldlake.sources import domain as V
 
-RANGES = [r for r in K.READING_RANGES if r[0] in ("moisture", "ph", "nitrogen", "humidity", "clouds", "wind_direction")]
+# Measured columns that the mapped readings lack, so that every rule meets rows.
+MORE_READINGS = {
+    "electrical_conductivity": "CAST(event_id % 40 - 1 AS DOUBLE)", "phosphorus": "CAST(event_id % 60 - 2 AS DOUBLE)",
+    "potassium": "CAST(event_id % 70 - 3 AS DOUBLE)", "wind_speed": "CAST(event_id % 30 - 1 AS DOUBLE)",
+    "light_intensity": "CAST(event_id % 90 - 2 AS DOUBLE)",
+}
+MORE_WEATHER = {
+    "wind_speed": "CAST(rainfall - 1 AS DOUBLE)", "clouds": "CAST(humidity + 3 AS DOUBLE)",
+    "wind_direction": "CAST(humidity * 5 - 160 AS DOUBLE)",
+}
 
 
-def _range_sql() -> str:
-    parts = []
-    for column, low, high in RANGES:
+def _more(columns):
+    return {name: F.expr(sql) for name, sql in columns.items()}
+
+
+def _range_sql(table, key, ranges, more) -> str:
+    parts, source = [], f"(SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in more.items())} FROM {table})"
+    for column, low, high in ranges:
         tests = ([f"{column} < {low}"] if low is not None else []) + ([f"{column} > {high}"] if high is not None else [])
-        parts.append(f"SELECT event_id, '{column}' AS column_name, CAST({column} AS DOUBLE) AS bad_value "
-                     f"FROM readings WHERE {' OR '.join(tests)}")
+        parts.append(f"SELECT {key}, '{column}' AS column_name, CAST({column} AS DOUBLE) AS bad_value "
+                     f"FROM {source} WHERE {' OR '.join(tests)}")
     return " UNION ALL ".join(parts)
 
 
-@query("dq_range", with_views("readings", _range_sql()))
+@query("dq_range", with_views("readings", _range_sql("readings", "event_id", K.READING_RANGES, MORE_READINGS)))
 def dq_range(spark, sf):
-    return Q.out_of_range(V.readings(spark, sf), K.READING_RANGES, "event_id")
+    return Q.out_of_range(V.readings(spark, sf).withColumns(_more(MORE_READINGS)), K.READING_RANGES, "event_id")
 
 
-@query("dq_range_weather", with_views("weather", """
-    SELECT field_id, humidity AS bad_value FROM weather WHERE humidity < 20 OR humidity > 95"""))
+@query("dq_range_weather", with_views("weather", _range_sql("weather", "field_id", K.WEATHER_RANGES, MORE_WEATHER)))
 def dq_range_weather(spark, sf):
-    return Q.out_of_range(V.weather(spark, sf), K.WEATHER_RANGES, "field_id").select("field_id", "bad_value")
+    return Q.out_of_range(V.weather(spark, sf).withColumns(_more(MORE_WEATHER)), K.WEATHER_RANGES, "field_id")
 
 
 @query("dq_primary_key", with_views("repeated", """

@@ -30,7 +30,8 @@ def scan_user(spark, sf):
 
 @query("scan_readings_json", with_views("readings", """
     SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(field_id AS VARCHAR) AS field_id, sensor_type, "timestamp",
-    moisture, temperature, rainfall, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS ingest_date FROM readings"""))
+    CASE WHEN sensor_type = 'soil' THEN moisture END AS moisture, temperature,
+    CASE WHEN sensor_type = 'atmospheric' THEN rainfall END AS rainfall, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS ingest_date FROM readings"""))
 def scan_readings_json(spark, sf):
     path = work_path(spark, "json-archive")
     ST.write_json_archive(ST.nested_readings(V.readings(spark, sf)), path)
@@ -114,7 +115,7 @@ def scan_relational(spark, sf):
 def weather_payload_normalise(spark, sf):
     rows = V.weather_payloads(spark, sf).join(V.fields(spark, sf).select("field_id", "lat"), "field_id")
     parsed = rows.withColumn("p", F.from_json("payload", WEATHER_PAYLOAD))
-    return parsed.select("event_id", *W.payload_columns(F.col("p"), F.col("lat"), F.dayofyear("timestamp")))
+    return parsed.filter(W.is_weather(F.col("p"))).select("event_id", *W.payload_columns(F.col("p"), F.col("lat"), F.dayofyear("timestamp")))
 
 
 @query("stream_source_readings", with_views("readings", "SELECT * FROM readings"))

@@ -82,16 +82,21 @@ def nested_readings(flat: DataFrame) -> DataFrame:
     """Flat readings in the nested archive form (fields of other sensor kinds are null)."""
     names = set(flat.columns)
 
-    def pick(schema, renames={}):
-        return F.struct(*[
-            (F.col(renames.get(f.name, f.name)) if renames.get(f.name, f.name) in names else F.lit(None))
-            .cast(f.dataType).alias(f.name) for f in schema.fields
-        ])
+    def pick(schema, renames={}, kinds={}):
+        def one(f):
+            name = renames.get(f.name, f.name)
+            value = F.col(name) if name in names else F.lit(None)
+            return F.when(F.col("sensor_type") == kinds[f.name], value) if f.name in kinds else value
+
+        return F.struct(*[one(f).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    order = [f.name for f in schemas.READINGS.fields]
+    kind_of = {n: "soil" if n in order[:7] else "atmospheric" for n in order if n != "temperature"}
 
     return flat.select(
         "event_id", F.col("sensor_id").cast("string"), F.col("field_id").cast("string"), "sensor_type", "timestamp",
         pick(schemas.LOCATION).alias("location"),
-        pick(schemas.READINGS, {"cloud_coverage": "clouds"}).alias("readings"),
+        pick(schemas.READINGS, {"cloud_coverage": "clouds"}, kind_of).alias("readings"),
         pick(schemas.WEATHER, {"wind_direction": "none", "clouds": "none"}).alias("weather_context"),
     )
 

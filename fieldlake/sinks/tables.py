@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fieldlake import constants as K, schemas
+from fieldlake.session import path_exists, stored
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, version: str) -> DataFrame:
@@ -37,6 +38,19 @@ def absent_rows(new: DataFrame, old: DataFrame, key: str, tie: str) -> DataFrame
     return first.join(old.select(key).distinct(), key, "left_anti")
 
 
+def replace_rows(new: DataFrame, path: str, key: str, keys: DataFrame) -> None:
+    """Replace the rows of a stored table whose key is among ``keys``; the others stay.
+
+    The new table is staged in the shared folder before the old one is overwritten,
+    because it is made from it.
+    """
+    spark = new.sparkSession
+    if path_exists(spark, path):
+        kept = spark.read.schema(new.schema).parquet(path).join(keys.distinct(), key, "left_anti")
+        new = stored(kept.select(*new.columns).unionByName(new), "replaced")
+    new.write.mode("overwrite").parquet(path)
+
+
 class JobRun:
     """Handle given to the body of ``ledgered``; holds the row count to record."""
 
@@ -59,7 +73,7 @@ def ledgered(spark: SparkSession, path: str, job_name: str):
     try:
         yield run
     except Exception as error:
-        status, message = "failed", str(error)[:1000]
+        status, message = "failed", str(error)
         raise
     finally:
         end = datetime.now(timezone.utc)

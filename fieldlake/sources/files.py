@@ -35,6 +35,11 @@ def image_files(spark: SparkSession, path: str, contents: bool = False) -> DataF
 
 
 def decoded_images(spark: SparkSession, path: str) -> DataFrame:
-    """Pixels in BGR order; files that do not decode are kept with height -1."""
+    """Pixels in BGR order; files that do not decode are kept with height -1.
+
+    The image source spells paths URL-encoded; they are decoded here, so that they
+    equal those of ``image_files``.
+    """
     images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
-    return images.withColumn("path", plain_path(F.col("image.origin")))
+    origin = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
+    return images.withColumn("path", plain_path(origin))
