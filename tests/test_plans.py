@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from fieldlake.plans import registry
 
 
 def plan_of(df) -> str:
@@ -60,8 +61,9 @@ def test_filters_reach_the_scan(spark, small):
 
 
 def test_every_check_has_its_job():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"resize_pixels", "rotate", "sink_processed_images"}
+    jobs, checks = registry.load()
+    assert set(jobs) <= set(queries()) and set(checks) <= set(oracle_sql()) <= set(queries())
+    assert set(jobs) - set(checks) == {"resize_pixels", "rotate", "sink_processed_images"}
 
 
 def test_queries_load_without_a_session():
