@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldlake.llm.common import table
-from fieldlake.session import work_path
+from fieldlake.session import stored, work_path
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -47,9 +47,12 @@ def op3_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     flat = flat.select(
         F.when(page != "", page).cast("long").alias("page_id"), "capture_id", "refers_to", "payload_bytes", "payload_digest",
         F.col("type").alias("record_type"), "target_uri", "n_requests")
-    named = flat.filter("record_type = 'response'").select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("to_page"))
-    return flat.join(named.dropDuplicates(["refers_to"]), "refers_to", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("to_page").alias("refers_to"), "target_uri", "n_requests")
+    flat = stored(flat, "captures")
+    named = stored(flat.filter("record_type = 'response'").groupBy(F.col("capture_id").alias("refers_to")).agg(F.max("page_id").alias("to_page")), "responses")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", F.col("to_page").alias("refers_to"), "target_uri", "n_requests"]
+    revisits = flat.filter("record_type = 'revisit'").join(named, "refers_to", "left").select(*columns)
+    # responses refer to nothing: they don't take part in the join
+    return flat.filter("record_type <> 'revisit'").withColumn("to_page", F.lit(None).cast("long")).select(*columns).unionByName(revisits)
 
 
 OP3 = """
