@@ -125,6 +125,7 @@ def _leaks(docs: DataFrame, cut: DataFrame, k: int, least: float, radius: int) -
     near = F.explode(numbers(near_values(radius), "int")).alias("change")
     index = prints(listed, ["item_id", "m"]).select("item_id", "m", F.col("print").alias("item_print"), "block", "value", near)
     index = index.select("item_id", "m", "item_print", "block", F.col("value").bitwiseXOR(F.col("change")).alias("value"))
+    index = stored(index, "leak-index")  # a table, so that the join sees its true size
     pairs = prints(contents, ["key", "m"]).join(index, ["m", "block", "value"]).filter(distance(F.col("print"), F.col("item_print")) <= radius)
     pairs = pairs.select("key", "item_id", "m").distinct()
     exact = pairs.join(contents.select("key", "w"), "key").join(listed.select("item_id", "m", F.col("w").alias("v")), ["item_id", "m"])
