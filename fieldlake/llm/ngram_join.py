@@ -28,8 +28,12 @@ from fieldlake.session import stored
 
 #: Bits of the frequency table.
 BITS = 20
+#: Sets of a batch from which on its count of an n-gram goes into the table. Half of it on
+#: average over all batches makes a place of the table frequent: a share of the
+#: documents, so that frequent n-grams stay few however many documents there are.
+OFTEN = 8
 #: Share of the hash range in which n-grams of one set only are looked for.
-RANGE = 0.3
+RANGE = 0.4
 #: N-grams of a block, or of one side of a pair of block parts, that a task holds.
 PART = 1_500_000
 #: N-grams looked at between two bounds of a traversal.
@@ -196,9 +200,10 @@ def _classes(docs: DataFrame) -> DataFrame:
             if not distinct:
                 continue
             grams, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-            again = counts > 1
+            again = counts >= OFTEN
             sums = np.bincount((grams[again] >> np.uint64(64 - BITS)).astype(np.int64), counts[again], 1 << BITS).astype(np.int64)
             full = np.flatnonzero(sums)
+            sums, full = np.append(sums, 1), np.append(full, 1 << BITS)  # one more place counts the batches
             for at in range(0, len(full), 50_000):
                 some = full[at : at + 50_000]
                 none = pa.nulls(len(some), pa.int64())
@@ -210,8 +215,10 @@ def _classes(docs: DataFrame) -> DataFrame:
 
 def _levels(rows: DataFrame) -> np.ndarray:
     """The order of magnitude of the n-grams' frequency by bucket: at most 2^BITS small numbers."""
-    sums = rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n >= 4")
-    table = sums.select("bucket", F.least(F.lit(40), F.floor(F.log2("n"))).cast("byte").alias("level")).toArrow()
+    sums = rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n"))
+    batches = (sums.filter(F.col("bucket") == 1 << BITS).first() or [0, 1])[1]
+    hot = sums.filter((F.col("bucket") < 1 << BITS) & (F.col("n") >= OFTEN // 2 * batches))
+    table = hot.select("bucket", F.least(F.lit(40), F.floor(F.log2("n"))).cast("byte").alias("level")).toArrow()
     levels = np.zeros(1 << BITS, np.uint8)
     levels[table["bucket"].to_numpy()] = table["level"].to_numpy()
     return levels
@@ -289,13 +296,16 @@ def _ties(candidates: DataFrame, levels: np.ndarray) -> DataFrame:
     the frequent ones by level. Each n-gram ties its sets to the smallest of them, so
     the edges are as many as the prefixes' n-grams, not as their pairs.
     """
-    rows = stored(candidates.select("node", "text").mapInArrow(_spread(levels, None), KEYS), "ngram-keys")
-    rare = rows.filter("level = 0").withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    rare = stored(rare, "ngram-rare")
-    alone = rare.filter("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    room = candidates.select("node", (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1).alias("p")).join(alone, "node", "left")
-    room = room.select("node", (F.col("p") - F.coalesce("alone", F.lit(0))).alias("room")).filter("room > 0")
-    shared = rare.filter("sets > 1").unionByName(rows.filter("level > 0").withColumn("sets", F.lit(0).cast("long")))
+    # read anew for each use: the n-grams of all candidates are never stored, only those that some share
+    rows = candidates.select("node", "text").mapInArrow(_spread(levels, None), KEYS)
+    counted = rows.filter("level = 0").withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    rare = stored(counted.filter("sets > 1"), "ngram-rare")
+    listed = rows.filter("level = 0").groupBy("node").agg(F.count(F.lit(1)).alias("listed"))
+    shared = rare.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    alone = F.coalesce("listed", F.lit(0)) - F.coalesce("shared", F.lit(0))
+    room = candidates.select("node", (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1).alias("p")).join(listed, "node", "left").join(shared, "node", "left")
+    room = stored(room.select("node", (F.col("p") - alone).alias("room")).filter("room > 0"), "ngram-room")
+    shared = rare.unionByName(rows.filter("level > 0").withColumn("sets", F.lit(0).cast("long")))
     order = Window.partitionBy("node").orderBy("level", "sets", "key")
     prefix = shared.join(room, "node").withColumn("place", F.row_number().over(order)).filter("place <= room").select("key", "node")
     prefix = stored(prefix, "ngram-prefixes")
