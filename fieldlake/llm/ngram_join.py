@@ -244,7 +244,8 @@ def _spread(levels: np.ndarray, below: float | None):
                 level = levels[s >> np.uint64(64 - BITS)]
                 if below is None:
                     hot = np.flatnonzero(level)
-                    some = np.concatenate([np.flatnonzero(level == 0), hot[np.argsort(level[hot], kind="stable")][: prefix_size(len(s))]])
+                    first = hot[np.lexsort((s[hot].view(np.int64), level[hot]))]  # by the signed key, as the window in _ties
+                    some = np.concatenate([np.flatnonzero(level == 0), first[: prefix_size(len(s))]])
                 else:
                     some = np.flatnonzero((level == 0) & (s < np.uint64(int(below * 2**64))))
                 keys.append(s[some])

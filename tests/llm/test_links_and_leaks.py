@@ -95,6 +95,20 @@ def test_join_equals_brute_force(spark, docs_of, monkeypatch):
     assert sorted(map(tuple, ngram_join.join_documents(docs).collect())) == want
 
 
+def test_join_of_contained_documents_with_two_frequency_levels(spark, docs_of):
+    """Each family: a text of 80 frequent shingles, 38 of one level and 42 of the next, and the same with 20 own ones: 0.8."""
+    texts = []
+    for f in range(6):
+        words = [f"f{f}x{i}" for i in range(84)]
+        own = lambda k, n=120, f=f: " ".join(f"f{f}o{k}x{i}" for i in range(n))
+        texts += [" ".join(words), " ".join(words) + " " + own(0, 20)]
+        texts += [" ".join(words) + " " + own(1 + k) for k in range(16)] + [" ".join(words[38:]) + " " + own(100 + k) for k in range(60)]
+    pairs = list(enumerate(texts))
+    want = plain_components(pairs)
+    assert sum(i != c for i, _, c in want) == 6
+    assert sorted(map(tuple, ngram_join.join_documents(docs_of(pairs).coalesce(1)).collect())) == want
+
+
 def test_join_of_repeated_and_nameless_rows(spark, docs_of):
     text = prose(3, 40)
     rows = [(4, text), (4, text), (None, text), (2, text + " more"), (9, "other words"), (9, "two texts of one id"), (9, "two texts of one id"), (5, None)]
