@@ -137,6 +137,9 @@ def _leaks(docs: DataFrame, cut: DataFrame, k: int, least: float, radius: int) -
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, least: float = 0.8, radius: int = 15) -> DataFrame:
-    """``docs`` without those that hold an item; all columns stay, rows without doc_id too unless their text leaks."""
-    found = stored(leaks(docs, items, least, radius).select(F.col("doc_id").alias("_leak")).distinct(), "leak-ids")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leak"]), "left_anti")
+    """``docs`` without the rows that hold an item; all columns stay. Each row goes by its own text, whatever other rows have its doc_id."""
+    text = F.xxhash64("text")
+    own = docs.select(F.struct("doc_id", text.alias("text")).alias("doc_id"), "text")
+    found = leaks(own, items, least, radius).select(F.col("doc_id.doc_id").alias("_leak"), F.col("doc_id.text").alias("_text")).distinct()
+    found = stored(found, "leak-ids")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leak"]) & (text == found["_text"]), "left_anti")

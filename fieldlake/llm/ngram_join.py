@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from fieldlake.llm import shingles
 from fieldlake.llm.common import bit_map, in_map, numbers
@@ -378,6 +378,15 @@ def linked(docs: DataFrame, every: bool = False) -> tuple[DataFrame, DataFrame]:
     return named.drop("check"), stored(_links(members, levels, every), "ngram-links")
 
 
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per row its set's name, size and component (doc_id, node, n, label); the rows without words apart (doc_id, n)."""
+    named, links = linked(docs)
+    named = stored(named, "ngram-documents")
+    label = components(links)
+    with_label = named.filter("n > 0").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return stored(with_label.select("doc_id", "node", "n", "label"), "ngram-labels"), named.filter("n = 0").select("doc_id", "n")
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links), one row per row.
 
@@ -387,30 +396,47 @@ def join_documents(docs: DataFrame) -> DataFrame:
     never the smallest unless the component has no other. Whole texts are read; other
     columns are ignored.
     """
-    named, links = linked(docs)
-    named = stored(named, "ngram-documents")
-    label = components(links)
-    with_label = named.filter("n > 0").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    with_label = stored(with_label, "ngram-labels")
+    with_label, bare = _labelled(docs)
     least = stored(with_label.groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-components")
     out = with_label.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(named.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return out.unionByName(bare.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; all columns stay.
+    """One row of each component, of the smallest doc_id in it; all columns stay.
 
-    Documents without words stay, each. A row that is repeated with its doc_id stays
-    once. The ids that go are collected in a table and joined; the texts of all others
-    stay where they are where that table is small.
+    Rows are told apart by doc_id and set, so rows of one doc_id, or without one, stay
+    or go each by its own text; of several sets of that doc_id in a component one
+    stays. Rows without words stay, each. Ids of which all rows go, or the only row
+    stays, are decided by the id alone; the sets of the others are named anew.
     """
-    classes = stored(join_documents(docs), "ngram-result").filter("n_shingles > 0")
-    gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-    again = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
-    again = stored(again, "ngram-repeated")
-    if again.isEmpty():
+    with_label, bare = _labelled(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")).alias("f")
+    chosen = stored(with_label.groupBy("label").agg(first).select(F.col("f.doc_id").alias("_own"), F.col("f.node").alias("_set")), "ngram-chosen")
+    rows = with_label.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    rows = rows.unionByName(bare.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))).groupBy("doc_id").agg(F.sum("rows").alias("rows"))
+    # a row without words always stays, so its id is not one of which all rows go
+    staying = chosen.select(F.col("_own").alias("doc_id")).unionByName(bare.select("doc_id")).distinct().withColumn("stays", F.lit(True))
+    ids = rows.filter("doc_id IS NOT NULL").join(staying, "doc_id", "left")
+    ids = stored(ids.select("doc_id", "rows", F.coalesce("stays", F.lit(False)).alias("stays")), "ngram-ids")
+    gone = ids.filter("NOT stays").select(F.col("doc_id").alias("_gone"))
+    mixed = stored(ids.filter("stays AND rows > 1").select(F.col("doc_id").alias("_mixed")), "ngram-mixed")
+    named = docs.filter("doc_id IS NOT NULL")
+    kept = named.join(gone, named["doc_id"] == gone["_gone"], "left_anti")
+    nameless = not rows.filter("doc_id IS NULL").isEmpty()
+    if mixed.isEmpty() and not nameless:
         return kept
-    once = kept.join(again, kept["doc_id"].eqNullSafe(again["_again"]), "left_anti")
-    more = kept.join(again, kept["doc_id"].eqNullSafe(again["_again"]), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    once = kept.join(mixed, kept["doc_id"] == mixed["_mixed"], "left_anti")
+    more = named.join(mixed, named["doc_id"] == mixed["_mixed"], "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    schema = T.StructType([*more.schema.fields, T.StructField("_node", T.LongType())])
+    at = more.columns.index("text")
+
+    def named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [shingles.name(s)[0] if len(s) else None for s in shingles.sets(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], [*batch.schema.names, "_node"])
+
+    more = more.mapInArrow(named_sets, schema)
+    by_set = more.filter("_node IS NOT NULL").join(chosen, F.col("doc_id").eqNullSafe(F.col("_own")) & (F.col("_node") == F.col("_set")), "left_semi")
+    wordless = more.filter("_node IS NULL")
+    return once.unionByName(by_set.dropDuplicates(["doc_id", "_node"]).unionByName(wordless).drop("_node"))

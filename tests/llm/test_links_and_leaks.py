@@ -134,6 +134,21 @@ def test_join_query(spark, small):
     assert sorted(map(tuple, queries.op10_ngram_jaccard(spark, small).collect())) == plain_components(sorted(map(tuple, docs)))
 
 
+def test_representatives_go_by_row(spark, docs_of):
+    a, b, c, d = (prose(600 + i, 40) for i in range(4))
+    rows = [(1, a), (None, a), (None, b), (None, b), (None, c), (None, ""), (7, a), (7, d), (7, d), (7, None)]
+    kept = ngram_join.representatives(docs_of(rows)).collect()
+    want = [(1, a), (None, b), (None, c), (None, ""), (7, d), (7, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
+
+
+def test_leaking_rows_go_by_their_text(spark, docs_of):
+    items = spark.createDataFrame([(1, prose(610, 30))], "item_id long, text string")
+    leak, clean = "x " + prose(610, 30) + " y", prose(611, 50)
+    kept = decontaminate.without_leaks(docs_of([(None, leak), (None, clean), (None, None), (3, leak), (3, clean), (4, leak)]), items).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(None, clean), (None, None), (3, clean)], key=str)
+
+
 def plain_leaks(docs, items, least=0.8):
     """All (doc, item) of which an item-sized window reaches the similarity, by trying every window."""
     out = {}
