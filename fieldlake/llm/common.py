@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Arrow batches sent to Python hold at most ``size`` bytes, however long the rows are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def numbers(values: Iterable[float], kind: str) -> Column:
     """A list of bounded length as an array literal: one folded constant, not one node per value."""
     return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")
