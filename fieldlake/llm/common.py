@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fieldlake.session import work_path
+
 #: Word borders of the text operators: ASCII white space.
 WHITE = r"[\x20\x09-\x0D]+"
 #: Largest bit map in 64-bit parts; a fuller map only lets more rows through.
@@ -22,6 +24,13 @@ def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def stored_wide(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` for rows of up to megabytes: small row groups, so that neither writer nor reader holds many of them."""
+    path = work_path(df.sparkSession, name)
+    df.write.options(**{"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 4, "parquet.page.size.row.check.max": 100}).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbers(values: Iterable[float], kind: str) -> Column:
     """A list of bounded length as an array literal: one folded constant, not one node per value."""
     return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")

@@ -23,16 +23,17 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldlake.llm.common import bounded_batches
+from fieldlake.llm.common import bounded_batches, stored_wide
 from fieldlake.session import stored
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Postings per task that builds, per index row, and held at a time by a search.
-TASK_POSTINGS, ROW_POSTINGS, HELD_POSTINGS = 8_000_000, 200_000, 2_000_000
+TASK_POSTINGS, ROW_POSTINGS, HELD_POSTINGS = 4_000_000, 50_000, 1_000_000
 #: Item terms per block: what a search holds of the items.
 BLOCK_TERMS = 200_000
 
-COUNTED = "salt long, doc_id long, n long, terms array<string>, tfs array<int>"
+#: One row per document: its terms in one string, parted by blanks, and their frequencies as 32-bit integers.
+COUNTED = "salt long, doc_id long, n long, size int, terms string, tfs binary"
 INDEX = ("m long, doc_ids array<long>, terms array<string>, counts array<int>, term_at array<int>, tfs array<int>, "
          "group_at array<int>, places array<int>")
 
@@ -42,21 +43,20 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = np.uint64(TaskContext.get().partitionId() << 40)
     done = 0
     for batch in batches:
-        ids, ns, terms, tfs, at = [], [], [], [], [0]
+        ids, ns, sizes, terms, tfs = [], [], [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()), strict=True):
             counts = Counter(TERM.findall((text.as_py() or b"").lower()))  # of bytes: only A-Z change
             if counts:
                 ids.append(doc_id)
                 ns.append(counts.total())
-                terms += counts.keys()
-                tfs += counts.values()
-                at.append(len(terms))
+                sizes.append(len(counts))
+                terms.append(b" ".join(counts))
+                tfs.append(np.fromiter(counts.values(), np.int32, len(counts)).tobytes())
         own = (salt + np.arange(done, done + len(ids), dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         done += len(ids)
-        lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), values) for values in (
-            pa.array(terms, pa.binary()).cast(pa.string()), pa.array(tfs, pa.int32()))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(own.view(np.int64)), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), *lists], [c.split()[0] for c in COUNTED.split(", ")])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(own.view(np.int64)), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(sizes, pa.int32()),
+            pa.array(terms, pa.binary()).cast(pa.string()), pa.array(tfs, pa.binary())], [c.split()[0] for c in COUNTED.split(", ")])
 
 
 def _stratify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,13 +64,10 @@ def _stratify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in INDEX.split(", ")]
 
     def row(m: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        def flat(name: str) -> pa.Array:
-            return pa.concat_arrays([p.column(name).flatten() for p in parts])
-
-        doc_ids = pa.concat_arrays([p.column("doc_id") for p in parts])
-        sizes = np.concatenate([pc.list_value_length(p.column("terms")).to_numpy() for p in parts])
-        terms = flat("terms").dictionary_encode()
-        code, tf, doc = terms.indices.to_numpy(), flat("tfs").to_numpy(), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        doc_ids, sizes, texts = (pa.concat_arrays([p.column(c) for p in parts]) for c in ("doc_id", "size", "terms"))
+        terms = pc.split_pattern(texts, " ").flatten().dictionary_encode()
+        tf = np.frombuffer(b"".join(v for p in parts for v in p.column("tfs").to_pylist()), np.int32)
+        code, doc = terms.indices.to_numpy(), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes.to_numpy())
         order = np.lexsort((doc, -tf, code))
         code, tf, doc = code[order], tf[order], doc[order]
         new_term = np.concatenate([[True], code[1:] != code[:-1]])
@@ -86,7 +83,7 @@ def _stratify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, parts, postings = None, [], 0
     for batch in batches:
         m = batch.column("m").to_numpy()
-        total = np.cumsum(pc.list_value_length(batch.column("terms")).to_numpy().astype(np.int64))
+        total = np.cumsum(batch.column("size").to_numpy().astype(np.int64))
         first = 0
         while first < len(m):
             if parts and (m[first] != held or postings >= ROW_POSTINGS):
@@ -112,12 +109,20 @@ def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Index:
     """The index of all rows of ``docs`` that hold a term; each row counts on its own."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    counted = stored(rows.mapInArrow(_count_terms, COUNTED), "counted-terms")
-    n, length, postings = (x or 0 for x in counted.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.size("terms").cast("long"))).first())
-    strata = counted.withColumn("m", F.lit(25) + F.expr(f"(75L * n * {n}L) div {max(length, 1)}L"))
+    counted = stored_wide(rows.mapInArrow(_count_terms, COUNTED), "counted-terms")
+    n, length, postings = (x or 0 for x in counted.agg(F.count(F.lit(1)), F.sum("n"), F.sum("size")).first())
+    dealt = counted.withColumn("m", F.lit(25) + F.expr(f"(75L * n * {n}L) div {max(length, 1)}L"))
     tasks = int(max(1, -(-postings // TASK_POSTINGS), min(2 * docs.sparkSession.sparkContext.defaultParallelism, postings // 100_000)))
-    in_order = strata.repartitionByRange(tasks, "m", "salt").sortWithinPartitions("m").select("m", "doc_id", "terms", "tfs")
-    return Index(stored(in_order.mapInArrow(_stratify, INDEX), "strata"), n, length)
+    # ranges of m with equal shares of the postings; a stratum larger than a share is spread by salt. One row per m:
+    # as many as there are document lengths, however many documents
+    shares = dealt.groupBy("m").agg(F.sum("size").alias("own")).withColumn(
+        "before", F.sum("own").over(Window.orderBy("m").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("own"))
+    shares = stored(shares.withColumnRenamed("m", "of_m"), "strata-shares")
+    at = F.col("before") + F.col("own") * (F.shiftrightunsigned("salt", 11).cast("double") / float(1 << 53))
+    task = F.least(F.floor(at * tasks / float(max(postings, 1))), F.lit(tasks - 1)).cast("int")
+    placed = dealt.join(shares, F.col("m") == F.col("of_m")).select(task.alias("task"), "m", "doc_id", "size", "terms", "tfs")
+    in_order = placed.repartitionById(tasks, "task").sortWithinPartitions("m").drop("task")
+    return Index(stored_wide(in_order.mapInArrow(_stratify, INDEX), "strata"), n, length)
 
 
 class _Stratum:
@@ -205,14 +210,24 @@ def _search(items: list[int | None], at: np.ndarray, term: np.ndarray, weight: n
     return run
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, text) to one row per distinct term and how often it occurs."""
+    for batch in batches:
+        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
+            counts = Counter(TERM.findall((text or b"").lower()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([item] * len(counts), pa.int64()), pa.array(counts, pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64())],
+                ["item_id", "term", "times"])
+
+
 def weights(index: Index, items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """item_id, term, weight: the terms of each item that some document holds, repeats counted in.
 
     Rows repeated in full count once; different texts of one item_id are one item.
     """
-    rows = items.select(F.col(item_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).distinct()
-    counted = rows.mapInArrow(_count_terms, COUNTED).select(F.col("doc_id").alias("item_id"), F.explode(F.arrays_zip("terms", "tfs")).alias("t"))
-    asked = stored(counted.groupBy("item_id", F.col("t.terms").alias("term")).agg(F.sum("t.tfs").alias("times")), "item-terms")
+    rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).distinct()
+    counted = rows.mapInArrow(_item_terms, "item_id long, term string, times long")
+    asked = stored(counted.groupBy("item_id", "term").agg(F.sum("times").alias("times")), "item-terms")
     held = index.rows.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
     df = held.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
     rarity = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * index.docs + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long")

@@ -78,7 +78,7 @@ def test_strata_in_parts_and_items_in_blocks(spark, monkeypatch):
     docs = odd_documents()
     assert search(spark, docs, ASKED) == plain_search(docs, ASKED)
     counted = texts_frame(spark, docs).select("doc_id", "text").coalesce(1).mapInArrow(lexical._count_terms, lexical.COUNTED)
-    batches = counted.withColumn("m", F.lit(3).cast("long")).select("m", "doc_id", "terms", "tfs").toArrow().to_batches()
+    batches = counted.withColumn("m", F.lit(3).cast("long")).select("m", "doc_id", "size", "terms", "tfs").toArrow().to_batches()
     monkeypatch.setattr(lexical, "ROW_POSTINGS", 50)
     rows = list(lexical._stratify(iter(batches)))
     assert len(rows) > 10 and sum(len(r.column("doc_ids")[0]) for r in rows) == counted.count()
