@@ -121,6 +121,8 @@ SOIL_SENSORS_PER_FIELD = 5
 SENSOR_BOX_DEGREES = 0.01
 SLOT_HOURS = 3
 ARCHIVE_THRESHOLD = 100
+# Rainfall is added up in this type, so that totals do not depend on the order of rows.
+RAIN_SUM = "decimal(28,9)"
 FRESH_SECONDS = 3600
 RETENTION_DAYS = 30
 NITROGEN_LOW = 45.0

@@ -87,31 +87,40 @@ def best_rules(conditions: DataFrame) -> DataFrame:
     )
 
 
-def infection_progress(selected: DataFrame, time="slot") -> DataFrame:
+def infection_progress(selected: DataFrame, time="slot", started: DataFrame | None = None) -> DataFrame:
     """Status, days and severity along each (field, disease).
 
     Input holds at most one row per field and time, so the window of one
     (field, disease) is bounded by the number of times, not by the number of
-    readings: a hot field has been reduced before this point.
+    readings: a hot field has been reduced before this point. ``started`` are the
+    first detections of earlier runs (field_id, disease, started): an infection
+    goes on from there.
     """
     course = Window.partitionBy("field_id", "disease").orderBy(time)
-    days = R.whole_days(F.first(time).over(course), F.col(time))
+    first = F.first(time).over(course)
+    is_new = F.row_number().over(course) == 1
+    if started is not None:
+        selected = selected.join(started, ["field_id", "disease"], "left")
+        first = F.least(first, F.col("started"))
+        is_new = is_new & (F.col(time) == first)
+    days = R.whole_days(first, F.col(time))
     return (
         selected.withColumn("days_active", days)
-        .withColumn("status", F.when(F.row_number().over(course) == 1, "new_infection").otherwise("active_infection"))
+        .withColumn("status", F.when(is_new, "new_infection").otherwise("active_infection"))
         .withColumn("severity", F.round(R.severity(F.col("risk"), F.col("days_active"), F.col("progression")), 3))
+        .drop("started")
     )
 
 
-def detections(readings: DataFrame, fields: DataFrame) -> DataFrame:
+def detections(readings: DataFrame, fields: DataFrame, started: DataFrame | None = None) -> DataFrame:
     """Readings to infections: which field has which disease, how severe, since when."""
-    return infection_progress(best_rules(with_crop(field_conditions(readings), fields)))
+    return infection_progress(best_rules(with_crop(field_conditions(readings), fields)), started=started)
 
 
-def disease_records(readings: DataFrame, fields: DataFrame) -> DataFrame:
+def disease_records(readings: DataFrame, fields: DataFrame, started: DataFrame | None = None) -> DataFrame:
     """Nested records from the noon rows, the only ones the daily check looks at."""
     noon = readings.filter(F.hour("slot") == 12)
-    found = detections(noon, fields)
+    found = detections(noon, fields, started)
     return found.select(
         "field_id", "disease", "severity", "status", F.col("slot").alias("detection_date"),
         F.struct("temperature", "humidity", "rainfall", "soil_moisture").alias("environmental_conditions"),

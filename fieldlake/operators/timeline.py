@@ -79,7 +79,7 @@ def rain_spells(readings: DataFrame, rows_per_chunk: int = 1_000_000, time: str
         "_dry", F.sum(F.when(wet, 0).otherwise(1)).over(inside))
     pieces = numbered.filter(wet).groupBy("sensor_id", "_chunk", "_dry").agg(
         F.min(time).alias("start"), F.max(time).alias("end"), F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("rainfall").cast("decimal(18,3)")).alias("total"), F.max("rainfall").alias("peak"),
+        F.sum(F.col("rainfall").cast(K.RAIN_SUM)).alias("total"), F.max("rainfall").alias("peak"),
     )
     dry_per_chunk = with_time_chunk(narrow, spans, "sensor_id", time, "inner").groupBy("sensor_id", "_chunk").agg(
         F.count_if(~wet).alias("_size"))

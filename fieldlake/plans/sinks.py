@@ -57,14 +57,21 @@ def sink_cold_partitioned(spark, sf):
 @query("sink_archive_threshold", with_views("readings", "SELECT * FROM readings"))
 def sink_archive_threshold(spark, sf):
     archive = J.threshold_archive(SR.readings_stream(spark, sf), work_path(spark, "archive"))
-    return spark.read.parquet(archive).drop("batch_id", "flush_id")
+    return spark.read.parquet(archive).drop("flush_id", "data_type", "ingest_date", "commit")
 
 
-@query("sink_fallback", with_views("readings", "SELECT event_id, moisture FROM readings"))
+@query("sink_fallback", with_views("readings", f"""
+    SELECT event_id, moisture, {TYPE_SQL} AS data_type, event_id % 2 = 0 AS was_kept FROM readings"""))
 def sink_fallback(spark, sf):
-    used = ST.append_with_fallback(
-        V.readings(spark, sf), "nostore://nowhere/cold", work_path(spark, "fallback"))
-    return spark.read.parquet(used).select("event_id", "moisture")
+    """Half of the rows meet a store that fails; they wait aside and are replayed into the store that works."""
+    base, rows = work_path(spark, "fallback"), typed_readings(spark, sf).withColumn("ingest_date", event_day())
+    even = F.col("event_id") % 2 == 0
+    rows = rows.withColumn("was_kept", even)
+    broken, store = (ST.cold_store(spark, path, rows.schema) for path in ("nostore://nowhere/cold", f"{base}/cold"))
+    side = ST.SideStore(spark, f"{base}/side", store.schema)
+    ST.append_or_keep(rows.filter(even), broken, side, ("job", 0))
+    ST.append_or_keep(rows.filter(~even), store, side, ("job", 1))
+    return store.read().select("event_id", "moisture", "data_type", "was_kept")
 
 
 @query("sink_generation_log", with_views("readings", f"""

@@ -1,8 +1,4 @@
-"""Streaming jobs, each run to the end of its input.
-
-Append mode emits a window once the watermark (one hour behind the latest
-event) has passed its end, so the checks keep only windows closed by then.
-"""
+"""Streaming jobs, each run to the end of its input: all rows and all windows."""
 
 from pyspark.sql import functions as F
 
@@ -13,8 +9,6 @@ from fieldlake.session import work_path
 from fieldlake.sources import domain as V, streams as SR
 from fieldlake.streaming import jobs as J
 
-WATERMARK_SQL = "(SELECT max(\"timestamp\") - INTERVAL 1 HOUR FROM readings)"
-
 
 @query("stream_hot_cold", with_views("readings", """
     SELECT event_id, 'hot' AS store, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS ingest_date FROM readings
@@ -28,11 +22,12 @@ def stream_hot_cold(spark, sf):
 
 
 @query("stream_infection_state", with_views("best readings", f"""
-    , closed AS (SELECT * FROM best WHERE slot + INTERVAL 1 HOUR <= {WATERMARK_SQL}),
-    course AS ({progress_sql('closed')})
+    , course AS ({progress_sql('best')})
     SELECT field_id, disease, slot, risk, days_active, status, severity FROM course"""))
 def stream_infection_state(spark, sf):
-    return J.drain_to_table(J.infection_stream(SR.readings_stream(spark, sf), V.fields(spark, sf)), "infections")
+    infections = J.Infections(spark, work_path(spark, "infections"), V.fields(spark, sf))
+    return infections.drain(SR.readings_stream(spark, sf)).settle().result().select(
+        "field_id", "disease", "slot", "risk", "days_active", "status", "severity")
 
 
 @query("stream_alerts", with_views("records fields", """
@@ -46,11 +41,12 @@ def stream_alerts(spark, sf):
     return J.drain_to_table(J.alert_stream(spark.readStream.schema(records.schema).parquet(stored), fields), "alerts")
 
 
-@query("stream_trend_window", with_views("readings", f"""
+@query("stream_trend_window", with_views("readings", """
     SELECT slot AS window_start, sensor_type, count(*) AS n_readings, avg(temperature) AS avg_temperature,
-    avg(moisture) AS avg_moisture FROM readings WHERE slot + INTERVAL 1 HOUR <= {WATERMARK_SQL} GROUP BY 1, 2"""))
+    avg(moisture) AS avg_moisture FROM readings GROUP BY 1, 2"""))
 def stream_trend_window(spark, sf):
-    return J.drain_to_table(J.trend_stream(SR.readings_stream(spark, sf)), "trend")
+    trend = J.trend(spark, work_path(spark, "trend"))
+    return J.trend_rows(trend.drain(SR.readings_stream(spark, sf)).result())
 
 
 @query("stream_rain_sessions", with_views("readings", """
@@ -60,15 +56,15 @@ def stream_trend_window(spark, sf):
     numbered AS (SELECT *, sum(first) OVER (PARTITION BY sensor_id ORDER BY "timestamp", event_id
       ROWS UNBOUNDED PRECEDING) AS session FROM begun)
     SELECT sensor_id, min("timestamp") AS session_start, max("timestamp") + INTERVAL 12 HOUR AS session_end,
-    count(*) AS n_readings, CAST(sum(CAST(rainfall AS DECIMAL(18,3))) AS DOUBLE) AS total_rainfall,
-    max(rainfall) AS peak_rainfall FROM numbered GROUP BY sensor_id, session
-    HAVING max("timestamp") + INTERVAL 12 HOUR <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM wet)"""))
+    count(*) AS n_readings, CAST(sum(CAST(rainfall AS DECIMAL(28,9))) AS DOUBLE) AS total_rainfall,
+    max(rainfall) AS peak_rainfall FROM numbered GROUP BY sensor_id, session"""))
 def stream_rain_sessions(spark, sf):
-    return J.drain_to_table(J.rain_session_stream(SR.readings_stream(spark, sf)), "rain-sessions")
+    sessions = J.rain_sessions(spark, work_path(spark, "rain-sessions"))
+    return J.session_rows(sessions.drain(SR.readings_stream(spark, sf)).result())
 
 
 @query("stream_dedupe", with_views("readings", "SELECT * FROM readings"))
 def stream_dedupe(spark, sf):
     rows = SR.readings_stream(spark, sf)
     again = SR.readings_stream(spark, sf).filter(F.col("event_id") % 10 == 0)
-    return J.drain_to_table(J.dedupe_stream(rows.unionByName(again)), "dedupe")
+    return J.deduped(spark, work_path(spark, "dedupe"), rows.schema).drain(rows.unionByName(again)).result()

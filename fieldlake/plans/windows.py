@@ -29,7 +29,7 @@ def latest_per_sensor(spark, sf):
 
 @query("rain_spells", with_views("readings", """
     SELECT sensor_id, dry_before, min("timestamp") AS spell_start, max("timestamp") AS spell_end,
-    count(*) AS n_readings, CAST(sum(CAST(rainfall AS DECIMAL(18,3))) AS DOUBLE) AS total_rainfall,
+    count(*) AS n_readings, CAST(sum(CAST(rainfall AS DECIMAL(28,9))) AS DOUBLE) AS total_rainfall,
     max(rainfall) AS peak_rainfall
     FROM (SELECT *, CAST(sum(CASE WHEN rainfall > 0 THEN 0 ELSE 1 END) OVER (PARTITION BY sensor_id
       ORDER BY "timestamp", event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS dry_before FROM readings)

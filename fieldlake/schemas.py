@@ -46,6 +46,8 @@ DISEASE_RECORDS = _struct(
     season=S, climate_zone=S,
 )
 
+FIRST_DETECTIONS = _struct(field_id=L, disease=S, started=TS)
+
 IMAGE_METADATA = _struct(
     filename=S, filepath=S, file_size_bytes=L, file_size_kb=D, class_label=S, split=S,
     plant_type=S, disease_name=S, health_status=S,

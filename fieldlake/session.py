@@ -78,15 +78,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the maker of its paths."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), to_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+    files, to_path = file_system(spark, path)
+    return files.exists(to_path(path))
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return files.getFileStatus(place).isDirectory()
+    files, to_path = file_system(spark, path)
+    return files.getFileStatus(to_path(path)).isDirectory()
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -9,19 +9,21 @@ from fieldlake.sources.domain import readings_from_events
 from fieldlake.sources.tables import table
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
+#: Files a batch takes at most, so that a backlog is worked off in bounded batches.
+MAX_FILES = 1000
+
+
+def table_stream(spark: SparkSession, folder: str, name: str, max_files: int = MAX_FILES) -> DataFrame:
     """A table of the data folder as a stream, whether it is one file or a folder of files."""
     folder = folder.rstrip("/")
     path = f"{folder}/{name}.parquet"
-    reader = spark.readStream.schema(table(spark, folder, name).schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(table(spark, folder, name).schema).option("maxFilesPerTrigger", max_files)
     if is_folder(spark, path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def readings_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+def readings_stream(spark: SparkSession, folder: str, max_files: int = MAX_FILES) -> DataFrame:
     return readings_from_events(table_stream(spark, folder, "events", max_files))
 
 
