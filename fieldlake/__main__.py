@@ -1,6 +1,6 @@
 """Command line: spark-submit -m style entry to the end-to-end jobs.
 
-    python -m fieldlake history TABLES OUT --requester 0 [--owner 16] [--no-diseases]
+    python -m fieldlake history TABLES OUT --requester 0 [--owner 16] [--no-diseases] [--days 30]
     python -m fieldlake stream  TABLES OUT [--owner 16] [--interval 60]
     python -m fieldlake images  RAW OUT [--name leaf-images]
 """
@@ -23,6 +23,7 @@ def main() -> None:
     history = commands.add_parser("history", help="cold history, disease records, daily summary")
     history.add_argument("--requester", type=int, required=True)
     history.add_argument("--no-diseases", action="store_true")
+    history.add_argument("--days", type=int, help="days up to the newest reading; all if left out")
     stream = commands.add_parser("stream", help="drain live readings into hot and cold tables")
     stream.add_argument("--interval", type=int, help="seconds between batches; once over everything if left out")
     for command in (history, stream):
@@ -41,7 +42,7 @@ def main() -> None:
     elif args.command == "history":
         users = with_permissions(domain.users(spark, args.tables))
         pipelines.history(domain.readings(spark, args.tables), domain.fields(spark, args.tables), users,
-                          args.requester, args.out, args.owner, not args.no_diseases)
+                          args.requester, args.out, args.owner, not args.no_diseases, args.days)
     else:
         pipelines.live(streams.readings_stream(spark, args.tables), domain.fields(spark, args.tables),
                        args.out, args.owner, args.interval)

@@ -66,8 +66,8 @@ def rain_spells(readings: DataFrame, rows_per_chunk: int = 1_000_000, time: str
     """Runs of consecutive wet readings per sensor: start, end, length, total, peak.
 
     A run is named by the number of dry readings before it. A sensor with more
-    than ``rows_per_chunk`` readings is counted in time chunks of about that
-    size, and the counts of earlier chunks are added; pieces of a run that
+    than ``rows_per_chunk`` readings is counted in chunks of about that many rows
+    in order of time, and the counts of earlier chunks are added; pieces of a run that
     crosses a chunk border share the name and meet in the last aggregation.
     """
     wet = F.coalesce(F.col("rainfall") > 0, F.lit(False))
@@ -83,9 +83,11 @@ def rain_spells(readings: DataFrame, rows_per_chunk: int = 1_000_000, time: str
     )
     dry_per_chunk = with_time_chunk(narrow, spans, "sensor_id", time, "inner").groupBy("sensor_id", "_chunk").agg(
         F.count_if(~wet).alias("_size"))
-    offsets = with_chunk_offsets(dry_per_chunk, ["sensor_id"], "_chunk", "_size", "_offset").drop("_size")
+    offsets = with_chunk_offsets(dry_per_chunk, ["sensor_id"], "_chunk", "_size", "_offset").select(
+        F.col("sensor_id").alias("_sensor"), F.col("_chunk").alias("_of"), "_offset")
+    same = pieces["sensor_id"].eqNullSafe(offsets["_sensor"]) & (pieces["_chunk"] == offsets["_of"])
     return (
-        pieces.join(offsets, ["sensor_id", "_chunk"], "left")
+        pieces.join(offsets, same, "left")
         .groupBy("sensor_id", (F.coalesce("_offset", F.lit(0)) + F.col("_dry")).alias("dry_before"))
         .agg(
             F.min("start").alias("spell_start"), F.max("end").alias("spell_end"),

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldlake import constants as K
-from fieldlake.functions import labels as LB
+from fieldlake.functions import weather as W
 from fieldlake.operators import dataset as DS, disease as D, fields as FL, images as IM, summary as S
+from fieldlake.operators.infections import FirstDetections
+from fieldlake.session import stored
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
 from fieldlake.sources import files as FS
 from fieldlake.streaming import jobs as J
 
 
+#: Weather that readings carry.
+WEATHER = ("temperature", "humidity", "rainfall", "wind_direction", "clouds")
+
+
 def check_allowed(users: DataFrame, user_id, permission: str) -> None:
     request = users.sparkSession.createDataFrame([(user_id,)], users.select("user_id").schema)
     if FL.authorised_requests(request, users, permission).isEmpty():
@@ -23,29 +29,64 @@ def readings_of(readings: DataFrame, fields: DataFrame, owner=None) -> DataFrame
     return readings.join(FL.active_fields(fields, owner).select("field_id"), "field_id", "left_semi")
 
 
-def history(readings: DataFrame, fields: DataFrame, users: DataFrame, requester, out: str, owner=None,
-            include_diseases: bool = True) -> None:
-    """Training history: readings to the cold store with a log row, noon disease
-    records to their table, the daily summary mart, and a ledger entry.
+def recent(readings: DataFrame, days: int | None, until=None) -> DataFrame:
+    """Readings of the ``days`` up to a time, the newest reading's when left out; all without ``days``."""
+    if days is None:
+        return readings
+    until = until or readings.agg(F.max("timestamp")).scalar()
+    end = until if isinstance(until, Column) else F.lit(until).cast("timestamp")
+    return readings.filter((F.col("timestamp") > end - F.make_dt_interval(F.lit(days))) & (F.col("timestamp") <= end))
+
+
+def training_rows(readings: DataFrame, fields: DataFrame, records: DataFrame | None) -> DataFrame:
+    """Nested readings with the weather of their field and hour, and the disease of their field and
+    day as label; without disease records the label is null."""
+    weather = stored(readings.groupBy("field_id", "slot").agg(*[F.max(c).alias(f"w_{c}") for c in WEATHER]), "weather")
+    places = weather.join(fields.select("field_id", "lat", "lon"), "field_id", "left").withColumns({
+        "w_time": F.date_format("slot", "yyyy-MM-dd'T'HH:mm:ssxxx"), "climate_zone": W.climate_zone(F.col("lat")),
+        "season": W.season(F.dayofyear("slot"), F.col("lat")), "is_raining": F.col("w_rainfall") > 0, "source": F.lit("observed")})
+    placed = readings.join(places, ["field_id", "slot"])
+    labelled = D.labelled_readings(placed, records) if records is not None else placed.withColumn("label", F.lit(None).cast("string"))
+    return ST.nested_readings(labelled, {"timestamp": "w_time"} | {c: f"w_{c}" for c in WEATHER}, keep=["label"])
+
 
-    Disease records, alerts, summary and advice of the owner's fields are replaced,
-    those of other fields stay; so a run may be repeated or made for one owner. Cold
-    readings are appended per run, as an archive."""
+def history(readings: DataFrame, fields: DataFrame, users: DataFrame, requester, out: str, owner=None,
+            include_diseases: bool = True, days: int | None = None, until=None) -> None:
+    """Training history of the last ``days``: noon disease records with their alerts, the daily
+    summary mart, advice, and the readings with weather and label to the cold store with
+    a log row, all in one ledger entry.
+
+    Infections go on from the first detections of earlier runs, which are stored. Disease
+    records, alerts, summary and advice of the owner's fields are replaced, those of other
+    fields stay, so a run may be repeated or made for one owner. Cold readings are an
+    archive and are appended per run; when the cold store fails they wait beside it.
+    """
     spark = readings.sparkSession
     check_allowed(users, requester, "run_simulation")
-    own = readings_of(readings, fields, owner)
+    own = recent(readings_of(readings, fields, owner), days, until)
     mine = FL.active_fields(fields, owner).select("field_id")
     with TS.ledgered(spark, f"{out}/batch_jobs", "history") as run:
-        run.records = ST.append_logged(
-            own.withColumn("data_type", F.lit("ml_training")), ["ml_training"], f"{out}/cold",
-            f"{out}/data_generation_logs", F.to_date("timestamp"))["ml_training"]
+        records = None
         if include_diseases:
-            records = D.disease_records(own, fields)
-            TS.replace_rows(records, f"{out}/disease_records", "field_id", mine)
-            records = spark.read.parquet(f"{out}/disease_records").join(mine, "field_id", "left_semi")
-            TS.replace_rows(D.alerts(records, fields), f"{out}/alerts", "field_id", mine)
-            TS.replace_rows(S.daily_field_summary(own, records), f"{out}/analytics_summary", "field_id", mine)
-        TS.replace_rows(D.fertiliser_advice(own), f"{out}/recommendations", "field_id", mine)
+            started = FirstDetections(spark, f"{out}/first_detections")
+            found = stored(D.disease_records(own, fields, started.rows()), "records")
+            started.merge(found, "detection_date")
+            _replace(found, f"{out}/disease_records", mine)
+            records = found
+            _replace(D.alerts(records, fields), f"{out}/alerts", mine)
+            _replace(S.daily_field_summary(own, records), f"{out}/analytics_summary", mine)
+        _replace(D.fertiliser_advice(own), f"{out}/recommendations", mine)
+        run.records = ST.append_logged(
+            training_rows(own, fields, records).withColumn("data_type", F.lit("ml_training")), ["ml_training"], f"{out}/cold",
+            f"{out}/data_generation_logs", F.to_date("timestamp"), fallback=f"{out}/fallback")["ml_training"]
+
+
+def _replace(rows: DataFrame, path: str, fields: DataFrame) -> None:
+    """Replace the fields' rows of a small mart. Only its last version stays, so that it can be read as a plain folder."""
+    table = TS.replace_rows(rows, path, "field_id", fields, parts=16)
+    table.vacuum(keep=1)
+    if not table.version().live:  # a file without rows still tells the columns
+        table.rows().coalesce(1).write.mode("overwrite").parquet(f"{path}/bucket=0/commit=none")
 
 
 def live(readings: DataFrame, fields: DataFrame, out: str, owner=None,

@@ -6,8 +6,10 @@ from fieldlake.operators import dataset as DS, disease as D, images as IM
 from fieldlake.plans.registry import query
 from fieldlake.plans.scans import METADATA, processed_metadata
 from fieldlake.plans.views import with_views
+from fieldlake.schemas import USERS
 from fieldlake.session import work_path
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
+from fieldlake.sinks.folders import KeyedTable
 from fieldlake.sources import domain as V, files as FS, streams as SR
 from fieldlake.streaming import jobs as J
 
@@ -93,25 +95,30 @@ def sink_disease_records(spark, sf):
 
 
 @query("upsert_users", """
-    WITH old AS (SELECT c_custkey AS user_id, c_name AS name, 'FARMER' AS role, 0 AS version FROM customer),
+    WITH old AS (SELECT c_custkey AS user_id, c_name AS name, 'FARMER' AS role, 0 AS version,
+      TIMESTAMP '2020-01-01 00:00:00' AS created_at FROM customer),
     new AS (SELECT o_custkey AS user_id, 'renamed-' || o_orderkey AS name,
       CASE o_orderkey % 3 WHEN 0 THEN 'ADMIN' WHEN 1 THEN 'FARMER' ELSE 'RESEARCHER' END AS role,
-      o_orderkey + 1 AS version FROM orders),
+      o_orderkey + 1 AS version, CAST(o_orderdate AS TIMESTAMP) AS created_at FROM orders),
     latest AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY version DESC) AS n
       FROM (SELECT * FROM old UNION ALL SELECT * FROM new))
-    SELECT user_id, name, role, version, CASE role WHEN 'ADMIN' THEN 5 ELSE 3 END AS n_permissions
+    SELECT user_id, name, role, version, created_at, CASE role WHEN 'ADMIN' THEN 5 ELSE 3 END AS n_permissions
     FROM latest WHERE n = 1""")
 def upsert_users(spark, sf):
-    old = V.table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.lit("FARMER").alias("role"),
-        F.lit(0).cast("long").alias("version"))
+    """A stored table of users takes two batches of changes, the second of them twice."""
     key = F.col("o_orderkey")
     role = F.when(key % 3 == 0, "ADMIN").when(key % 3 == 1, "FARMER").otherwise("RESEARCHER")
+    old = V.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.lit("FARMER").alias("role"),
+        F.lit(0).cast("long").alias("version"), F.lit("2020-01-01").cast("timestamp").alias("created_at"))
     new = V.table(spark, sf, "orders").select(
         F.col("o_custkey").alias("user_id"), F.concat(F.lit("renamed-"), key.cast("string")).alias("name"),
-        role.alias("role"), (key + 1).alias("version"))
-    return TS.upsert(TS.checked_users(old), TS.checked_users(new), "user_id", "version").select(
-        "user_id", "name", "role", "version", F.size("permissions").alias("n_permissions"))
+        role.alias("role"), (key + 1).alias("version"), F.col("o_orderdate").cast("timestamp").alias("created_at"))
+    users = KeyedTable(spark, work_path(spark, "users"), USERS, ["user_id"], parts=16)
+    users.add(TS.checked_users(old))
+    for n in (0, 1, 1):
+        TS.upsert_users(users, new.filter(key % 2 == n), "version", ("changes", n))
+    return users.rows().select("user_id", "name", "role", "version", "created_at", F.size("permissions").alias("n_permissions"))
 
 
 ABSENT = """SELECT c_custkey AS field_id, c_name AS name FROM customer

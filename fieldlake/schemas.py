@@ -31,6 +31,9 @@ SENSOR_DATA = _struct(
     weather_context=WEATHER,
 )
 
+# Training history: nested readings with the disease of their field and day.
+TRAINING_DATA = T.StructType([T.StructField("event_id", L), *SENSOR_DATA.fields, T.StructField("label", S)])
+
 # Live weather answer; every optional part may be missing.
 WEATHER_PAYLOAD = T.StructType([
     T.StructField("main", _struct(temp=D, humidity=D, pressure=D)),
@@ -46,6 +49,8 @@ DISEASE_RECORDS = _struct(
     season=S, climate_zone=S,
 )
 
+USERS = _struct(user_id=L, name=S, role=S, version=L, created_at=TS, permissions=T.ArrayType(S))
+
 FIRST_DETECTIONS = _struct(field_id=L, disease=S, started=TS)
 
 IMAGE_METADATA = _struct(

@@ -166,8 +166,11 @@ def route(rows: DataFrame, hot: str, cold: str, log_path: str, ingest_date, fall
     append_logged(kept.unionByName(archive), COLD_TYPES, cold, log_path, ingest_date, fallback)
 
 
-def nested_readings(flat: DataFrame) -> DataFrame:
-    """Flat readings in the nested archive form (fields of other sensor kinds are null)."""
+def nested_readings(flat: DataFrame, weather: dict[str, str] | None = None, keep=()) -> DataFrame:
+    """Flat readings in the nested archive form (fields of other sensor kinds are null), with further columns to keep.
+
+    ``weather`` names the columns of the weather context where they differ from its fields.
+    """
     names = set(flat.columns)
 
     def pick(schema, renames={}, kinds={}):
@@ -185,7 +188,7 @@ def nested_readings(flat: DataFrame) -> DataFrame:
         "event_id", F.col("sensor_id").cast("string"), F.col("field_id").cast("string"), "sensor_type", "timestamp",
         pick(schemas.LOCATION).alias("location"),
         pick(schemas.READINGS, {"cloud_coverage": "clouds"}, kind_of).alias("readings"),
-        pick(schemas.WEATHER, {"wind_direction": "none", "clouds": "none"}).alias("weather_context"),
+        pick(schemas.WEATHER, {"wind_direction": "none", "clouds": "none"} | (weather or {})).alias("weather_context"), *keep,
     )
 
 

@@ -9,7 +9,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fieldlake import constants as K, schemas
-from fieldlake.session import path_exists, stored
+from fieldlake.session import stored
+from fieldlake.sinks.folders import KeyedTable, Mark
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, version: str) -> DataFrame:
@@ -38,17 +39,21 @@ def absent_rows(new: DataFrame, old: DataFrame, key: str, tie: str) -> DataFrame
     return first.join(old.select(key).distinct(), key, "left_anti")
 
 
-def replace_rows(new: DataFrame, path: str, key: str, keys: DataFrame) -> None:
+def replace_rows(new: DataFrame, path: str, key: str, keys: DataFrame, parts: int = 64) -> KeyedTable:
     """Replace the rows of a stored table whose key is among ``keys``; the others stay.
 
-    The new table is staged in the shared folder before the old one is overwritten,
-    because it is made from it.
+    Only the buckets of those keys are read and written, and one version file switches to
+    the new folders: a run that stops at any point leaves the old rows or the new ones.
     """
-    spark = new.sparkSession
-    if path_exists(spark, path):
-        kept = spark.read.schema(new.schema).parquet(path).join(keys.distinct(), key, "left_anti")
-        new = stored(kept.select(*new.columns).unionByName(new), "replaced")
-    new.write.mode("overwrite").parquet(path)
+    table = KeyedTable(new.sparkSession, path, new.schema, [key], parts)
+    table.replace(new, keys)
+    return table
+
+
+def upsert_users(table: KeyedTable, new: DataFrame, version: str, mark: Mark | None = None) -> bool:
+    """Take users (without permissions) into the stored table; of one user the latest version wins."""
+    fresh = stored(checked_users(new), "users")
+    return table.merge(fresh, lambda old, changes: upsert(old, changes.select(*old.columns), "user_id", version), mark)
 
 
 class JobRun:

@@ -6,21 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldlake.functions.labels import plain_path
 from fieldlake.schemas import IMAGE_METADATA, SENSOR_DATA
+from fieldlake.sources.json_arrays import records
 
 
 def readings_json(spark: SparkSession, path: str, suffix: str = "json") -> DataFrame:
-    """Cold history: JSON array files in date folders.
+    """Cold history: JSON array files in date folders, however large.
 
     The declared schema drops ``_id`` and reads rainfall as double. Date folders
-    are not ``key=value``, so the ingest date comes from the file path. Array
-    files cannot be split: convert to Parquet once, after ingest.
+    are not ``key=value``, so the ingest date comes from the file path.
     """
-    rows = (
-        spark.read.schema(SENSOR_DATA).option("multiLine", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*.{suffix}").json(path)
-    )
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:[a-z_]+=)?(\d{8})/", 1)
-    return rows.select("*", F.to_date(day, "yyyyMMdd").alias("ingest_date"))
+    rows = records(spark, path, suffix).select("path", F.from_json("text", SENSOR_DATA).alias("r"))
+    day = F.regexp_extract("path", r"/(?:[a-z_]+=)?(\d{8})/", 1)
+    return rows.select("r.*", F.to_date(F.when(day != "", day), "yyyyMMdd").alias("ingest_date"))
 
 
 def metadata_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from math import ceil
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlake.operators import dataset as DS, disease as D, fields as FL, quality as Q, summary as S, timeline as TL
+from fieldlake.operators import dataset as DS, disease as D, fields as FL, ordered, quality as Q, summary as S, timeline as TL
 from fieldlake.sinks import tables as TS
 
 T0 = datetime(2024, 1, 1)
@@ -211,3 +211,29 @@ def test_counts_are_zero_filled(spark):
     records = spark.createDataFrame([(1,)], "field_id long")
     got = S.counts_by_field(rows, records).orderBy("field_id").collect()
     assert [tuple(r) for r in got] == [(1, 2, 1), (2, 1, 0)]
+
+
+def test_hot_keys_are_cut_by_counts(spark):
+    """A stray time stretches the span, one sensor and the null one hold most rows, one hour more than a chunk."""
+    hot = [(i, 1, T0 + timedelta(seconds=7 * i)) for i in range(3000)] + [(9000, 1, T0 - timedelta(days=9000)), (9001, 1, None)]
+    none = [(10_000 + i, None, T0 + timedelta(minutes=i)) for i in range(1000)]
+    rest = [(20_000 + i, 2 + i % 50, T0 + timedelta(hours=i % 40)) for i in range(2000)]
+    rows = spark.createDataFrame([(i, s, t, float(i % 3)) for i, s, t in hot + none + rest], "event_id long, sensor_id long, timestamp timestamp, rainfall double")
+    wanted = 100
+    spans = ordered.hot_spans(rows, "sensor_id", "timestamp", wanted)
+    placed = ordered.with_time_chunk(rows, spans, "sensor_id", "timestamp")
+    assert placed.count() == rows.count() and placed.columns == [*rows.columns, "_chunk"]
+    per = placed.groupBy("sensor_id", "_chunk").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).collect()
+    assert max(r.n for r in per) <= 2 * wanted
+    assert {r["_chunk"] for r in per if (r.sensor_id or 0) > 1} == {0}
+    for sensor in (1, None):
+        own = sorted((r for r in per if r.sensor_id == sensor), key=lambda r: r["_chunk"])
+        assert len(own) >= 10 and all(x.b < y.a for x, y in zip(own, own[1:]))
+    key = lambda r: tuple((v is not None, v) for v in r)
+    cut, whole = (sorted(map(tuple, TL.rain_spells(rows, n).collect()), key=key) for n in (wanted, 10**9))
+    assert cut == whole and len(whole) > 1000
+
+
+def test_rainfall_keeps_its_decimals(spark):
+    rows = spark.createDataFrame([(i, 1, T0 + timedelta(hours=i), 0.0004) for i in range(3)], "event_id long, sensor_id long, timestamp timestamp, rainfall double")
+    assert [r.total_rainfall for r in TL.rain_spells(rows).collect()] == [0.0012]
