@@ -58,6 +58,7 @@ def file_columns(files: DataFrame, root: str = "") -> DataFrame:
         "filename": LB.path_part(F.col("path"), 1),
         "filepath": F.when(F.startswith("path", F.lit(root)), F.substr("path", F.lit(len(root) + 1))).otherwise(
             F.col("path")),
+        "absolute_path": F.col("path"),
         "file_size_kb": LB.size_kb(F.col("file_size_bytes")),
         "format": LB.image_format(LB.path_part(F.col("path"), 1)),
     })
@@ -196,8 +197,12 @@ def distinct_classes(images: DataFrame) -> DataFrame:
 
 
 def dataset_summary(images: DataFrame, name: str) -> DataFrame:
-    """One nested row: overview, image sizes, health. One pass, map-side combined."""
+    """One nested row: overview, image sizes, health, and pixel statistics where the
+    images have them. One pass, map-side combined."""
     sizes = size_aggregates()
+    pixels = ["pixel_mean", "pixel_std"] if "pixel_mean" in images.columns else []
+    # plain means of the images' values, summed as decimals
+    sizes += [(F.sum(F.col(c).cast("decimal(20,8)")).cast("double") / F.count(c)).alias(c.replace("pixel", "overall")) for c in pixels]
     flat = images.agg(
         F.count(F.lit(1)).alias("total_images"),
         F.countDistinct("class_label").alias("num_classes"),
@@ -211,9 +216,34 @@ def dataset_summary(images: DataFrame, name: str) -> DataFrame:
         F.struct("total_images", "num_classes", F.struct(*K.SPLITS).alias("splits")).alias("overview"),
         F.struct("avg_width", "avg_height", "avg_file_size_kb", "total_size_mb").alias("image_properties"),
         F.struct("healthy", "diseased").alias("health_status_distribution"),
+        *([F.struct("overall_mean", "overall_std").alias("pixel_statistics")] if pixels else []),
     )
 
 
+def class_lists(images: DataFrame) -> DataFrame:
+    """One row: the class names in order, and the images per plant. Classes are folders of
+    the tree; they are counted before they are listed."""
+    counted = stored(images.groupBy("class_label", "plant_type").agg(F.count(F.lit(1)).alias("n")), "class-sizes")
+    plants = counted.groupBy("plant_type").agg(F.sum("n").alias("n")).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("plant_type", F.lit("")).alias("k"), "n")))).alias("plant_types"))
+    return counted.agg(F.array_sort(F.collect_set("class_label")).alias("classes")).withColumn("plant_types", plants.scalar())
+
+
+def attempt_log(planned: DataFrame, done: DataFrame, key: str = "path") -> DataFrame:
+    """One row per image and copy that was to be made (``planned``: key, copy): ``processed`` if
+    ``done`` (key, copy) has it, ``skipped`` if only its original is there, ``corrupted``,
+    once per image, if nothing is.
+
+    Both are lists of names: no pixels are read or decoded again.
+    """
+    made = done.select(F.col(key).alias("_key"), F.col("copy").alias("_copy")).distinct().withColumn("_made", F.lit(True))
+    seen = planned.join(made, (F.col(key) == F.col("_key")) & (F.col("copy") == F.col("_copy")), "left").drop("_key", "_copy")
+    originals = made.filter("_copy = 0").select("_key", F.lit(True).alias("_decoded"))
+    outcome = F.when(F.col("_made"), "processed").when(F.col("_decoded"), "skipped").when(F.col("copy") == 0, "corrupted")
+    return seen.join(originals, F.col(key) == F.col("_key"), "left").withColumn("outcome", outcome).drop(
+        "_key", "_made", "_decoded").filter(F.col("outcome").isNotNull())
+
+
 def processing_stats(attempts: DataFrame) -> DataFrame:
     """Counts over the attempt log (one row per image and copy, with an outcome).
 

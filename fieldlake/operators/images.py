@@ -58,14 +58,23 @@ def channel_stats(images: DataFrame, digits: int = 4, names=CHANNEL_NAMES) -> Da
 
     ``names`` gives the stored channel order.
     """
-    colour = images.filter(F.col("image.nChannels") == 3).withColumn(
-        "_c", P.channel_moments("image.data", "image.nChannels")
-    )
+    return channel_columns(images.filter(F.col("image.nChannels") == 3), digits, names)
+
+
+def channel_columns(images: DataFrame, digits: int = 4, names=CHANNEL_NAMES) -> DataFrame:
+    """The same for all images; null where there are not three channels."""
+    found = images.withColumn("_c", P.channel_moments("image.data", "image.nChannels"))
     columns = {}
     for position, name in enumerate(names):
-        columns[f"{name}_mean"] = F.round(_mean(F.col("_c")[position]), digits)
-        columns[f"{name}_std"] = F.round(_std(F.col("_c")[position]), digits)
-    return colour.withColumns(columns).drop("_c")
+        moments = F.when(F.col("image.nChannels") == 3, F.get("_c", F.lit(position)))
+        columns[f"{name}_mean"] = F.round(_mean(moments), digits)
+        columns[f"{name}_std"] = F.round(_std(moments), digits)
+    return found.withColumns(columns).drop("_c")
+
+
+def metadata(files: DataFrame, names=CHANNEL_NAMES) -> DataFrame:
+    """Every metadata column that pixels give: shape, values, colours."""
+    return channel_columns(pixel_stats(image_properties(files)), names=names)
 
 
 def pixel_summary(stats: DataFrame) -> DataFrame:

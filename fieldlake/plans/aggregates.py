@@ -10,6 +10,8 @@ from fieldlake.plans.scalars import conditions
 from fieldlake.plans.scans import processed_metadata
 from fieldlake.plans.sinks import SUMMARY
 from fieldlake.plans.views import ZONE, season_sql, with_views
+from fieldlake.session import work_path
+from fieldlake.sinks import dataset as SD
 from fieldlake.sources import domain as V
 
 
@@ -152,21 +154,20 @@ def pixel_summary(spark, sf):
     return IM.pixel_summary(IM.pixel_stats(V.pixel_images(spark, sf)))
 
 
-@query("processing_stats", with_views("fanned", """
-    SELECT count(*) FILTER (WHERE copy = 0) AS n_scanned, count(*) FILTER (WHERE outcome = 'processed') AS n_processed,
-    count(*) FILTER (WHERE outcome = 'processed' AND copy = 0) AS n_originals,
-    count(*) FILTER (WHERE outcome = 'processed' AND copy > 0) AS n_copies,
-    count(*) FILTER (WHERE outcome = 'skipped') AS n_skipped,
-    count(*) FILTER (WHERE outcome = 'corrupted') AS n_corrupted,
-    CAST(count(*) FILTER (WHERE outcome = 'processed') AS DOUBLE) / count(*) FILTER (WHERE copy = 0) * 100 AS success_rate
-    FROM (SELECT *, CASE WHEN image_id % 13 = 0 THEN 'corrupted' WHEN (image_id + copy) % 17 = 0 THEN 'skipped'
-      ELSE 'processed' END AS outcome FROM fanned) WHERE outcome <> 'corrupted' OR copy = 0"""))
+@query("processing_stats", with_views("pixel_files", """
+    , tried AS (SELECT image_id % 13 = 0 AS bad, CASE WHEN split = 'train' THEN 4 ELSE 1 END AS n FROM pixel_files)
+    SELECT count(*) AS n_scanned, CAST(sum(n) FILTER (WHERE NOT bad) AS BIGINT) AS n_processed,
+    count(*) FILTER (WHERE NOT bad) AS n_originals, CAST(sum(n - 1) FILTER (WHERE NOT bad) AS BIGINT) AS n_copies,
+    CAST(0 AS BIGINT) AS n_skipped, count(*) FILTER (WHERE bad) AS n_corrupted,
+    CAST(sum(n) FILTER (WHERE NOT bad) AS DOUBLE) / count(*) * 100 AS success_rate FROM tried"""))
 def processing_stats(spark, sf):
-    split = DS.stratified_split(V.images(spark, sf).select("image_id", "class_label"))
-    bad, image = F.col("image_id") % 13 == 0, F.col("image_id")
-    outcome = F.when(bad, "corrupted").when((image + F.col("copy")) % 17 == 0, "skipped").otherwise("processed")
-    attempts = DS.with_copies(split).filter(~bad | (F.col("copy") == 0)).withColumn("outcome", outcome)
-    return DS.processing_stats(attempts)
+    """Images with undecodable ones among them go through copying, changing and storing; the log follows from what is stored."""
+    files = DS.processed_images(V.processed_pixels(spark, sf, "mixed"))
+    made = IM.apply_augmentation(DS.augmentation_draws(DS.with_copies(IM.valid_images(files)), "image_id"))
+    path = work_path(spark, "processed")
+    SD.write_processed_images(made.withColumn("name", DS.output_name(F.col("path"), F.col("suffix"))), path)
+    planned = DS.with_copies(files.select("image_id", "split")).select("image_id", "copy")
+    return DS.processing_stats(DS.attempt_log(planned, spark.read.parquet(path).select("image_id", "copy"), "image_id"))
 
 
 @query("best_rule_argmax", with_views("best", """

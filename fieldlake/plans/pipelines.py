@@ -114,6 +114,10 @@ def prepare_images(spark: SparkSession, raw: str, out: str, name: str, size=K.TA
     named = IM.apply_augmentation(drawn).withColumns({
         "name": DS.output_name(F.col("path"), F.col("suffix")), "image_id": F.col("path")})
     SD.write_processed_images(named, f"{out}/processed")
+    manifest = spark.read.parquet(f"{out}/manifest")
+    done = spark.read.parquet(f"{out}/processed").select(F.col("image_id").alias("path"), "copy")
+    DS.attempt_log(DS.with_copies(manifest, copies).select("path", "copy", "split", "class_label"), done).write.mode("overwrite").parquet(f"{out}/attempts")
+    SD.write_manifest_info(manifest, spark.read.parquet(f"{out}/attempts"), f"{out}/manifest_info", name)
     write_metadata(spark, out, name)
 
 
@@ -122,9 +126,10 @@ def processed_metadata(spark: SparkSession, out: str) -> DataFrame:
     table = spark.read.parquet(f"{out}/processed").withColumns({
         "split": F.col("split").cast("string"), "class_label": F.col("class_label").cast("string")})
     files = table.withColumns({
-        "path": F.concat_ws("/", "split", "class_label", "name"), "file_size_bytes": F.length("image.data").cast("long")})
-    stats = IM.channel_stats(IM.pixel_stats(IM.image_properties(files)), names=("red", "green", "blue"))
-    return DS.label_columns(DS.file_columns(stats)).drop("image")
+        "path": F.concat_ws("/", F.lit(out), F.lit("processed"), "split", "class_label", "name"),
+        "file_size_bytes": F.length("image.data").cast("long"), "modified_at": F.col("_metadata.file_modification_time")})
+    stats = IM.metadata(files, names=("red", "green", "blue"))
+    return DS.label_columns(DS.file_columns(stats, root=f"{out}/processed/")).drop("image")
 
 
 def write_metadata(spark: SparkSession, out: str, name: str) -> None:

@@ -4,19 +4,10 @@ from pyspark.sql import functions as F
 
 from fieldlake.operators import dataset as DS, images as IM
 from fieldlake.plans.registry import query
-from fieldlake.plans.views import uniform_sql, with_views
+from fieldlake.plans.views import _CHANNELS, _mean_sql, _std_sql, uniform_sql, with_views
 from fieldlake.sources import domain as V
 
 
-def _std_sql(condition: str = "TRUE") -> str:
-    n, s, q = (f"CAST({x} FILTER (WHERE {condition}) AS DOUBLE)" for x in ("count(*)", "sum(v)", "sum(v * v)"))
-    return f"round(sqrt(greatest(0, {q} / {n} - ({s} / {n}) * ({s} / {n}))), 4)"
-
-
-def _mean_sql(condition: str = "TRUE") -> str:
-    return f"round(CAST(sum(v) FILTER (WHERE {condition}) AS DOUBLE) / count(*) FILTER (WHERE {condition}), 4)"
-
-
 def _hex_sql(pixels: str) -> str:
     return f"list_aggregate([printf('%02X', v) for v in {pixels}], 'string_agg', '')"
 
@@ -32,8 +23,7 @@ def pixel_stats(spark, sf):
 
 
 @query("channel_stats", with_views("colour_pixels", f"""
-    SELECT image_id, {", ".join(f"{_mean_sql(f'i % 3 = {i}')} AS {c}_mean, {_std_sql(f'i % 3 = {i}')} AS {c}_std"
-                                for i, c in enumerate(IM.CHANNEL_NAMES))}
+    SELECT image_id, {_CHANNELS}
     FROM colour_pixels GROUP BY image_id"""))
 def channel_stats(spark, sf):
     return IM.channel_stats(V.pixel_images(spark, sf, "colour")).select(
@@ -56,7 +46,7 @@ def denormalise_pixels(spark, sf):
 @query("to_rgb", with_views("gray colour", f"""
     SELECT image_id, 'gray' AS kind, list_aggregate([printf('%02X%02X%02X', v, v, v) for v in px], 'string_agg', '')
     AS pixels FROM gray UNION ALL SELECT image_id, 'colour', list_aggregate([printf('%02X%02X%02X', px[3 * k + 3],
-    px[3 * k + 2], px[3 * k + 1]) for k in range(21)], 'string_agg', '') FROM colour"""))
+    px[3 * k + 2], px[3 * k + 1]) for k in range(24)], 'string_agg', '') FROM colour"""))
 def to_rgb(spark, sf):
     both = V.pixel_images(spark, sf).withColumn("kind", F.lit("gray")).unionByName(
         V.pixel_images(spark, sf, "colour").withColumn("kind", F.lit("colour")))
@@ -76,7 +66,7 @@ def flip_horizontal(spark, sf):
 
 
 @query("flip_vertical", with_views("colour", f"""
-    SELECT image_id, {_hex_sql('[px[21 * (2 - k // 21) + k % 21 + 1] for k in range(63)]')} AS pixels FROM colour"""))
+    SELECT image_id, {_hex_sql('[px[18 * (3 - k // 18) + k % 18 + 1] for k in range(72)]')} AS pixels FROM colour"""))
 def flip_vertical(spark, sf):
     return IM.flip_vertical(V.pixel_images(spark, sf, "colour")).select("image_id", F.hex("image.data").alias("pixels"))
 
@@ -108,9 +98,9 @@ def augment_fanout(spark, sf):
         "image_id", "copy", "suffix", F.round("angle", 9).alias("angle"), "mirror", F.round("factor", 9).alias("factor"))
 
 
-@query("colour_histogram", with_views("gray_pixels", """
+@query("colour_histogram", with_views("colour_pixels", """
     SELECT class_label, channel, bin, count(*) FILTER (WHERE v // 32 = bin) AS n_pixels
-    FROM (SELECT class_label, CAST(i % 3 AS INTEGER) AS channel, v FROM gray_pixels WHERE i < 63),
+    FROM (SELECT class_label, CAST(i % 3 AS INTEGER) AS channel, v FROM colour_pixels),
     (SELECT CAST(unnest(range(8)) AS INTEGER) AS bin) GROUP BY 1, 2, 3"""))
 def colour_histogram(spark, sf):
     return IM.colour_histogram(V.pixel_images(spark, sf, "colour"))

@@ -186,10 +186,13 @@ def requests(spark, sf):
         F.col("o_orderkey").alias("request_id"), F.col("o_custkey").alias("user_id"))
 
 
-@query("parse_class_label", with_views("labelled", """
-    SELECT image_id, class_label, plant_type, disease_name, health_status FROM labelled"""))
+@query("parse_class_label", with_views("images", """
+    SELECT image_id, class_label, split_part(class_label, '_', 1) AS plant_type,
+    CASE WHEN contains(lower(class_label), 'healthy') THEN 'None' WHEN contains(replace(class_label, '__', '_'), '_')
+    THEN substr(replace(class_label, '__', '_'), strpos(replace(class_label, '__', '_'), '_') + 1) ELSE 'Unknown' END AS disease_name,
+    CASE WHEN contains(lower(class_label), 'healthy') THEN 'healthy' ELSE 'diseased' END AS health_status FROM images"""))
 def parse_class_label(spark, sf):
-    return processed_metadata(spark, sf).select("image_id", "class_label", "plant_type", "disease_name", "health_status")
+    return DS.label_columns(V.images(spark, sf)).select("image_id", "class_label", "plant_type", "disease_name", "health_status")
 
 
 @query("health_status", with_views("images", """
@@ -210,7 +213,7 @@ def file_properties(spark, sf):
 
 
 @query("image_properties", with_views("colour", """
-    SELECT image_id, 7 AS width, 3 AS height, 3 AS channels, 'RGB' AS mode FROM colour
+    SELECT image_id, 6 AS width, 4 AS height, 3 AS channels, 'RGB' AS mode FROM colour
     UNION ALL SELECT image_id, 8, 8, 1, 'L' FROM gray"""))
 def image_properties(spark, sf):
     both = V.pixel_images(spark, sf, "colour").unionByName(V.pixel_images(spark, sf))

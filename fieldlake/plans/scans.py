@@ -41,8 +41,13 @@ def scan_readings_json(spark, sf):
     )
 
 
-METADATA = """SELECT filename, filepath, file_size_bytes, file_size_kb, class_label, split, plant_type,
-    disease_name, health_status FROM labelled"""
+METADATA = "SELECT * FROM metadata"
+
+
+def image_metadata(spark, sf):
+    """Metadata of pixel images in a split/class/file tree, from their names and pixels."""
+    files = DS.processed_images(V.processed_pixels(spark, sf))
+    return DS.label_columns(DS.file_columns(IM.metadata(files)))
 
 
 def processed_metadata(spark, sf):
@@ -50,10 +55,10 @@ def processed_metadata(spark, sf):
     return DS.label_columns(DS.file_columns(files))
 
 
-@query("scan_metadata_csv", with_views("labelled", METADATA))
+@query("scan_metadata_csv", with_views("metadata", METADATA))
 def scan_metadata_csv(spark, sf):
     path = work_path(spark, "metadata-csv")
-    SD.write_metadata_csv(processed_metadata(spark, sf), path)
+    SD.write_metadata_csv(image_metadata(spark, sf), path)
     return FS.metadata_csv(spark, path)
 
 

@@ -1,12 +1,12 @@
 """Sinks: write under the shared work folder, read back."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from fieldlake.operators import dataset as DS, disease as D, images as IM
 from fieldlake.plans.registry import query
-from fieldlake.plans.scans import METADATA, processed_metadata
+from fieldlake.plans.scans import METADATA, image_metadata, processed_metadata
 from fieldlake.plans.views import with_views
-from fieldlake.schemas import USERS
+from fieldlake.schemas import IMAGE_METADATA, USERS
 from fieldlake.session import work_path
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
 from fieldlake.sinks.folders import KeyedTable
@@ -151,25 +151,24 @@ def anti_insert(spark, sf):
     return TS.absent_rows(new, stored, "field_id", "version").select("field_id", "name")
 
 
-@query("sink_metadata_csv", with_views("labelled", METADATA))
+@query("sink_metadata_csv", with_views("metadata", METADATA))
 def sink_metadata_csv(spark, sf):
     path = work_path(spark, "metadata")
-    SD.write_metadata_csv(processed_metadata(spark, sf), path)
+    SD.write_metadata_csv(image_metadata(spark, sf), path)
     return FS.metadata_csv(spark, path)
 
 
-@query("sink_metadata_json", with_views("labelled", """
-    SELECT l.filename, l.filepath, l.class_label, l.split, t.name, t.num_classes, t.total_images
-    FROM labelled l JOIN (SELECT 'leaf-images' AS name, count(DISTINCT class_label) AS num_classes,
-    count(*) AS total_images FROM labelled) t ON TRUE"""))
+@query("sink_metadata_json", with_views("metadata", """
+    SELECT m.*, t.name, t.num_classes, t.total_images
+    FROM metadata m JOIN (SELECT 'leaf-images' AS name, count(DISTINCT class_label) AS num_classes,
+    count(*) AS total_images FROM metadata) t ON TRUE"""))
 def sink_metadata_json(spark, sf):
     path = work_path(spark, "metadata")
-    SD.write_metadata_json(processed_metadata(spark, sf), path, "leaf-images", "disease_classification")
+    SD.write_metadata_json(image_metadata(spark, sf), path, "leaf-images", "disease_classification")
     info = spark.read.schema("name string, task string, num_classes long, total_images long").json(
         f"{path}/dataset_info")
     totals = {c: info.select(c).scalar() for c in ("name", "num_classes", "total_images")}
-    return spark.read.schema("filename string, filepath string, class_label string, split string").json(
-        f"{path}/images").withColumns(totals)
+    return spark.read.schema(IMAGE_METADATA).json(f"{path}/images").withColumns(totals)
 
 
 @query("sink_class_distribution", with_views("processed", """
@@ -195,13 +194,22 @@ SUMMARY = """SELECT 'leaf-images' AS dataset_name, count(*) AS total_images,
     count(*) FILTER (WHERE health_status = 'diseased') AS diseased FROM labelled"""
 
 
-@query("sink_dataset_summary", with_views("labelled", SUMMARY))
+@query("sink_dataset_summary", with_views("metadata", SUMMARY.replace("FROM labelled", "FROM metadata").replace("AS diseased", """AS diseased,
+    CAST(sum(CAST(pixel_mean AS DECIMAL(20,8))) AS DOUBLE) / count(*) AS overall_mean,
+    CAST(sum(CAST(pixel_std AS DECIMAL(20,8))) AS DOUBLE) / count(*) AS overall_std,
+    (SELECT string_agg(DISTINCT class_label, ',' ORDER BY class_label) FROM metadata) AS classes,
+    (SELECT string_agg(plant_type || '=' || n, ',' ORDER BY plant_type)
+      FROM (SELECT plant_type, count(*) AS n FROM metadata GROUP BY 1)) AS plant_types""")))
 def sink_dataset_summary(spark, sf):
-    path, images = work_path(spark, "summary"), processed_metadata(spark, sf)
+    path, images = work_path(spark, "summary"), image_metadata(spark, sf)
     SD.write_dataset_summary(images, path, "leaf-images")
-    stored = spark.read.schema(DS.dataset_summary(images, "leaf-images").schema).json(f"{path}/summary")
-    return stored.select("dataset_name", "overview.total_images", "overview.num_classes", "overview.splits.*",
-                         "image_properties.*", "health_status_distribution.*")
+    schema = DS.dataset_summary(images, "leaf-images").schema.add("classes", T.ArrayType(T.StringType())).add(
+        "plant_types", T.MapType(T.StringType(), T.LongType()))
+    plants = F.array_sort(F.map_entries("plant_types"))
+    return spark.read.schema(schema).json(f"{path}/summary").select(
+        "dataset_name", "overview.total_images", "overview.num_classes", "overview.splits.*",
+        "image_properties.*", "health_status_distribution.*", "pixel_statistics.*", F.array_join("classes", ",").alias("classes"),
+        F.array_join(F.transform(plants, lambda p: F.concat(p["key"], F.lit("="), p["value"].cast("string"))), ",").alias("plant_types"))
 
 
 @query("sink_manifest", with_views("split", "SELECT split, class_label, path FROM split"))

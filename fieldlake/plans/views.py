@@ -7,6 +7,7 @@ functions where the Spark side avoids them.
 from __future__ import annotations
 
 from fieldlake import constants as K
+from fieldlake.sources.domain import SUFFIXES as SUFFIX_LIST
 
 
 def _values(rows) -> str:
@@ -22,6 +23,21 @@ RULES = ", ".join(
     f"({i}, " + _values([rule])[1:] for i, rule in enumerate(K.DISEASE_RULES)
 )
 CLASSES = ", ".join(f"'{c}'" for c in K.EXPECTED_CLASSES)
+SUFFIXES = f"({list(SUFFIX_LIST)})"
+
+
+def _std_sql(condition: str = "TRUE") -> str:
+    n, s, q = (f"CAST({x} FILTER (WHERE {condition}) AS DOUBLE)" for x in ("count(*)", "sum(v)", "sum(v * v)"))
+    return f"round(sqrt(greatest(0, {q} / {n} - ({s} / {n}) * ({s} / {n}))), 4)"
+
+
+def _mean_sql(condition: str = "TRUE") -> str:
+    return f"round(CAST(sum(v) FILTER (WHERE {condition}) AS DOUBLE) / count(*) FILTER (WHERE {condition}), 4)"
+
+
+#: Blue, green and red in stored order.
+_CHANNELS = ", ".join(f"{_mean_sql(f'i % 3 = {i}')} AS {c}_mean, {_std_sql(f'i % 3 = {i}')} AS {c}_std"
+                      for i, c in enumerate(("blue", "green", "red")))
 
 ZONE = ("CASE WHEN abs(lat) <= 23.5 THEN 'tropical' WHEN abs(lat) <= 35 THEN 'subtropical' "
         "WHEN abs(lat) <= 55 THEN 'temperate' WHEN abs(lat) <= 60 THEN 'continental' ELSE 'polar' END")
@@ -85,7 +101,7 @@ VIEWS = {
         source || '/' || class_label || '/' || filename AS path, filename,
         CAST(200 + doc_id % 57 AS INTEGER) AS width, CAST(200 + doc_id % 31 AS INTEGER) AS height
         FROM (SELECT *, ([{CLASSES}])[doc_id % 15 + 1] AS class_label,
-        CAST(doc_id AS VARCHAR) || (['.jpg', '.JPG', '.png', '.txt'])[doc_id % 4 + 1] AS filename FROM documents)""",
+        CAST(doc_id AS VARCHAR) || {SUFFIXES}[(doc_id // 10) % 8 + 1] AS filename FROM documents)""",
     "processed_files": """SELECT image_id, file_size_bytes, CASE WHEN image_id % 10 < 7 THEN 'train'
         WHEN image_id % 10 = 7 THEN 'val' WHEN image_id % 10 = 8 THEN 'test' ELSE 'extra' END AS split,
         class_label, filename, width, height FROM images""",
@@ -111,9 +127,24 @@ VIEWS = {
         FROM split JOIN (SELECT unnest([0, 1, 2, 3]) AS copy) c ON c.copy = 0 OR split.split = 'train'""",
     "gray": """SELECT vec_id AS image_id, CAST(label AS VARCHAR) AS class_label,
         [CAST(least(255, greatest(0, floor(abs(x) * 512))) AS INTEGER) for x in embedding] AS px FROM embeddings""",
-    "colour": "SELECT image_id, class_label, px[1:63] AS px FROM gray",
+    "colour": "SELECT image_id, class_label, list_resize(px, 72, 0) AS px FROM gray",
     "gray_pixels": """SELECT image_id, class_label, generate_subscripts(px, 1) - 1 AS i, unnest(px) AS v FROM gray""",
-    "colour_pixels": "SELECT * FROM gray_pixels WHERE i < 63",
+    "colour_pixels": "SELECT image_id, class_label, generate_subscripts(px, 1) - 1 AS i, unnest(px) AS v FROM colour",
+    "pixel_files": f"""SELECT *, split || '/' || label || '/' || filename AS filepath FROM (
+        SELECT image_id, px, CASE WHEN image_id % 10 < 7 THEN 'train' WHEN image_id % 10 = 7 THEN 'val'
+        WHEN image_id % 10 = 8 THEN 'test' ELSE 'extra' END AS split, ([{CLASSES}])[image_id % 15 + 1] AS label,
+        CAST(image_id AS VARCHAR) || {SUFFIXES}[(image_id // 10) % 8 + 1] AS filename FROM colour)
+        WHERE split <> 'extra' AND (filename LIKE '%.jpg' OR filename LIKE '%.png')""",
+    "metadata": f"""SELECT filename, filepath, filepath AS absolute_path, CAST(72 AS BIGINT) AS file_size_bytes,
+        round(72 / CAST(1024 AS DOUBLE), 2) AS file_size_kb, 6 AS width, 4 AS height, 3 AS channels, 'RGB' AS mode,
+        CASE WHEN filename LIKE '%.png' THEN 'PNG' ELSE 'JPEG' END AS format, label AS class_label, split,
+        split_part(label, '_', 1) AS plant_type, CASE WHEN contains(lower(label), 'healthy') THEN 'None'
+        WHEN contains(replace(label, '__', '_'), '_')
+        THEN substr(replace(label, '__', '_'), strpos(replace(label, '__', '_'), '_') + 1) ELSE 'Unknown' END AS disease_name,
+        CASE WHEN contains(lower(label), 'healthy') THEN 'healthy' ELSE 'diseased' END AS health_status,
+        TIMESTAMP '2023-11-14 22:13:20' + to_seconds(image_id) AS modified_at, s.* EXCLUDE (image_id)
+        FROM pixel_files JOIN (SELECT image_id, {_mean_sql()} AS pixel_mean, {_std_sql()} AS pixel_std,
+        min(v) AS pixel_min, max(v) AS pixel_max, {_CHANNELS} FROM colour_pixels GROUP BY image_id) s USING (image_id)""",
 }
 
 
@@ -142,7 +173,7 @@ DEPENDS = {
     "progress": ["best"], "noon_best": ["best"], "noon_progress": ["noon_best"], "records": ["noon_progress"],
     "processed_files": ["images"], "processed": ["processed_files"], "labelled": ["processed"],
     "ranked": ["images"], "split": ["ranked"], "fanned": ["split"], "colour": ["gray"],
-    "gray_pixels": ["gray"], "colour_pixels": ["gray_pixels"],
+    "gray_pixels": ["gray"], "colour_pixels": ["colour"], "pixel_files": ["colour"], "metadata": ["pixel_files", "colour_pixels"],
 }
 
 

@@ -53,9 +53,12 @@ USERS = _struct(user_id=L, name=S, role=S, version=L, created_at=TS, permissions
 
 FIRST_DETECTIONS = _struct(field_id=L, disease=S, started=TS)
 
+# One row per image file; a creation stamp is the only thing that Spark's file scans don't give.
 IMAGE_METADATA = _struct(
-    filename=S, filepath=S, file_size_bytes=L, file_size_kb=D, class_label=S, split=S,
-    plant_type=S, disease_name=S, health_status=S,
+    filename=S, filepath=S, absolute_path=S, file_size_bytes=L, file_size_kb=D, width=I, height=I, channels=I,
+    mode=S, format=S, class_label=S, split=S, plant_type=S, disease_name=S, health_status=S, modified_at=TS,
+    pixel_mean=D, pixel_std=D, pixel_min=I, pixel_max=I, red_mean=D, red_std=D, green_mean=D, green_std=D,
+    blue_mean=D, blue_std=D,
 )
 
 # Relational tables: lengths are checked by dq_length, decimals are exact.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from fieldlake import constants as K
 from fieldlake.operators import dataset as DS
 from fieldlake.schemas import IMAGE_METADATA
 
@@ -39,7 +40,10 @@ def write_class_distribution(images: DataFrame, path: str, name: str) -> None:
 
 
 def write_dataset_summary(images: DataFrame, path: str, name: str) -> None:
-    DS.dataset_summary(images, name).write.mode("overwrite").json(f"{path}/summary")
+    """One document with all figures, class names and plant counts; the plants also as rows."""
+    lists = DS.class_lists(images)
+    DS.dataset_summary(images, name).withColumns({c: lists.select(c).scalar() for c in lists.columns}).withColumn(
+        "generated_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
     DS.plant_counts(images).write.mode("overwrite").json(f"{path}/plant_types")
 
 
@@ -52,6 +56,16 @@ def write_manifest(images: DataFrame, path: str) -> None:
         "split", "class_label", "path").write.mode("overwrite").partitionBy("split", "class_label").parquet(path)
 
 
+def write_manifest_info(manifest: DataFrame, attempts: DataFrame, path: str, name: str) -> None:
+    """One document beside the manifest: what the data set holds, and how its making went."""
+    counts = manifest.agg(
+        F.lit(name).alias("name"), F.count_distinct("class_label").alias("num_classes"), F.count(F.lit(1)).alias("total_images"),
+        F.struct(*[F.count_if(F.col("split") == s).alias(s) for s in K.SPLITS]).alias("splits"))
+    figures = DS.processing_stats(attempts)
+    counts.withColumn("statistics", figures.select(F.struct("*")).scalar()).withColumn("generated_at", F.current_timestamp()).coalesce(1).write.mode(
+        "overwrite").json(path)
+
+
 def write_processed_images(images: DataFrame, path: str) -> None:
     """Pixels under split=/class_label=, named by stem, copy suffix and .jpg.
 

@@ -51,9 +51,16 @@ def replace_rows(new: DataFrame, path: str, key: str, keys: DataFrame, parts: in
 
 
 def upsert_users(table: KeyedTable, new: DataFrame, version: str, mark: Mark | None = None) -> bool:
-    """Take users (without permissions) into the stored table; of one user the latest version wins."""
+    """Take users (without permissions) into the stored table; of one user the latest version wins,
+    stored or new, so that batches may come in any order."""
     fresh = stored(checked_users(new), "users")
-    return table.merge(fresh, lambda old, changes: upsert(old, changes.select(*old.columns), "user_id", version), mark)
+
+    def combine(old: DataFrame, changes: DataFrame) -> DataFrame:
+        both = old.withColumn("_age", F.lit(0)).unionByName(changes.select(*old.columns).withColumn("_age", F.lit(1)))
+        order = Window.partitionBy("user_id").orderBy(F.col(version).desc(), F.col("_age").desc())
+        return both.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n", "_age")
+
+    return table.merge(fresh, combine, mark)
 
 
 class JobRun:

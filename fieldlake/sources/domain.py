@@ -91,11 +91,15 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: File endings by the tens of an id, so that every split has files of each: most are images, one in the wrong case, one no image.
+SUFFIXES = (".jpg", ".png", ".jpg", ".png", ".jpg", ".JPG", ".png", ".txt")
+
+
 def images(spark: SparkSession, folder: str) -> DataFrame:
     """Image files, one per document: class, size and path."""
     doc = F.col("doc_id")
     label = F.element_at(F.array(*[F.lit(c) for c in K.EXPECTED_CLASSES]), (doc % 15 + 1).cast("int"))
-    ext = F.element_at(F.array(*[F.lit(e) for e in (".jpg", ".JPG", ".png", ".txt")]), (doc % 4 + 1).cast("int"))
+    ext = F.element_at(F.array(*[F.lit(e) for e in SUFFIXES]), (F.floor(doc / 10) % 8 + 1).cast("int"))
     filename = F.concat(doc.cast("string"), ext)
     return table(spark, folder, "documents").select(
         doc.alias("image_id"), label.alias("class_label"), F.col("n_chars").alias("file_size_bytes"),
@@ -117,18 +121,22 @@ def processed_files(spark: SparkSession, folder: str) -> DataFrame:
 def pixel_images(spark: SparkSession, folder: str, shape: str = "gray") -> DataFrame:
     """Embeddings as small images in the image-source layout.
 
-    ``gray``: 8 x 8, one channel. ``colour``: the first 63 values as 3 x 7 BGR pixels.
-    Every 13th image counts as undecodable when ``shape`` is ``mixed``.
+    ``gray``: one channel; ``colour``: BGR pixels. Every value of a vector is a byte; the
+    picture is about square, and its last pixels are filled up with zeros. Every 13th
+    image counts as undecodable when ``shape`` is ``mixed``.
     """
-    byte = lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(F.abs(x) * 512))).cast("int")
-    height, width, channels = (3, 7, 3) if shape == "colour" else (8, 8, 1)
-    values = F.slice("embedding", 1, height * width * channels)
-    data = F.unhex(F.array_join(F.transform(values, lambda x: F.lpad(F.hex(byte(x)), 2, "0")), ""))
+    byte = lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(F.abs(x) * 512))).cast("int")
+    channels, size = 3 if shape == "colour" else 1, F.size("embedding")
+    pixels = F.ceil(size / channels)
+    height = F.greatest(F.lit(1), F.floor(F.sqrt(pixels)))
+    width = F.ceil(pixels / height)
+    rest = F.repeat(F.lit("00"), (height * width * channels - size).cast("int"))
+    data = F.unhex(F.concat(F.array_join(F.transform("embedding", lambda x: F.lpad(F.hex(byte(x)), 2, "0")), ""), rest))
     bad = (F.col("vec_id") % 13 == 0) if shape == "mixed" else F.lit(False)
     image = F.struct(
         F.concat(F.lit("image-"), F.col("vec_id").cast("string")).alias("origin"),
-        F.when(bad, -1).otherwise(height).alias("height"),
-        F.when(bad, -1).otherwise(width).alias("width"),
+        F.when(bad, -1).otherwise(height).cast("int").alias("height"),
+        F.when(bad, -1).otherwise(width).cast("int").alias("width"),
         F.when(bad, -1).otherwise(channels).alias("nChannels"),
         F.lit(0 if channels == 1 else 16).alias("mode"),
         F.when(~bad, data).alias("data"),
@@ -138,6 +146,17 @@ def pixel_images(spark: SparkSession, folder: str, shape: str = "gray") -> DataF
     )
 
 
+def processed_pixels(spark: SparkSession, folder: str, shape: str = "colour") -> DataFrame:
+    """Pixel images as files of a split/class/file tree; one tenth lies in no known split."""
+    key = F.col("image_id")
+    split = F.element_at(F.array(*[F.lit(s) for s in ["train"] * 7 + ["val", "test", "extra"]]), (key % 10 + 1).cast("int"))
+    label = F.element_at(F.array(*[F.lit(c) for c in K.EXPECTED_CLASSES]), (key % 15 + 1).cast("int"))
+    ext = F.element_at(F.array(*[F.lit(e) for e in SUFFIXES]), (F.floor(key / 10) % 8 + 1).cast("int"))
+    return pixel_images(spark, folder, shape).select(
+        "image_id", F.concat_ws("/", split, label, F.concat(key.cast("string"), ext)).alias("path"),
+        F.length("image.data").cast("long").alias("file_size_bytes"), F.timestamp_seconds(F.lit(1_700_000_000) + key).alias("modified_at"), "image")
+
+
 def weather_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Live weather answers as JSON text; a third lack rain, a fifth the wind direction."""
     eid = F.col("event_id")

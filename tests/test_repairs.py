@@ -40,6 +40,58 @@ def test_images_with_odd_names(spark, tmp_path):
     assert sorted(map(tuple, manifest)) == sorted(map(tuple, done)) and sum(r[2] for r in done) == 17
 
 
+def test_attempts_add_up_to_the_files_on_disk(spark, tmp_path):
+    """scanned = originals + corrupted, copies of training images only; the same figures stand beside the manifest."""
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    for i in range(20):
+        png(raw / "A" / f"{i}.png", i)
+    for i in range(4):
+        (raw / "A" / f"bad{i}.jpg").write_bytes(b"no image")
+    (raw / "A" / "notes.txt").write_text("x")
+    P.prepare_images(spark, str(raw), out, "leaves", size=(4, 4), copies=2)
+    log = spark.read.parquet(f"{out}/attempts")
+    stats = DS.processing_stats(log).first()
+    train = spark.read.parquet(f"{out}/processed").filter("split = 'train' AND copy = 0").count()
+    assert (stats.n_scanned, stats.n_originals, stats.n_corrupted, stats.n_skipped) == (24, 20, 4, 0)
+    assert stats.n_copies == 2 * train and stats.n_processed == 20 + 2 * train
+    assert {r.path.rsplit("/", 1)[1] for r in log.filter("outcome = 'corrupted'").collect()} == {f"bad{i}.jpg" for i in range(4)}
+    info = spark.read.json(f"{out}/manifest_info").first()
+    assert (info.total_images, info.num_classes, info.statistics.n_corrupted) == (24, 1, 4)
+    # a copy that is lost is skipped, its original is not corrupted
+    done = spark.read.parquet(f"{out}/processed").select(F.col("image_id").alias("path"), "copy").filter("NOT (copy = 1 AND path LIKE '%/3.png')")
+    again = DS.processing_stats(DS.attempt_log(log.select("path", "copy"), done)).first()
+    lost = spark.read.parquet(f"{out}/processed").filter("copy = 1 AND image_id LIKE '%/3.png'").count()
+    assert again.n_skipped == lost and again.n_corrupted == 4
+
+
+def test_metadata_has_every_column(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    for i in range(6):
+        png(raw / "Tomato_healthy" / f"{i}.png", 40 * i)
+    P.prepare_images(spark, str(raw), out, "leaves", size=(4, 4), copies=0)
+    rows = FS.metadata_csv(spark, f"{out}/metadata/csv").collect()
+    assert len(rows) == 6 and len(rows[0]) == 26
+    for r in rows:
+        value = 40 * int(r.filename.split(".")[0])
+        assert (r.width, r.height, r.channels, r.mode, r.format) == (4, 4, 3, "RGB", "JPEG")
+        assert (r.pixel_min, r.pixel_max, r.pixel_mean, r.pixel_std) == (value, value, value, 0)
+        assert [r[f"{c}_{m}"] for c in ("red", "green", "blue") for m in ("mean", "std")] == [value, 0] * 3
+        assert r.absolute_path.endswith(r.filepath) and r.filepath == f"{r.split}/Tomato_healthy/{r.filename}" and r.modified_at is not None
+    summary = spark.read.json(f"{out}/metadata/dataset_summary/summary").first()
+    assert summary.classes == ["Tomato_healthy"] and summary.plant_types.asDict() == {"Tomato": 6} and summary.pixel_statistics.overall_std == 0
+
+
+def test_every_value_of_a_vector_is_a_pixel(spark, tmp_path):
+    """Vectors of any length make pictures that hold them all, filled up with zeros."""
+    rows = [(i, [(1 + j) / 512 for j in range(n)], 0) for i, n in enumerate((1, 2, 7, 63, 64, 100))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    for shape, channels in (("gray", 1), ("colour", 3)):
+        for r in V.pixel_images(spark, str(tmp_path), shape).collect():
+            data, n = r.image.data, len(rows[r.image_id][1])
+            assert len(data) == r.image.height * r.image.width * channels
+            assert list(data[:n]) == [1 + j for j in range(n)] and not any(data[n:])
+
+
 def test_images_without_class_keep_their_split(spark):
     images = spark.createDataFrame([(i, None if i < 20 else "A") for i in range(60)], "image_id long, class_label string")
     rows = DS.stratified_split(images).collect()

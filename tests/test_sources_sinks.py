@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.operators import fields as FL, images as IM
 from fieldlake.plans import pipelines
+from fieldlake.schemas import IMAGE_METADATA
 from fieldlake.session import work_path
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
 from fieldlake.sources import domain as V, files as FS, tables as TB
@@ -106,13 +107,13 @@ def test_empty_image_tree_is_refused(spark, tmp_path):
 
 def test_metadata_csv_is_globally_ordered(spark, tmp_path):
     rows = [(f"f{i:03d}", s, c) for i in range(50) for s in ("train", "val") for c in ("A", "B")]
-    df = spark.createDataFrame(rows, "filename string, split string, class_label string").withColumns({
-        c: F.lit("x") for c in ("filepath", "plant_type", "disease_name", "health_status")}).withColumns({
-            "file_size_bytes": F.lit(1), "file_size_kb": F.lit(0.0)})
+    df = spark.createDataFrame(rows, "filename string, split string, class_label string")
+    df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in IMAGE_METADATA.fields if f.name not in df.columns})
     SD.write_metadata_csv(df.repartition(5), str(tmp_path / "csv"))
+    place = [IMAGE_METADATA.names.index(c) for c in ("split", "class_label", "filename")]
     files = sorted((tmp_path / "csv").glob("part-*"))
     lines = [line.split(",") for f in files for line in f.read_text().splitlines()[1:]]
-    order = [(r[5], r[4], r[0]) for r in lines]
+    order = [tuple(r[p] for p in place) for r in lines]
     assert len(order) == 200 and order == sorted(order)
 
 
