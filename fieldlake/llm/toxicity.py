@@ -20,6 +20,8 @@ from fieldlake.session import stored
 TRAIN_ROWS = 20_000
 #: Words of the vocabulary, at most.
 WORDS = 512
+#: Texts that must hold a word of the vocabulary.
+LEAST_TEXTS = 5
 
 LETTERS = r"[^\p{L}]+"
 
@@ -51,21 +53,28 @@ def sample(labelled: DataFrame, grade: str, rows: int = TRAIN_ROWS) -> DataFrame
     return known.filter("grade = 0").orderBy(*order).limit(rows // 2).union(known.filter("grade > 0").orderBy(*order).limit(rows // 2))
 
 
-def vocabulary(train: DataFrame, least_share: float = 0.1, z: float = 4.0) -> list[str]:
+def vocabulary(train: DataFrame, least_texts: int = LEAST_TEXTS, z: float = 4.0) -> list[str]:
     """Words whose share of documents differs between grade 0 and the others by ``z`` standard errors.
 
-    Counted by Spark over the distinct words of each distinct training text; a word must
-    occur in ``least_share`` of the texts on its side, so that the odd words of a few
-    wrongly labelled texts don't count. At most ``WORDS`` words, the strongest, come back.
+    Counted by Spark over the distinct words of each training text, near copies once: texts
+    with the same smallest and largest hash of five words count as one. A word must be in
+    ``least_texts`` such texts of its side, a number that doesn't grow with the table, so
+    that words of one language among several are found. At most ``WORDS`` words, the
+    strongest, come back.
     """
-    train = train.groupBy("text").agg(F.max("grade").alias("grade"))
+    def hashes(w: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.size(w) - 4, F.lit(1)))
+        return F.transform(places, lambda i: F.xxhash64(F.array_join(F.slice(w, i, 5), " ")))
+
+    origin = let(let(terms(F.col("text")), hashes), lambda h: F.struct(F.array_min(h), F.array_max(h)))
+    train = train.groupBy(origin.alias("origin")).agg(F.max("grade").alias("grade"), F.max_by("text", F.struct("grade", "text")).alias("text"))
     sizes = dict(train.groupBy((F.col("grade") > 0).alias("bad")).count().collect())
     good, bad = sizes.get(False, 0), sizes.get(True, 0)
     if not good or not bad:
         return []
     words = train.select((F.col("grade") > 0).cast("int").alias("bad"), F.explode(F.array_distinct(terms(F.col("text")))).alias("w")).filter("w != ''")
     per = words.groupBy("w").agg(F.sum("bad").alias("b"), F.count(F.lit(1)).alias("n"))
-    per = per.filter("n >= 3").filter((F.col("b") >= least_share * bad) | (F.col("n") - F.col("b") >= least_share * good))
+    per = per.filter((F.col("b") >= least_texts) | (F.col("n") - F.col("b") >= least_texts))
     b, g = F.col("b") + 0.5, F.col("n") - F.col("b") + 0.5
     share = F.col("n") / F.lit(good + bad)
     score = (F.col("b") / F.lit(bad) - (F.col("n") - F.col("b")) / F.lit(good)) / F.sqrt(share * (1 - share) * F.lit(1.0 / good + 1.0 / bad) + 1e-12)

@@ -103,7 +103,28 @@ def test_toxicity_query(spark):
     got = {r.doc_id: r for r in queries.op7_ordinal_toxicity(spark, folder).collect()}
     assert len(got) == 1000
     hit = np.mean([got[i].rejected for i, t in labels.items() if t])
-    assert hit > 0.6 and not any(got[i].rejected for i, t in labels.items() if not t)  # a share of the toxic labels is noise
+    # here only English has more toxic labels than LEAST_TEXTS; the next test takes the languages one by one
+    assert hit > 0.6 and not any(got[i].rejected for i, t in labels.items() if not t)
+
+
+def test_toxic_texts_are_found_in_each_language(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, toxicity.graded_labels(docs, labels), "grade")
+    judged = docs.join(labels, "doc_id").groupBy("lang", "toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(toxicity.rejected(F.col("text"), model).cast("int")).alias("share")).collect()
+    assert {r.lang for r in judged if r.toxic and r.n >= 30} == {"de", "en", "es", "fr"}
+    assert all(r.share >= 0.85 for r in judged if r.toxic) and all(r.share <= 0.01 for r in judged if not r.toxic)
+
+
+def test_near_copies_of_one_text_teach_no_word(spark):
+    """Copies of a labelled text count once, so that its odd words are no sign."""
+    own = lambda i: " ".join(f"w{chr(97 + (i * k) % 23)}{chr(97 + (i + 5 * k) % 19)}" for k in range(1, 15))
+    clean = [(i, own(i), 0) for i in range(60)]
+    bad = [(100 + i, f"nasty {own(100 + i)}", 1) for i in range(20)]
+    copies = [(200 + i, "odd " + own(300) + " x" * i, 1) for i in range(20)]
+    train = spark.createDataFrame(clean + bad + copies, "doc_id long, text string, grade int")
+    assert "nasty" in toxicity.vocabulary(train) and "odd" not in toxicity.vocabulary(train)
 
 
 def test_posteriors_and_rates(spark, docs_of):
