@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fieldlake import constants as K
 
@@ -107,6 +107,15 @@ def is_weather(payload: Column) -> Column:
     return payload["main"].isNotNull() & payload["wind"].isNotNull() & payload["clouds"].isNotNull()
 
 
+def normalised_payloads(rows: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
+    """Rows with their parsed answer ``p``; answers that are no weather are left out.
+
+    The filter works on a list of one parsed value: as a filter on the column Catalyst
+    would push it below the projection, with a copy of the parse for each test.
+    """
+    return rows.withColumn("p", F.explode(F.filter(F.array(F.from_json(payload, schema)), is_weather)))
+
+
 def payload_columns(payload: Column, lat: Column, day_of_year: Column) -> list[Column]:
     """Flat weather columns of a parsed live payload."""
     rainfall = F.coalesce(payload["rain"]["1h"], F.lit(0.0))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from fieldlake import constants as K
-from fieldlake.operators import quality as Q, timeline as TL
+from fieldlake.operators import constraints as C, quality as Q, timeline as TL
 from fieldlake.plans.registry import query
 from fieldlake.plans.views import CLASSES, with_views
 from fieldlake.sources import domain as V
@@ -65,13 +65,73 @@ def dq_not_null(spark, sf):
     return Q.null_counts(holed, ["name", "soil_type"])
 
 
-@query("dq_length", """
-    SELECT doc_id AS image_id, 'text' AS column_name, CAST(length(text) AS INTEGER) AS n_chars FROM documents
-    WHERE length(text) > 100 UNION ALL SELECT doc_id, 'source', CAST(length(source) AS INTEGER) FROM documents
-    WHERE length(source) > 4""")
+def flawed_tables(spark, sf):
+    """The relational tables with flaws in each kind of column: long and missing values, repeated keys."""
+    tables = V.relational_tables(spark, sf)
+    key = lambda c: F.col(c).cast("long")
+    fields, sensors, jobs, daily = (tables[t] for t in ("fields", "sensors", "batch_jobs", "analytics_summary"))
+    fields = fields.withColumns({
+        "name": F.when(key("field_id") % 7 == 0, None).when(key("field_id") % 11 == 0, F.repeat("name", F.lit(8))).otherwise(F.col("name")),
+        "soil_type": F.when(key("field_id") % 5 == 0, F.repeat("soil_type", F.lit(9))).otherwise(F.col("soil_type"))})
+    sensors = sensors.unionByName(sensors.filter(key("sensor_id") % 9 == 0)).withColumns({
+        "sensor_type": F.when(key("sensor_id") % 13 != 0, F.col("sensor_type")),
+        "status": F.when(key("sensor_id") % 8 == 0, F.repeat("status", F.lit(5))).otherwise(F.col("status"))})
+    jobs = jobs.withColumns({
+        "job_id": F.when(key("job_id") % 17 != 0, F.col("job_id")), "job_name": F.when(key("records_processed") % 19 != 0, F.col("job_name")),
+        "start_time": F.when(key("records_processed") % 23 != 0, F.col("start_time"))})
+    daily = daily.withColumn("field_id", F.when(key("field_id") % 4 == 0, F.repeat("field_id", F.lit(60))).otherwise(F.col("field_id")))
+    return {"fields": fields, "sensors": sensors, "batch_jobs": jobs, "analytics_summary": daily}
+
+
+FLAWED = """
+    , x_fields AS (SELECT * REPLACE (CASE WHEN CAST(field_id AS BIGINT) % 7 = 0 THEN NULL WHEN CAST(field_id AS BIGINT) % 11 = 0
+      THEN repeat(name, 8) ELSE name END AS name, CASE WHEN CAST(field_id AS BIGINT) % 5 = 0 THEN repeat(soil_type, 9) ELSE soil_type END
+      AS soil_type) FROM r_fields),
+    x_sensors AS (SELECT * REPLACE (CASE WHEN CAST(sensor_id AS BIGINT) % 13 <> 0 THEN sensor_type END AS sensor_type,
+      CASE WHEN CAST(sensor_id AS BIGINT) % 8 = 0 THEN repeat(status, 5) ELSE status END AS status)
+      FROM (SELECT * FROM r_sensors UNION ALL SELECT * FROM r_sensors WHERE CAST(sensor_id AS BIGINT) % 9 = 0)),
+    x_jobs AS (SELECT * REPLACE (CASE WHEN CAST(job_id AS BIGINT) % 17 <> 0 THEN job_id END AS job_id,
+      CASE WHEN records_processed % 19 <> 0 THEN job_name END AS job_name, CASE WHEN records_processed % 23 <> 0 THEN start_time END AS start_time)
+      FROM r_batch_jobs),
+    x_daily AS (SELECT * REPLACE (CASE WHEN CAST(field_id AS BIGINT) % 4 = 0 THEN repeat(field_id, 60) ELSE field_id END AS field_id)
+      FROM r_analytics_summary)"""
+
+
+def _rule_sql(table: str, source: str, key: str, tests: list[tuple[str, str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {key} AS row_key, '{column}' AS column_name, '{rule}' AS rule, count(*) AS n_rows "
+        f"FROM {source} WHERE {test} GROUP BY 2" + (" HAVING count(*) > 1" if rule == "primary_key" else "") for column, rule, test in tests)
+
+
+RULES_SQL = " UNION ALL ".join([
+    _rule_sql("fields", "x_fields", "coalesce(field_id, 'null')", [
+        ("field_id", "not_null", "field_id IS NULL"), ("name", "not_null", "name IS NULL"), ("field_id", "length", "length(field_id) > 50"),
+        ("name", "length", "length(name) > 100"), ("soil_type", "length", "length(soil_type) > 50"), ("field_id", "primary_key", "field_id IS NOT NULL")]),
+    _rule_sql("sensors", "x_sensors", "coalesce(sensor_id, 'null')", [
+        ("sensor_id", "not_null", "sensor_id IS NULL"), ("sensor_type", "not_null", "sensor_type IS NULL"),
+        ("sensor_id", "length", "length(sensor_id) > 50"), ("field_id", "length", "length(field_id) > 50"),
+        ("sensor_type", "length", "length(sensor_type) > 20"), ("status", "length", "length(status) > 20"),
+        ("sensor_id", "primary_key", "sensor_id IS NOT NULL")]),
+    _rule_sql("batch_jobs", "x_jobs", "coalesce(job_id, 'null')", [
+        ("job_id", "not_null", "job_id IS NULL"), ("job_name", "not_null", "job_name IS NULL"), ("start_time", "not_null", "start_time IS NULL"),
+        ("job_name", "length", "length(job_name) > 100"), ("status", "length", "length(status) > 20"), ("job_id", "primary_key", "job_id IS NOT NULL")]),
+    _rule_sql("analytics_summary", "x_daily", "coalesce(CAST(analysis_date AS VARCHAR), 'null') || '|' || coalesce(field_id, 'null')", [
+        ("analysis_date", "not_null", "analysis_date IS NULL"), ("field_id", "not_null", "field_id IS NULL"), ("field_id", "length", "length(field_id) > 50"),
+        ("avg_moisture", "range", "avg_moisture < 15 OR avg_moisture > 95"),
+        ("analysis_date,field_id", "primary_key", "analysis_date IS NOT NULL AND field_id IS NOT NULL")]),
+])
+
+
+@query("dq_declared", with_views("r_fields r_sensors r_batch_jobs r_analytics_summary", FLAWED + RULES_SQL))
+def dq_declared(spark, sf):
+    """Every declared rule of the four relational tables, one scan of each."""
+    return C.declared_violations(flawed_tables(spark, sf))
+
+
+@query("dq_length", with_views("r_fields r_sensors r_batch_jobs r_analytics_summary", FLAWED + f"SELECT * FROM ({RULES_SQL}) WHERE rule = 'length'"))
 def dq_length(spark, sf):
-    rows = V.table(spark, sf, "documents").select(F.col("doc_id").alias("image_id"), "text", "source")
-    return Q.too_long(rows, {"text": 100, "source": 4}, "image_id")
+    """Texts longer than their declared column."""
+    return C.declared_violations(flawed_tables(spark, sf)).filter("rule = 'length'")
 
 
 @query("dq_expected_classes", with_views("images", f"""

@@ -95,18 +95,18 @@ def scan_corrupt_images(spark, sf):
     return IM.corrupt_count(V.pixel_images(spark, sf, "mixed"))
 
 
-@query("scan_relational", with_views("fields", """
-    SELECT CAST(field_id AS VARCHAR) AS field_id, name, CAST(lat AS DECIMAL(10,7)) AS location_lat,
-    CAST(lon AS DECIMAL(10,7)) AS location_lon, CAST(area_hectares AS DECIMAL(10,2)) AS area_hectares, soil_type
-    FROM fields"""))
+RELATIONAL = ("fields", "sensors", "batch_jobs", "analytics_summary")
+
+
+@query("scan_relational", with_views("r_fields r_sensors r_batch_jobs r_analytics_summary", " UNION ALL BY NAME ".join(
+    f"SELECT '{t}' AS table_name, * FROM r_{t}" for t in RELATIONAL)))
 def scan_relational(spark, sf):
-    base = work_path(spark, "relational")
-    V.fields(spark, sf).select(
-        F.col("field_id").cast("string"), "name", F.col("lat").cast("decimal(10,7)").alias("location_lat"),
-        F.col("lon").cast("decimal(10,7)").alias("location_lon"), F.col("area_hectares").cast("decimal(10,2)"),
-        "soil_type", F.lit(None).cast("timestamp").alias("created_at"),
-    ).write.parquet(f"{base}/fields")
-    return TB.relational(spark, base, "fields").drop("created_at")
+    base, out = work_path(spark, "relational"), None
+    for name, rows in V.relational_tables(spark, sf).items():
+        rows.write.parquet(f"{base}/{name}")
+        one = TB.relational(spark, base, name).withColumn("table_name", F.lit(name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
 
 
 @query("weather_payload_normalise", with_views("readings fields", f"""
@@ -119,8 +119,7 @@ def scan_relational(spark, sf):
     FROM readings r JOIN fields f ON f.field_id = r.field_id"""))
 def weather_payload_normalise(spark, sf):
     rows = V.weather_payloads(spark, sf).join(V.fields(spark, sf).select("field_id", "lat"), "field_id")
-    parsed = rows.withColumn("p", F.from_json("payload", WEATHER_PAYLOAD))
-    return parsed.filter(W.is_weather(F.col("p"))).select("event_id", *W.payload_columns(F.col("p"), F.col("lat"), F.dayofyear("timestamp")))
+    return W.normalised_payloads(rows, "payload", WEATHER_PAYLOAD).select("event_id", *W.payload_columns(F.col("p"), F.col("lat"), F.dayofyear("timestamp")))
 
 
 @query("stream_source_readings", with_views("readings", "SELECT * FROM readings"))

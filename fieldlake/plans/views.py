@@ -125,6 +125,21 @@ VIEWS = {
         FROM ranked))""",
     "fanned": """SELECT *, CASE WHEN copy = 0 THEN '' ELSE '_aug_' || CAST(copy AS VARCHAR) END AS suffix
         FROM split JOIN (SELECT unnest([0, 1, 2, 3]) AS copy) c ON c.copy = 0 OR split.split = 'train'""",
+    "r_fields": """SELECT CAST(field_id AS VARCHAR) AS field_id, name, CAST(lat AS DECIMAL(10,7)) AS location_lat,
+        CAST(lon AS DECIMAL(10,7)) AS location_lon, CAST(area_hectares AS DECIMAL(10,2)) AS area_hectares, soil_type,
+        TIMESTAMP '1970-01-01' + to_seconds(field_id * 60) AS created_at FROM fields""",
+    "r_sensors": """SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(field_id AS VARCHAR) AS field_id, sensor_type, status,
+        DATE '2024-01-01' + CAST(sensor_id % 28 AS INTEGER) AS last_maintenance,
+        TIMESTAMP '1970-01-01' + to_seconds(sensor_id * 60) AS created_at FROM sensors""",
+    "r_batch_jobs": """SELECT CAST(o_orderkey AS VARCHAR) AS job_id, 'job-' || o_orderpriority AS job_name,
+        CAST(o_orderdate AS TIMESTAMP) AS start_time, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 HOUR AS end_time,
+        CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'completed' END AS status, CAST(o_orderkey AS BIGINT) AS records_processed,
+        CASE WHEN o_orderstatus = 'F' THEN 'stopped' END AS error_message, CAST(o_orderdate AS TIMESTAMP) AS created_at FROM orders""",
+    "r_analytics_summary": """SELECT CAST(l_shipdate AS DATE) AS analysis_date, CAST(l_suppkey AS VARCHAR) AS field_id,
+        count(*) AS total_readings, CAST(floor(sum(l_quantity) / count(*)) AS DECIMAL(5,2)) AS avg_temperature,
+        CAST(floor(sum(round(l_discount * 100) * 10) / count(*)) AS DECIMAL(5,2)) AS avg_moisture,
+        count(*) FILTER (WHERE l_returnflag = 'R') AS disease_count, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS created_at
+        FROM lineitem GROUP BY 1, 2""",
     "gray": """SELECT vec_id AS image_id, CAST(label AS VARCHAR) AS class_label,
         [CAST(least(255, greatest(0, floor(abs(x) * 512))) AS INTEGER) for x in embedding] AS px FROM embeddings""",
     "colour": "SELECT image_id, class_label, list_resize(px, 72, 0) AS px FROM gray",
@@ -168,6 +183,7 @@ VIEWS["records"] = f"""SELECT field_id, disease, severity, status, slot AS detec
     rainfall, soil_moisture, {season_sql('dayofyear(slot)')} AS season, {ZONE} AS climate_zone FROM noon_progress"""
 
 DEPENDS = {
+    "r_fields": ["fields"], "r_sensors": ["sensors"],
     "repeated": ["readings"], "weather": ["readings"], "field_days": ["fields"], "soil": ["readings"],
     "conditions": ["soil", "weather", "fields"], "scored": ["conditions", "rules"], "best": ["scored"],
     "progress": ["best"], "noon_best": ["best"], "noon_progress": ["noon_best"], "records": ["noon_progress"],

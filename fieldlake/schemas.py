@@ -88,5 +88,15 @@ TEXT_LENGTHS = {
     "analytics_summary": {"field_id": 50},
 }
 
+# Primary keys, and columns that must be set, of the relational tables.
+PRIMARY_KEYS = {
+    "fields": ("field_id",), "sensors": ("sensor_id",), "batch_jobs": ("job_id",),
+    "analytics_summary": ("analysis_date", "field_id"),
+}
+REQUIRED = {
+    "fields": ("name",), "sensors": ("sensor_type",), "batch_jobs": ("job_name", "start_time"),
+    "analytics_summary": ("analysis_date",),
+}
+
 # One image: the layout of Spark's image source (pixel bytes interleaved, BGR).
 IMAGE = _struct(origin=S, height=I, width=I, nChannels=I, mode=I, data=T.BinaryType())

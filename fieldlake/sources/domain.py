@@ -168,3 +168,29 @@ def weather_payloads(spark: SparkSession, folder: str) -> DataFrame:
         F.when(eid % 3 != 1, F.struct(F.col("rainfall").alias("1h"))).alias("rain"),
     ))
     return readings(spark, folder).select("event_id", "field_id", "timestamp", payload.alias("payload"))
+
+
+def relational_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The four relational tables, from customers, events, orders and line items."""
+    own, seen = fields(spark, folder), sensors(spark, folder)
+    orders = table(spark, folder, "orders").withColumn("start_time", F.col("o_orderdate").cast("timestamp"))
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("analysis_date"), F.col("l_suppkey").cast("string").alias("field_id"))
+    whole = lambda total: F.floor(F.sum(total) / F.count(F.lit(1))).cast("decimal(5,2)")
+    return {
+        "fields": own.select(
+            F.col("field_id").cast("string"), "name", F.col("lat").cast("decimal(10,7)").alias("location_lat"),
+            F.col("lon").cast("decimal(10,7)").alias("location_lon"), F.col("area_hectares").cast("decimal(10,2)"), "soil_type",
+            F.timestamp_seconds(F.col("field_id") * 60).alias("created_at")),
+        "sensors": seen.select(
+            F.col("sensor_id").cast("string"), F.col("field_id").cast("string"), "sensor_type", "status",
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("sensor_id") % 28).cast("int")).alias("last_maintenance"),
+            F.timestamp_seconds(F.col("sensor_id") * 60).alias("created_at")),
+        "batch_jobs": orders.select(
+            F.col("o_orderkey").cast("string").alias("job_id"), F.concat(F.lit("job-"), F.col("o_orderpriority")).alias("job_name"), "start_time",
+            (F.col("start_time") + F.expr("INTERVAL 1 HOUR")).alias("end_time"),
+            F.when(F.col("o_orderstatus") == "F", "failed").otherwise("completed").alias("status"), F.col("o_orderkey").cast("long").alias("records_processed"),
+            F.when(F.col("o_orderstatus") == "F", "stopped").alias("error_message"), F.col("start_time").alias("created_at")),
+        "analytics_summary": lines.agg(
+            F.count(F.lit(1)).alias("total_readings"), whole("l_quantity").alias("avg_temperature"), whole(F.round(F.col("l_discount") * 100) * 10).alias("avg_moisture"),
+            F.count_if(F.col("l_returnflag") == "R").alias("disease_count")).withColumn("created_at", F.col("analysis_date").cast("timestamp")),
+    }
