@@ -1,7 +1,7 @@
 """Command line: spark-submit -m style entry to the end-to-end jobs.
 
     python -m fieldlake history TABLES OUT --requester 0 [--owner 16] [--no-diseases] [--days 30]
-    python -m fieldlake stream  TABLES OUT [--owner 16] [--interval 60]
+    python -m fieldlake stream  TABLES OUT [--owner 16] [--interval 60] [--jobs store trend rain infections]
     python -m fieldlake images  RAW OUT [--name leaf-images]
 """
 
@@ -26,6 +26,7 @@ def main() -> None:
     history.add_argument("--days", type=int, help="days up to the newest reading; all if left out")
     stream = commands.add_parser("stream", help="drain live readings into hot and cold tables")
     stream.add_argument("--interval", type=int, help="seconds between batches; once over everything if left out")
+    stream.add_argument("--jobs", nargs="+", default=["store"], choices=["store", "trend", "rain", "infections"])
     for command in (history, stream):
         command.add_argument("tables")
         command.add_argument("out")
@@ -45,7 +46,7 @@ def main() -> None:
                           args.requester, args.out, args.owner, not args.no_diseases, args.days)
     else:
         pipelines.live(streams.readings_stream(spark, args.tables), domain.fields(spark, args.tables),
-                       args.out, args.owner, args.interval)
+                       args.out, args.owner, args.interval, args.jobs)
 
 
 if __name__ == "__main__":

@@ -147,6 +147,26 @@ def newest(rows: DataFrame, time: str, tie: list[str], n: int) -> DataFrame:
     return rows.orderBy(F.col(time).desc(), *tie).limit(n)
 
 
+def newest_alerts(alerts: DataFrame, n: int, status: str | None = None, field_id=None) -> DataFrame:
+    """The newest alerts, of one status or field when given; the filters reach the stored rows."""
+    return newest(_only(alerts, status=status, field_id=field_id), "created_at", ["field_id", "message"], n)
+
+
+def newest_diseases(records: DataFrame, n: int, field_id=None, disease: str | None = None, least_severity: float | None = None) -> DataFrame:
+    """The newest disease records, of one field or disease, or from a severity on, when given."""
+    found = _only(records, field_id=field_id, disease=disease)
+    if least_severity is not None:
+        found = found.filter(F.col("severity") >= least_severity)
+    return newest(found, "detection_date", ["field_id", "disease"], n)
+
+
+def _only(rows: DataFrame, **wanted) -> DataFrame:
+    for column, value in wanted.items():
+        if value is not None:
+            rows = rows.filter(F.col(column) == value)
+    return rows
+
+
 def analytics(records: DataFrame) -> DataFrame:
     """Counts and severity per disease, season, zone and status. Severities are
     summed as decimals, so the mean does not depend on the order of tasks."""

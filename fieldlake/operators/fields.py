@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldlake import constants as K
+from fieldlake.functions import labels as LB
 
 
 def active_fields(fields: DataFrame, owner=None) -> DataFrame:
@@ -48,6 +49,19 @@ def expected_sensors(fields: DataFrame) -> DataFrame:
     )
 
 
+def placed_sensors(fields: DataFrame, seed: int = K.SPLIT_SEED, box: float = K.SENSOR_BOX_DEGREES) -> DataFrame:
+    """The sensor set of new fields with places: soil sensors anywhere in the field's box, the
+    atmospheric one at its centre. The draws depend on sensor and seed alone."""
+    def draw(name: str):
+        return (LB.hash_uniform(F.col("sensor_id"), F.lit(seed), F.lit(name)) * 2 - 1) * box
+
+    soil = F.col("sensor_type") == "soil"
+    places = fields.select("field_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    return expected_sensors(fields).join(places, "field_id").select(
+        "sensor_id", "field_id", "sensor_type", F.lit("active").alias("status"),
+        (F.col("_lat") + F.when(soil, draw("lat")).otherwise(0.0)).alias("lat"), (F.col("_lon") + F.when(soil, draw("lon")).otherwise(0.0)).alias("lon"))
+
+
 def sensors_in_field_box(sensors: DataFrame, fields: DataFrame, box: float = K.SENSOR_BOX_DEGREES) -> DataFrame:
     """Each placed sensor with whether it lies in its field's box (equi join, then a test)."""
     places = fields.select("field_id", F.col("lat").alias("field_lat"), F.col("lon").alias("field_lon"))

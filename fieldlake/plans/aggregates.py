@@ -208,13 +208,29 @@ def sort_metadata(spark, sf):
     FROM records r JOIN fields f ON f.field_id = r.field_id ORDER BY created_at DESC, r.field_id, message LIMIT 20"""))
 def newest_alerts(spark, sf):
     fields = V.fields(spark, sf)
-    return D.newest(D.alerts(records(spark, sf), fields), "created_at", ["field_id", "message"], 20)
+    return D.newest_alerts(D.alerts(records(spark, sf), fields), 20)
 
 
 @query("newest_diseases", with_views("records", """
     SELECT * FROM records ORDER BY detection_date DESC, field_id, disease LIMIT 20"""))
 def newest_diseases(spark, sf):
-    return D.newest(flat_records(spark, sf), "detection_date", ["field_id", "disease"], 20)
+    return D.newest_diseases(flat_records(spark, sf), 20)
+
+
+@query("newest_alerts_by_status", with_views("records fields", """
+    SELECT r.detection_date AS created_at, r.status, r.field_id,
+    regexp_replace(regexp_replace(r.disease, '^[^_]*_+', ''), '_+', ' ', 'g') || ' risk detected in ' || f.name AS message
+    FROM records r JOIN fields f ON f.field_id = r.field_id WHERE r.status = 'active_infection'
+    ORDER BY created_at DESC, r.field_id, message LIMIT 10"""))
+def newest_alerts_by_status(spark, sf):
+    return D.newest_alerts(D.alerts(records(spark, sf), V.fields(spark, sf)), 10, status="active_infection")
+
+
+@query("newest_severe_diseases", with_views("records", """
+    SELECT * FROM records WHERE severity >= 0.8 AND disease = 'Tomato_Septoria_leaf_spot'
+    ORDER BY detection_date DESC, field_id, disease LIMIT 10"""))
+def newest_severe_diseases(spark, sf):
+    return D.newest_diseases(flat_records(spark, sf), 10, disease="Tomato_Septoria_leaf_spot", least_severity=0.8)
 
 
 @query("active_infections", with_views("records", "SELECT * FROM records WHERE status = 'active_infection'"))

@@ -8,8 +8,10 @@ from fieldlake import constants as K
 from fieldlake.functions import weather as W
 from fieldlake.operators import dataset as DS, disease as D, fields as FL, images as IM, summary as S
 from fieldlake.operators.infections import FirstDetections
+from fieldlake.schemas import REGISTERED_FIELDS, REGISTERED_SENSORS
 from fieldlake.session import stored
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
+from fieldlake.sinks.folders import KeyedTable
 from fieldlake.sources import files as FS
 from fieldlake.streaming import jobs as J
 
@@ -89,10 +91,50 @@ def _replace(rows: DataFrame, path: str, fields: DataFrame) -> None:
         table.rows().coalesce(1).write.mode("overwrite").parquet(f"{path}/bucket=0/commit=none")
 
 
+def register_fields(new: DataFrame, out: str, created_at: Column | None = None) -> int:
+    """Take in new fields with their defaults and place their sensors; returns how many were new.
+
+    ``new`` has field_id, user_id, name, lat and lon, and may lack or leave open the rest.
+    Fields that are stored already stay as they are, and keep their sensors: fields are
+    written last, so a run that stopped half-way is made good by the next one.
+    """
+    spark = new.sparkSession
+    fields = KeyedTable(spark, f"{out}/fields", REGISTERED_FIELDS, ["field_id"], 16)
+    sensors = KeyedTable(spark, f"{out}/sensors", REGISTERED_SENSORS, ["sensor_id"], 16)
+    for name in K.FIELD_DEFAULTS:
+        if name not in new.columns:
+            new = new.withColumn(name, F.lit(None).cast(REGISTERED_FIELDS[name].dataType))
+    complete = FL.with_field_defaults(new).withColumn("created_at", F.current_timestamp() if created_at is None else created_at)
+    fresh = stored(TS.absent_rows(complete.select(*REGISTERED_FIELDS.names), fields.rows(), "field_id", "name"), "new-fields")
+    placed = FL.placed_sensors(fresh).join(fresh.select("field_id", "created_at"), "field_id").select(*REGISTERED_SENSORS.names)
+    known = sensors.rows().select("sensor_id")
+    sensors.add(placed.join(known, "sensor_id", "left_anti"))
+    fields.add(fresh)
+    return fresh.count()
+
+
 def live(readings: DataFrame, fields: DataFrame, out: str, owner=None,
-         interval: int | None = None) -> tuple[str, str]:
-    """Live readings of an owner's active fields into the hot table and the cold archive."""
-    return J.hot_and_cold(readings_of(readings, fields, owner), out, interval)
+         interval: int | None = None, jobs=("store",)) -> tuple[str, str]:
+    """Live readings of an owner's active fields: to the hot table and the cold archive (``store``),
+    hourly trend (``trend``), rain sessions (``rain``), infections (``infections``).
+
+    Each job has a folder of its own under ``out`` and goes on there when it is started
+    again. Over bounded input the results are written at the end; with ``interval`` the
+    jobs run until they are stopped.
+    """
+    spark, rows = readings.sparkSession, readings_of(readings, fields, owner)
+    trend, rain = J.trend(spark, f"{out}/trend"), J.rain_sessions(spark, f"{out}/rain")
+    ill = J.Infections(spark, f"{out}/infections", fields, FirstDetections(spark, f"{out}/first_detections"))
+    starts = {"store": lambda: J.start_hot_and_cold(rows, out, interval), "trend": lambda: trend.start(rows, interval),
+              "rain": lambda: rain.start(rows, interval), "infections": lambda: ill.start(rows, interval)}
+    for running in [starts[job]() for job in jobs]:
+        running.awaitTermination()
+    results = {"trend": lambda: J.trend_rows(trend.result()), "rain": lambda: J.session_rows(rain.result()), "infections": lambda: ill.settle().result()}
+    for job in results.keys() & set(jobs):
+        results[job]().write.mode("overwrite").parquet(f"{out}/{job}/result")
+    if "store" in jobs:
+        J.replay_cold(spark, out, rows.schema)
+    return f"{out}/hot", f"{out}/cold"
 
 
 def prepare_images(spark: SparkSession, raw: str, out: str, name: str, size=K.TARGET_SIZE,

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F, types as T
 from fieldlake.operators import dataset as DS, disease as D, images as IM
 from fieldlake.plans.registry import query
 from fieldlake.plans.scans import METADATA, image_metadata, processed_metadata
-from fieldlake.plans.views import with_views
-from fieldlake.schemas import IMAGE_METADATA, USERS
+from fieldlake.plans.views import uniform_sql, with_views
+from fieldlake.schemas import IMAGE_METADATA, REGISTERED_FIELDS, REGISTERED_SENSORS, USERS
 from fieldlake.session import work_path
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
 from fieldlake.sinks.folders import KeyedTable
@@ -121,6 +121,29 @@ def upsert_users(spark, sf):
     return users.rows().select("user_id", "name", "role", "version", "created_at", F.size("permissions").alias("n_permissions"))
 
 
+@query("register_fields", f"""
+    WITH new AS (SELECT c_custkey AS field_id, CAST((c_custkey * 37) % 181 - 90 AS DOUBLE) AS lat, CAST((c_custkey * 53) % 361 - 180 AS DOUBLE) AS lon,
+      CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE 1.0 END AS area_hectares, 'mixed' AS crop_type FROM customer),
+    kinds AS (SELECT 'SOIL' AS prefix, 'soil' AS sensor_type, unnest([1, 2, 3, 4, 5]) AS n UNION ALL SELECT 'ATM', 'atmospheric', 1),
+    placed AS (SELECT prefix || '_' || field_id || '_' || printf('%03d', n) AS sensor_id, * FROM new, kinds)
+    SELECT sensor_id, field_id, sensor_type, area_hectares, crop_type,
+    round(lat + CASE WHEN sensor_type = 'soil' THEN ({uniform_sql("sensor_id", "'42'", "'lat'")} * 2 - 1) * 0.01 ELSE 0 END, 9) AS lat,
+    round(lon + CASE WHEN sensor_type = 'soil' THEN ({uniform_sql("sensor_id", "'42'", "'lon'")} * 2 - 1) * 0.01 ELSE 0 END, 9) AS lon FROM placed""")
+def register_fields(spark, sf):
+    """Fields are registered in two overlapping batches; each gets its sensors once."""
+    from fieldlake.plans.pipelines import register_fields as register
+
+    out, key = work_path(spark, "registry"), F.col("field_id")
+    new = V.fields(spark, sf).select(
+        "field_id", "user_id", "name", "lat", "lon", F.when(key % 3 == 0, F.col("area_hectares")).alias("area_hectares"))
+    register(new.filter(key % 2 == 0), out)
+    register(new, out)
+    fields = KeyedTable(spark, f"{out}/fields", REGISTERED_FIELDS, ["field_id"], 16).rows()
+    sensors = KeyedTable(spark, f"{out}/sensors", REGISTERED_SENSORS, ["sensor_id"], 16).rows()
+    return sensors.join(fields.select("field_id", "area_hectares", "crop_type"), "field_id").select(
+        "sensor_id", "field_id", "sensor_type", "area_hectares", "crop_type", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
+
+
 ABSENT = """SELECT c_custkey AS field_id, c_name AS name FROM customer
     WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
 

@@ -49,9 +49,14 @@ DISEASE_RECORDS = _struct(
     season=S, climate_zone=S,
 )
 
+REGISTERED_FIELDS = _struct(
+    field_id=L, user_id=L, name=S, lat=D, lon=D, area_hectares=D, crop_type=S, soil_type=S, active=B, created_at=TS,
+)
+REGISTERED_SENSORS = _struct(sensor_id=S, field_id=L, sensor_type=S, status=S, lat=D, lon=D, created_at=TS)
+
 USERS = _struct(user_id=L, name=S, role=S, version=L, created_at=TS, permissions=T.ArrayType(S))
 
-FIRST_DETECTIONS = _struct(field_id=L, disease=S, started=TS)
+FIRST_DETECTIONS = _struct(field_id=L, disease=S, started=TS, source=S)
 
 # One row per image file; a creation stamp is the only thing that Spark's file scans don't give.
 IMAGE_METADATA = _struct(

@@ -71,12 +71,16 @@ def start_hot_and_cold(stream: DataFrame, base: str, interval: int | None = None
 def hot_and_cold(stream: DataFrame, base: str, interval: int | None = None) -> tuple[str, str]:
     """``start_hot_and_cold`` until it ends; the hot and the cold folder. What still waits in the side store is replayed."""
     start_hot_and_cold(stream, base, interval).awaitTermination()
-    spark = stream.sparkSession
-    cold = ST.cold_store(spark, f"{base}/cold", stream.schema)
-    ST.SideStore(spark, f"{base}/fallback", cold.schema).replay(cold)
+    replay_cold(stream.sparkSession, base, stream.schema)
     return f"{base}/hot", f"{base}/cold"
 
 
+def replay_cold(spark: SparkSession, base: str, schema: T.StructType) -> int:
+    """Move the batches that the cold store refused from the side store into it."""
+    cold = ST.cold_store(spark, f"{base}/cold", schema)
+    return ST.SideStore(spark, f"{base}/fallback", cold.schema).replay(cold)
+
+
 def threshold_archive(stream: DataFrame, base: str, threshold: int = K.ARCHIVE_THRESHOLD) -> str:
     """Archive batches once at least ``threshold`` rows wait, and the rest at the end.
 
@@ -212,12 +216,12 @@ def deduped(spark: SparkSession, base: str, schema: T.StructType, keys: tuple[st
 class Infections:
     """Infections of a stream: hourly field conditions that add up in any order, and the stored first detections.
 
-    The state is the table of first detections, shared with the batch jobs; what a
-    stream adds is merged into it by ``settle``.
+    The state is the table of first detections, shared with the batch jobs; the stream
+    is a source of its own there, and ``settle`` brings it up to date.
     """
 
     def __init__(self, spark: SparkSession, base: str, fields: DataFrame, started: FirstDetections | None = None):
-        self.fields = fields
+        self.fields, self.source = fields, f"stream {base}"
         self.started = started or FirstDetections(spark, f"{base}/first_detections")
         self.hours = Increments(spark, base, self._partial, self._merge, _columns(
             "field_id long, slot timestamp, temperature double, humidity double, rainfall double, m double, nm long, soil long"), "slot")
@@ -246,17 +250,18 @@ class Infections:
         return self
 
     def settle(self, closed_only: bool = False) -> Infections:
-        """Merge what has been detected into the first detections; of closed hours alone while input may still come."""
+        """Bring the first detections up to date; from closed hours alone while input may still come."""
         hours = self.hours.result()
         if closed_only:
             mark = self.hours.watermark()
             hours = hours.filter(F.lit(False) if mark is None else F.col("slot") + F.expr("INTERVAL 1 HOUR") <= F.lit(mark))
-        self.started.merge(self._selected(hours))
+        self.started.replace(self._selected(hours), self.source)
         return self
 
     def result(self) -> DataFrame:
-        """Status, days and severity of every field-hour seen, open hours included."""
-        return D.infection_progress(self._selected(self.hours.result()), started=self.started.rows())
+        """Status, days and severity of every field-hour seen, open hours included; infections
+        that other jobs know of go on from there."""
+        return D.infection_progress(self._selected(self.hours.result()), started=self.started.rows(without=self.source))
 
 
 def alert_stream(records: DataFrame, fields: DataFrame) -> DataFrame:

@@ -167,3 +167,53 @@ def test_history_holds_weather_and_labels_and_goes_on_between_runs(spark, small,
     P.history(readings, fields, users, admin, few, days=3, include_diseases=False)
     stamps = spark.read.parquet(f"{few}/cold").agg(F.min("timestamp"), F.max("timestamp")).first()
     assert (stamps[1] - stamps[0]).days < 3
+
+
+def test_fields_are_registered_once_with_their_sensors(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    make = lambda *ids: spark.createDataFrame([(i, 1, f"f{i}", 10.0 + i, 20.0) for i in ids], "field_id long, user_id long, name string, lat double, lon double")
+    assert P.register_fields(make(1, 2), out) == 2 and P.register_fields(make(2, 3), out) == 1
+    add = KeyedTable.add
+    monkeypatch.setattr(KeyedTable, "add", lambda self, rows, mark=None: 1 / 0 if self.path.endswith("fields") else add(self, rows, mark))
+    with pytest.raises(ZeroDivisionError):
+        P.register_fields(make(4), out)  # stops between sensors and fields
+    monkeypatch.undo()
+    assert P.register_fields(make(4), out) == 1
+    fields = spark.read.parquet(f"{out}/fields").collect()
+    sensors = spark.read.parquet(f"{out}/sensors").collect()
+    assert sorted(f.field_id for f in fields) == [1, 2, 3, 4] and {(f.area_hectares, f.crop_type, f.soil_type, f.active) for f in fields} == {(1.0, "mixed", "loam", True)}
+    assert len(sensors) == 24 == len({s.sensor_id for s in sensors})
+    assert all(abs(s.lat - 10 - s.field_id) <= 0.01 and abs(s.lon - 20) <= 0.01 for s in sensors)
+    assert all((s.lat, s.lon) == (10.0 + s.field_id, 20.0) for s in sensors if s.sensor_type == "atmospheric")
+
+
+def test_live_jobs_write_results_and_go_on(spark, small, tmp_path):
+    from fieldlake.operators import disease as D, timeline as TL
+    from fieldlake.sources import streams as SR
+
+    folder, out = tmp_path / "tables", str(tmp_path / "out")
+    events, fields = V.table(spark, small, "events"), V.fields(spark, small)
+    events.filter("event_id % 2 = 0").coalesce(1).write.parquet(str(folder / "events.parquet"))
+    jobs = ("store", "trend", "rain", "infections")
+    P.live(SR.readings_stream(spark, str(folder)), fields, out, jobs=jobs)
+    events.filter("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(str(folder / "events.parquet"))
+    P.live(SR.readings_stream(spark, str(folder)), fields, out, jobs=jobs)
+    own = P.readings_of(V.readings(spark, small), fields)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(spark.read.parquet(f"{out}/trend/result")) == rows(TL.hourly_trend(own))
+    names = ["field_id", "disease", "slot", "days_active", "status", "severity"]
+    assert rows(spark.read.parquet(f"{out}/infections/result").select(names)) == rows(D.detections(own, fields).select(names))
+    assert spark.read.parquet(f"{out}/cold").count() == own.count() == spark.read.parquet(f"{out}/hot").count()
+    assert spark.read.parquet(f"{out}/rain/result").agg(F.sum("n_readings")).first()[0] == own.filter("rainfall > 0").count()
+
+
+def test_newest_lists_take_filters(spark, small):
+    from fieldlake.operators import disease as D
+
+    records = D.disease_records(V.readings(spark, small), V.fields(spark, small))
+    one = records.first()
+    assert {r.field_id for r in D.newest_diseases(records, 50, field_id=one.field_id).collect()} == {one.field_id}
+    assert all(r.severity >= 0.8 for r in D.newest_diseases(records, 50, least_severity=0.8).collect())
+    alerts = D.alerts(records, V.fields(spark, small))
+    got = D.newest_alerts(alerts, 5, status="new_infection").collect()
+    assert {r.status for r in got} == {"new_infection"} and [r.created_at for r in got] == sorted((r.created_at for r in got), reverse=True)
