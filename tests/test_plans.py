@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from fieldlake.sinks import tables as TS
 from fieldlake.plans import registry
 
 
@@ -43,8 +44,10 @@ def test_flagship_needs_two_shuffles_and_one_column_of_fields(spark, small):
 
 
 def test_row_limits_run_before_the_shuffle(spark, small):
-    for key in ("dedupe_readings", "latest_per_sensor", "upsert_users"):
+    for key in ("dedupe_readings", "latest_per_sensor"):
         assert re.search(r"WindowGroupLimit .* Partial", plan(spark, small, key)), key
+    users = spark.read.parquet(f"{small}/customer.parquet").selectExpr("c_custkey AS user_id", "c_name AS name", "c_custkey AS version")
+    assert re.search(r"WindowGroupLimit .* Partial", plan_of(TS.upsert(users, users, "user_id", "version")))
 
 
 def test_split_labels_rows_without_a_shuffle(spark, small):
