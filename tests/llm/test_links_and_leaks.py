@@ -159,7 +159,7 @@ def plain_leaks(docs, items, least=0.8):
             n, size = len(own), min(5, len(own))
             grams = lambda w, s=size: Counter(tuple(w[a : a + s]) for a in range(len(w) - s + 1))
             want = grams(own)
-            for at in range(len(words) - n + 1) if n else ():
+            for at in range(max(1, len(words) - n + 1)) if n else ():  # a shorter document is one window
                 got = grams(words[at : at + n])
                 same, every = sum((got & want).values()), sum((got | want).values())
                 if same >= least * every - 1e-12:
@@ -193,6 +193,38 @@ def test_edited_passages_equal_brute_force(spark, docs_of):
     assert {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in rows} == plain_leaks(docs, items)
 
 
+def test_documents_shorter_than_an_item(spark, docs_of):
+    """Documents that are 75 to 100 % of an item, from either end, alone and with words of their own."""
+    items = [(0, prose(71, 100)), (1, prose(72, 99)), (2, prose(73, 14)), (3, "a b c d e"), (4, "a b c d")]
+    docs = []
+    for _, text in items[:3]:
+        w = text.split()
+        for n in range(3 * len(w) // 4, len(w) + 1):
+            for own in ([], ["own"], ["own", "words", "here"]):
+                docs += [own + w[:n], w[-n:] + own, own + w[-n:]]
+    docs += [w.split() for w in ("a b c d", "a b c", "a b c d e f", "b c d e")]
+    pairs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    rows = decontaminate.leaks(docs_of(pairs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = plain_leaks(pairs, items)
+    assert {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in rows} == want
+    short = {(i, k) for i, k in want if k < 3 and len(docs[i]) < len(items[k][1].split())}
+    assert len(short) > 100 and all(r.n_words == min(len(docs[r.doc_id]), len(items[r.item_id][1].split())) for r in rows)
+
+
+def test_windows_between_hits_equal_brute_force(spark, docs_of):
+    """Repeated and overlapping passages: each start with enough shingles is a window, each once."""
+    item = prose(81, 30).split()
+    rng = np.random.default_rng(8)
+    docs = []
+    for i in range(40):
+        w = [x for _ in range(4) for x in [*item[rng.integers(0, 4) : rng.integers(26, 31)], *[f"n{i}x{j}" for j in range(rng.integers(0, 5))]]]
+        docs.append((i, " ".join(w)))
+    items = [(0, " ".join(item)), (1, " ".join(item[:20])), (2, " ".join(item + item[:9]))]
+    rows = decontaminate.leaks(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = plain_leaks(docs, items)
+    assert want and {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in rows} == want
+
+
 def test_no_items_or_documents(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.leaks(docs_of(["a b c d e f"]), none).count() == 0
@@ -211,6 +243,31 @@ def test_index_misses_nothing_within_the_radius():
         assert any(int(x ^ y) in near for x, y in zip(a, b, strict=True))
 
 
+def test_both_sides_of_the_index_meet_within_the_radius(spark):
+    """256-bit prints with up to 63 bits changed: an item's and a window's listings share a block value; sizes are fixed."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(60):
+        a = rng.integers(0, 1 << 16, 16)
+        b = a.copy()
+        for f in rng.choice(256, rng.integers(40, 64), replace=False):
+            b[f // 16] ^= 1 << (f % 16)
+        rows.append((i, a.tolist(), b.tolist()))
+    frame = spark.createDataFrame(rows, "key long, a array<int>, b array<int>")
+    side = lambda c, n: decontaminate.listed_under(frame.select("key", F.col(c).alias("print")), ["key"], n)
+    items, windows = side("a", 2), side("b", 1)
+    assert items.count() == 60 * 16 * 137 and windows.count() == 60 * 16 * 17
+    assert items.join(windows, ["key", "block", "value"]).select("key").distinct().count() == 60
+
+
+def test_long_fingerprints(spark):
+    frame = spark.createDataFrame([(1, [5, -7, 99]), (2, [5, -7, 99]), (3, [8])], "key long, w array<long>")
+    got = {r.key: r["print"] for r in decontaminate.fingerprints(frame, ["key"], decontaminate.PARTS).collect()}
+    short = {r.key: r["print"] for r in decontaminate.fingerprints(frame, ["key"]).collect()}
+    assert got[1] == got[2] != got[3] and all(len(got[k]) == 16 and got[k][:4] == short[k] for k in got)
+    assert len({tuple(got[3][i : i + 4]) for i in range(0, 16, 4)}) == 4
+
+
 def test_fingerprints(spark):
     lists = {1: [5, -7, 123456789012345], 2: [-1], 3: list(range(-50, 50))}
     frame = spark.createDataFrame(list(lists.items()), "key long, w array<long>")
