@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from fieldlake.llm import shingles
-from fieldlake.llm.common import bit_map, in_map, numbers
+from fieldlake.llm.common import bit_map, in_map, numbers, tidy
 from fieldlake.llm.components import components
 from fieldlake.session import stored
 
@@ -210,7 +210,7 @@ def _classes(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(some), batch.column(0).type), none, none, pa.array(sums[some]), pa.array(some.astype(np.int32))], ["doc_id", "node", "check", "n", "bucket"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, check long, n long, bucket int")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, node long, check long, n long, bucket int")
 
 
 def _levels(rows: DataFrame) -> np.ndarray:
@@ -270,7 +270,7 @@ def _candidates(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> Data
     of them shares none of its prefix, so it has no partner. They are looked for in a
     fixed share of the hash range, where every set lists its rare n-grams.
     """
-    rare = docs.select("text").mapInArrow(_spread(levels, RANGE), KEYS)
+    rare = docs.select("text").mapInArrow(tidy(_spread(levels, RANGE)), KEYS)
     alone = rare.groupBy("key").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
     prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
@@ -286,7 +286,7 @@ def _candidates(docs: DataFrame, classes: DataFrame, levels: np.ndarray) -> Data
             names = [shingles.name(s)[0] for s in shingles.sets(batch.column("text"))]
             yield batch.filter(pa.compute.equal(batch.column("node"), pa.array(names, pa.int64())))
 
-    same = texts.mapInArrow(named, "node long, n long, text string")
+    same = texts.mapInArrow(tidy(named), "node long, n long, text string")
     return stored(same.groupBy("node").agg(F.first("n").alias("n"), F.first("text").alias("text")), "ngram-candidates")
 
 
@@ -298,7 +298,7 @@ def _ties(candidates: DataFrame, levels: np.ndarray) -> DataFrame:
     the edges are as many as the prefixes' n-grams, not as their pairs.
     """
     # read anew for each use: the n-grams of all candidates are never stored, only those that some share
-    rows = candidates.select("node", "text").mapInArrow(_spread(levels, None), KEYS)
+    rows = candidates.select("node", "text").mapInArrow(tidy(_spread(levels, None)), KEYS)
     counted = rows.filter("level = 0").withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key")))
     rare = stored(counted.filter("sets > 1"), "ngram-rare")
     listed = rows.filter("level = 0").groupBy("node").agg(F.count(F.lit(1)).alias("listed"))
@@ -355,7 +355,7 @@ def _links(members: DataFrame, levels: np.ndarray, every: bool) -> DataFrame:
         if held:
             yield out(unit(held, key))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(tidy(run), "a long, b long")
 
 
 def linked(docs: DataFrame, every: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -436,7 +436,7 @@ def representatives(docs: DataFrame) -> DataFrame:
             names = [shingles.name(s)[0] if len(s) else None for s in shingles.sets(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], [*batch.schema.names, "_node"])
 
-    more = more.mapInArrow(named_sets, schema)
+    more = more.mapInArrow(tidy(named_sets), schema)
     by_set = more.filter("_node IS NOT NULL").join(chosen, F.col("doc_id").eqNullSafe(F.col("_own")) & (F.col("_node") == F.col("_set")), "left_semi")
     wordless = more.filter("_node IS NULL")
     return once.unionByName(by_set.dropDuplicates(["doc_id", "_node"]).unionByName(wordless).drop("_node"))

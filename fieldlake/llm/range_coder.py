@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from fieldlake.llm.common import tidy
 from fieldlake.llm.token_counts import BYTE_CHARS, PLAIN, SPELLED, load
 from fieldlake.session import stored
 
@@ -145,12 +146,14 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 
 
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
-    own = [np.unique(b, return_inverse=True) for b in blocks]
+    own: list[np.ndarray] = []
     lens = np.array([len(b) for b in blocks])
     x = np.zeros((lens[0], len(blocks)), np.int32)
-    for k, (_, places) in enumerate(own):
+    for k, b in enumerate(blocks):
+        ids, places = np.unique(b, return_inverse=True)
+        own.append(ids)
         x[: lens[k], k] = places
-    m = _Models(np.array([len(u) for u, _ in own]))
+    m = _Models(np.array([len(ids) for ids in own]))
     low, span = np.zeros(len(blocks), np.uint64), np.full(len(blocks), 1 << 60, np.uint64)
     words = np.zeros((len(blocks), int(lens[0]) + 4), np.uint32)
     used = np.zeros(len(blocks), np.int64)
@@ -180,7 +183,7 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         used += 1
         low = (low << WORD) & LOW
     out = []
-    for k, (ids, _) in enumerate(own):
+    for k, ids in enumerate(own):
         listed = zlib.compress(np.diff(ids, prepend=0).astype("<u4").tobytes(), 6)
         crc = zlib.crc32(np.ascontiguousarray(blocks[k], "<u4"))
         out.append(HEAD.pack(MAGIC, lens[k], len(ids), crc, len(listed)) + listed + words[k, : used[k]].astype("<u4").tobytes())
@@ -355,12 +358,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 2) -> None:
 
         def out() -> pa.RecordBatch:
             nonlocal frames, before
-            joined = [np.concatenate(arrays) for _, arrays in waiting]
+            sizes = [[len(a) for a in arrays] for _, arrays in waiting]
+            joined = []
+            for _, arrays in waiting:
+                joined.append(np.concatenate(arrays))
+                arrays.clear()
             cut = [[x[i : i + BLOCK] for i in range(0, len(x), BLOCK)] for x in joined]
             coded = iter(encode([b for blocks in cut for b in blocks]))
             rows = []
-            for (own, arrays), x, blocks in zip(waiting, joined, cut, strict=True):
-                rows.append((part, frames, before, len(x), own, [len(a) for a in arrays], [next(coded) for _ in blocks]))
+            for (own, _), counts, x, blocks in zip(waiting, sizes, joined, cut, strict=True):
+                rows.append((part, frames, before, len(x), own, counts, [next(coded) for _ in blocks]))
                 frames, before = frames + 1, before + len(x)
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.binary())]
             waiting.clear()
@@ -384,10 +391,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 2) -> None:
             waiting.append((ids, held))
         if waiting:
             yield out()
+        of.clear()
 
     text_hash = F.xxhash64("text")
     ordered = docs.select("doc_id", "text", text_hash.alias("h")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    ordered.select("doc_id", "text").mapInArrow(run, FILE.format(id=kind)).write.parquet(path)
+    ordered.select("doc_id", "text").mapInArrow(tidy(run), FILE.format(id=kind)).write.parquet(path)
 
 
 def _enough(held: list[np.ndarray]) -> bool:
@@ -452,5 +460,5 @@ def _read(spark: SparkSession, path: str, whole: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = f"doc_id {kind}, part int, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * whole
-    rows = files.select("part", "before", "doc_ids", "doc_tokens", "blocks").mapInArrow(run, schema)
+    rows = files.select("part", "before", "doc_ids", "doc_tokens", "blocks").mapInArrow(tidy(run), schema)
     return rows.join(parts, "part").select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if whole else []))
