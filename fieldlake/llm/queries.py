@@ -13,18 +13,20 @@ Job = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_range_coded_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return coded_ids(table(spark, folder, "documents"))
+    from fieldlake.llm import range_coder
+
+    return coded_ids(table(spark, folder, "documents"), range_coder.LANES)
 
 
-def coded_ids(docs: DataFrame) -> DataFrame:
+def coded_ids(docs: DataFrame, together: int) -> DataFrame:
     """Write the ids of ``docs`` and give their digests as read back."""
     import public_tokenizers
 
     from fieldlake.llm import range_coder
 
     path = work_path(docs.sparkSession, "ids")
-    range_coder.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
-    return range_coder.digests(docs.sparkSession, path)
+    range_coder.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), together=together)
+    return range_coder.digests(docs.sparkSession, path, together)
 
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:

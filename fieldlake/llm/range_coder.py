@@ -49,13 +49,11 @@ class _Models:
         self.base = np.concatenate([[0], np.cumsum(sizes)])[:-1]  # of lists by id
         self.open = self.base + np.arange(n)  # of cumulative frequencies, one longer each
         self.sizes = sizes
-        self.lane_of = np.repeat(np.arange(n), sizes)
-        self.counts = np.ones(int(sizes.sum()), np.int64)
-        self.inner = np.arange(len(self.counts)) + self.lane_of  # where each id's lower bound lies
-        self.rank = np.arange(len(self.counts)) - self.base[self.lane_of]
+        self.lane_of = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        self.counts = np.ones(int(sizes.sum()), np.int32)
         self.cum = np.zeros(len(self.counts) + n, np.int64)
         self.key = np.zeros(len(self.cum), np.int32)
-        self.keys = np.repeat(np.arange(n), sizes + 1) << (FREQ_BITS + 1)  # below 2^31 for up to LANES lanes
+        self.keys = np.repeat(np.arange(n, dtype=np.int32), sizes + 1) << np.int32(FREQ_BITS + 1)  # below 2^31 for up to LANES lanes
         self.one = np.zeros(len(self.counts), np.int32)  # prediction * 4 + confidence
         self.two = np.zeros(n << HASH_BITS, np.int32)
         self.lane = np.arange(n)
@@ -65,14 +63,20 @@ class _Models:
 
     def refresh(self) -> None:
         """Cumulative frequencies from the counts: each id gets at least 1 of 2^FREQ_BITS."""
-        running = np.cumsum(self.counts)
-        ends = running[self.base + self.sizes - 1]
-        before = np.concatenate([[0], ends[:-1]])
-        total = ends - before
-        below = running - self.counts - before[self.lane_of]
-        self.cum[self.inner] = self.rank + below * ((1 << FREQ_BITS) - self.sizes)[self.lane_of] // total[self.lane_of]
+        for a in range(0, len(self.sizes), 128):  # some lanes at a time: the steps in between are large
+            base, sizes = self.base[a : a + 128], self.sizes[a : a + 128]
+            low, high = base[0], base[-1] + sizes[-1]
+            counts, lane = self.counts[low:high], self.lane_of[low:high] - a
+            running = np.cumsum(counts, dtype=np.int64)
+            ends = running[base - low + sizes - 1]
+            before = np.concatenate([[0], ends[:-1]])
+            total = ends - before
+            below = running - counts - before[lane]
+            rank = np.arange(high - low) - (base - low)[lane]
+            at = np.arange(low, high) + self.lane_of[low:high]  # where each id's lower bound lies
+            self.cum[at] = rank + below * ((1 << FREQ_BITS) - sizes)[lane] // total[lane]
         self.cum[self.open + self.sizes] = 1 << FREQ_BITS
-        self.key = (self.keys + self.cum).astype(np.int32)
+        np.add(self.keys, self.cum, out=self.key, casting="unsafe")
 
     def predict(self, n: int) -> None:
         """Predictions and weights for the first ``n`` lanes."""
@@ -148,7 +152,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     own: list[np.ndarray] = []
     lens = np.array([len(b) for b in blocks])
-    x = np.zeros((lens[0], len(blocks)), np.int32)
+    x = np.zeros((lens[0], len(blocks)), np.uint16)  # places are below 2^FREQ_BITS
     for k, b in enumerate(blocks):
         ids, places = np.unique(b, return_inverse=True)
         own.append(ids)
@@ -264,7 +268,7 @@ SPELLED_SPACED = SPELLED | {32: BYTE_CHARS[32]}
 class Encoder:
     """Ids of whole texts as the tokenizer gives them; a piece between spaces that occurs again is looked up."""
 
-    KEPT = 1_000_000
+    KEPT = 250_000
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
@@ -336,13 +340,15 @@ def encoder(path: str) -> Encoder:
 FILE = "part int, frame int, before long, n_tokens long, doc_ids array<{id}>, doc_tokens array<long>, blocks array<binary>"
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end: int = 2) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end: int = 2, together: int = LANES) -> None:
     """Write the ids of ``docs`` (doc_id, text) in ascending doc_id order below ``path``.
 
     A file holds one range of ids; its rows are frames of whole documents with their
     ids' blocks, in order. Null texts count as empty: the end id alone. Rows of one
     doc_id are kept each, ordered by a hash of their text; null ids come first. The
     files go through Spark's commit protocol, so a lost task is written again whole.
+    About ``together`` blocks are coded in step: fewer need less memory and more time,
+    and give the same files.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -385,7 +391,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 2) -> None:
                     if sum_ := _enough(held):
                         waiting.append((ids, held))
                         ids, held = [], []
-                        if sum(map(_blocks, waiting)) >= LANES:
+                        if sum(map(_blocks, waiting)) >= together:
                             yield out()
         if held:
             waiting.append((ids, held))
@@ -414,12 +420,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, True)
 
 
-def digests(spark: SparkSession, path: str) -> DataFrame:
-    """As ``read``, without the ids: they stay in the task that decodes them."""
-    return _read(spark, path, False)
+def digests(spark: SparkSession, path: str, together: int = LANES) -> DataFrame:
+    """As ``read``, without the ids: they stay in the task that decodes them. ``together`` as in ``write``."""
+    return _read(spark, path, False, together)
 
 
-def _read(spark: SparkSession, path: str, whole: bool) -> DataFrame:
+def _read(spark: SparkSession, path: str, whole: bool, together: int = LANES) -> DataFrame:
     files = spark.read.parquet(path)
     kind = files.schema["doc_ids"].dataType.elementType.simpleString()
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -431,7 +437,7 @@ def _read(spark: SparkSession, path: str, whole: bool) -> DataFrame:
             at = 0
             while at < len(batch):
                 size, lanes = 0, 0
-                while at + size < len(batch) and lanes < LANES:
+                while at + size < len(batch) and lanes < together:
                     lanes += len(batch.column("blocks")[at + size])
                     size += 1
                 some = batch.slice(at, size)
