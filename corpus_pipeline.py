@@ -54,7 +54,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token-id files of all documents, and their digests as read back."""
     _lean(spark, 16 << 20)  # blocks of a batch are decoded in step: smaller batches would leave lanes empty
-    return coded_ids(docs)
+    return coded_ids(docs, together=512)  # the JVM holds more after four stages than alone
 
 
 STAGES: list[tuple[str, Stage]] = [
