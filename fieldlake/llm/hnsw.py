@@ -2,7 +2,8 @@
 
 Distinct vectors are dealt to shards by hash. Each shard builds a hierarchical
 navigable small-world graph and stores it as flat arrays: vectors, row ids, and one
-neighbour array per layer. Queries visit every shard; the shards' best are merged.
+neighbour array per layer, and the search width at which it finds what it should,
+measured against all its vectors. Queries visit every shard; the shards' best are merged.
 
 Inside a shard vectors get one more component that makes all norms equal, so that
 the nearest direction is the largest inner product. Nodes are numbered by falling
@@ -23,13 +24,17 @@ from fieldlake.session import stored
 #: Links chosen for a new node; twice as many are kept in the lowest layer.
 LINKS = 14
 BUILD_WIDTH, SEARCH_WIDTH = 64, 96
+#: Share of the true nearest that a shard's search must find, on so many of its vectors (spread evenly over it).
+RECALL, TRIALS = 0.97, 128
+#: Most bytes of a shard's vectors: a shard is one row of the index.
+SHARD_BYTES = 128 << 20
 #: Nodes expanded at a time by one search.
 EXPAND = 4
 
 
-def shard_rows(n: int) -> int:
-    """Vectors per shard: a 64th of all, between 4,096 and 262,144 (what a task holds)."""
-    return int(min(262_144, max(4_096, n // 64)))
+def shard_rows(n: int, dims: int) -> int:
+    """Vectors per shard: a 64th of all, between 4,096 and 262,144, and no more than ``SHARD_BYTES`` hold."""
+    return int(max(1, min(262_144, max(4_096, n // 64), SHARD_BYTES // (8 * dims))))
 
 
 class Graph:
@@ -166,6 +171,29 @@ def layer_sizes(n: int) -> list[int]:
     return sizes
 
 
+def search_width(graph: Graph, k: int, recall: float = RECALL) -> int:
+    """The least width, doubled from ``SEARCH_WIDTH`` on, that finds ``recall`` of the ``k`` nearest of trial vectors.
+
+    Trials are measured against all nodes, in blocks. Of equally near nodes any counts.
+    """
+    n = len(graph.x)
+    k = min(k, n)
+    trial = graph.x[np.unique(np.linspace(0, n - 1, min(n, TRIALS)).astype(np.int64))].copy()
+    trial[:, -1] = 0  # as queries come, without the filling component
+    best = np.full((len(trial), k), -np.inf, np.float32)
+    for at in range(0, n, 65_536):
+        both = np.concatenate([best, trial @ graph.x[at : at + 65_536].T], 1)
+        best = -np.partition(-both, k - 1, axis=1)[:, :k]
+    least = best.min(axis=1) - 1e-5 * np.abs(best).max(axis=1)
+    width = max(SEARCH_WIDTH, 2 * k)
+    while width < n:
+        sims = graph.search(trial, width)[1]
+        if (sims >= least[:, None]).sum(axis=1).clip(max=k).mean() >= recall * k:
+            break
+        width *= 2
+    return min(width, max(n, SEARCH_WIDTH))
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of rows in double precision, added up from the first component on."""
     total = np.zeros(len(a))
@@ -181,7 +209,7 @@ def _usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0.0)).distinct()
 
 
-INDEX = "shard long, dims int, vectors binary, row_at binary, row_ids binary, layers binary, neighbours binary"
+INDEX = "shard long, dims int, width int, vectors binary, row_at binary, row_ids binary, layers binary, neighbours binary"
 
 
 def build(base: DataFrame, shards: int, keep: int) -> DataFrame:
@@ -202,13 +230,13 @@ def build(base: DataFrame, shards: int, keep: int) -> DataFrame:
         sizes = layer_sizes(len(x))
         g = Graph.build(wide, sizes)
         return {
-            "shard": shard, "dims": x.shape[1], "vectors": x.tobytes(), "row_at": np.cumsum([0] + [len(i) for i in ids]).astype(np.int64).tobytes(),
+            "shard": shard, "dims": x.shape[1], "width": search_width(g, keep), "vectors": x.tobytes(), "row_at": np.cumsum([0] + [len(i) for i in ids]).astype(np.int64).tobytes(),
             "row_ids": np.concatenate([np.array(i, np.int64) for i in ids]).tobytes(), "layers": np.array(sizes, np.int64).tobytes(),
             "neighbours": b"".join(layer.tobytes() for layer in g.layers)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in INDEX.split(", ")]
-        types = [pa.int64(), pa.int32()] + [pa.binary()] * 5
+        types = [pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 5
 
         def out(one: dict) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([one[n]], t) for n, t in zip(names, types, strict=True)], names)
@@ -230,8 +258,8 @@ def build(base: DataFrame, shards: int, keep: int) -> DataFrame:
     return sorted_.select("shard", "v", "ids").mapInArrow(run, INDEX)
 
 
-def open_index(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
-    """Graph, original vectors, and the ids of each node of a stored index row."""
+def open_index(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Graph, original vectors, the ids of each node, and the search width of a stored index row."""
     x = np.frombuffer(row["vectors"]).reshape(-1, row["dims"])
     square = np.einsum("ij,ij->i", x, x)
     wide = np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], 1).astype(np.float32)
@@ -240,20 +268,20 @@ def open_index(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
         room = LINKS * (2 if k == 0 else 1)
         layers.append(flat[at : at + n * room].reshape(n, room))
         at += n * room
-    return Graph(wide, layers), x, np.frombuffer(row["row_at"], np.int64), np.frombuffer(row["row_ids"], np.int64)
+    return Graph(wide, layers), x, np.frombuffer(row["row_at"], np.int64), np.frombuffer(row["row_ids"], np.int64), row["width"]
 
 
-def _visit(index: DataFrame, queries: DataFrame, k: int, width: int) -> DataFrame:
+def _visit(index: DataFrame, queries: DataFrame, k: int, width: int | None) -> DataFrame:
     """The best ``k`` of every shard for every query (shard, query, v)."""
     empty = [F.lit(None).cast(t).alias(n) for n, t in (f.split() for f in INDEX.split(", ")[1:])]
     both = index.select("*", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("query"), F.lit(None).cast("array<double>").alias("v")).unionByName(
         queries.select("shard", *empty, F.lit(1).alias("kind"), "query", "v"))
 
     def answer(opened: tuple, queries: list[int], vs: list[np.ndarray]) -> pa.RecordBatch:
-        graph, x, at, ids = opened
+        graph, x, at, ids, own_width = opened
         q = np.stack(vs)
         wide = np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32)
-        nodes, _ = graph.search(wide, max(width, 2 * k))
+        nodes, _ = graph.search(wide, max(width or own_width, 2 * k))
         r, c = np.nonzero(nodes >= 0)
         node = nodes[r, c]
         count = at[node + 1] - at[node]
@@ -276,7 +304,7 @@ def _visit(index: DataFrame, queries: DataFrame, k: int, width: int) -> DataFram
                     if asked:
                         yield answer(opened, [names[j] for j in asked], [flat[at[j] : at[j + 1]] for j in asked])
                         asked = []
-                    shard, opened = s, open_index({n: batch.column(n)[i].as_py() for n in ("dims", "vectors", "row_at", "row_ids", "layers", "neighbours")})
+                    shard, opened = s, open_index({n: batch.column(n)[i].as_py() for n in ("dims", "width", "vectors", "row_at", "row_ids", "layers", "neighbours")})
                 elif s == shard:
                     asked.append(i)
                 elif asked:  # a shard without vectors: its queries have no answer here
@@ -289,7 +317,7 @@ def _visit(index: DataFrame, queries: DataFrame, k: int, width: int) -> DataFram
     return sorted_.mapInArrow(run, "query long, vec_id long, score double")
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, width: int = SEARCH_WIDTH, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, width: int | None = None, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` nearest rows found for each query.
 
     Queries are the rows whose id is divisible by ``every``; every other row is a
@@ -298,12 +326,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, width: int = SEARC
     null, empty, zero or hold null or non-finite components take no part; vectors of
     different lengths never meet. Rows repeated in full count once. Every row is
     indexed: copies of a vector beyond the ``k + 1`` smallest ids share its node and
-    can't be among anyone's nearest. The result of the graph search is approximate.
+    can't be among anyone's nearest. The result of the graph search is approximate; each
+    shard has measured its search width (``search_width``) unless ``width`` is given.
     """
     base = stored(_usable(vectors, vec_id, embedding), "hnsw-base")
     dims = [(r.d, r.n) for r in base.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]
-    largest = max((n for _, n in dims), default=0)
-    shards = max(1, -(-largest // shard_rows(largest)))
+    shards = max((-(-n // shard_rows(n, d)) for d, n in dims), default=1)
     index = stored(build(base, shards, k + 1), "hnsw-index")
     asking = base.filter(F.pmod("vec_id", F.lit(every)) == 0)
     names = stored(asking.groupBy("v").agg(F.min("vec_id").alias("query")), "hnsw-queries")

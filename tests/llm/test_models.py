@@ -47,6 +47,30 @@ def test_recall_and_layers():
     assert len(graph.layers) == 4 or len(graph.layers) == 3
 
 
+def test_shards_widen_their_search_until_it_finds_enough():
+    """Vectors without clusters: the fixed width misses one in six, the measured one does not."""
+    rng = np.random.default_rng(3)
+    base, asked = rng.normal(size=(4096, 64)), rng.normal(size=(100, 64))
+    square = np.einsum("ij,ij->i", base, base)
+    wide = np.concatenate([base, np.sqrt(square.max() - square)[:, None]], 1).astype(np.float32)
+    graph = hnsw.Graph.build(wide, hnsw.layer_sizes(len(wide)))
+    width = hnsw.search_width(graph, 21)
+    true = np.argsort(-(asked @ base.T), axis=1)[:, :21]
+    found, _ = graph.search(np.concatenate([asked, np.zeros((100, 1))], 1).astype(np.float32), width)
+    assert width > hnsw.SEARCH_WIDTH and np.mean([len(set(a) & set(b)) for a, b in zip(true, found)]) > 0.95 * 21
+    assert hnsw.search_width(graph, 21, recall=0.0) == hnsw.SEARCH_WIDTH
+    few = hnsw.Graph.build(wide[:3], hnsw.layer_sizes(3))
+    same = hnsw.Graph.build(np.repeat(wide[:1], 500, 0), hnsw.layer_sizes(500))
+    assert hnsw.search_width(few, 21) == hnsw.search_width(same, 21) == hnsw.SEARCH_WIDTH
+
+
+def test_shards_are_bounded_by_rows_and_bytes():
+    for n in (1, 5000, 10**6, 10**9):
+        for dims in (1, 64, 1024, 10**6):
+            assert 1 <= hnsw.shard_rows(n, dims) <= 262_144 and hnsw.shard_rows(n, dims) * dims * 8 <= hnsw.SHARD_BYTES
+    assert hnsw.shard_rows(10**5, 64) == 4096
+
+
 def test_search_query_recall(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding, 0) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
