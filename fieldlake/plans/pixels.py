@@ -4,14 +4,10 @@ from pyspark.sql import functions as F
 
 from fieldlake.operators import dataset as DS, images as IM
 from fieldlake.plans.registry import query
-from fieldlake.plans.views import _CHANNELS, _mean_sql, _std_sql, uniform_sql, with_views
+from fieldlake.plans.views import _CHANNELS, _mean_sql, _std_sql, hex_sql, resized_sql, rotated_sql, uniform_sql, with_views
 from fieldlake.sources import domain as V
 
 
-def _hex_sql(pixels: str) -> str:
-    return f"list_aggregate([printf('%02X', v) for v in {pixels}], 'string_agg', '')"
-
-
 STATS_SQL = f"""SELECT image_id, {_mean_sql()} AS pixel_mean, {_std_sql()} AS pixel_std,
     min(v) AS pixel_min, max(v) AS pixel_max FROM gray_pixels GROUP BY image_id"""
 
@@ -38,7 +34,7 @@ def normalise_pixels(spark, sf):
         "image_id", F.posexplode("tensor").alias("i", "value")).withColumn("value", F.col("value").cast("double"))
 
 
-@query("denormalise_pixels", with_views("gray", f"SELECT image_id, {_hex_sql('px')} AS pixels FROM gray"))
+@query("denormalise_pixels", with_views("gray", f"SELECT image_id, {hex_sql('px')} AS pixels FROM gray"))
 def denormalise_pixels(spark, sf):
     return IM.denormalised(IM.normalised(V.pixel_images(spark, sf))).select("image_id", F.hex("data").alias("pixels"))
 
@@ -53,26 +49,27 @@ def to_rgb(spark, sf):
     return IM.to_rgb(both).select("image_id", "kind", F.hex("rgb").alias("pixels"))
 
 
-@query("resize_pixels")
+@query("resize_pixels", with_views("colour", f"""
+    SELECT image_id, 16 AS height, 16 AS width, {hex_sql('px')} AS pixels FROM ({resized_sql("colour", 4, 6, 16, 16)})"""))
 def resize_pixels(spark, sf):
     return IM.resize(V.pixel_images(spark, sf, "colour"), 16, 16).select(
         "image_id", "image.height", "image.width", F.hex("image.data").alias("pixels"))
 
 
 @query("flip_horizontal", with_views("gray", f"""
-    SELECT image_id, {_hex_sql('[px[8 * (k // 8) + 8 - k % 8] for k in range(64)]')} AS pixels FROM gray"""))
+    SELECT image_id, {hex_sql('[px[8 * (k // 8) + 8 - k % 8] for k in range(64)]')} AS pixels FROM gray"""))
 def flip_horizontal(spark, sf):
     return IM.flip_horizontal(V.pixel_images(spark, sf)).select("image_id", F.hex("image.data").alias("pixels"))
 
 
 @query("flip_vertical", with_views("colour", f"""
-    SELECT image_id, {_hex_sql('[px[18 * (3 - k // 18) + k % 18 + 1] for k in range(72)]')} AS pixels FROM colour"""))
+    SELECT image_id, {hex_sql('[px[18 * (3 - k // 18) + k % 18 + 1] for k in range(72)]')} AS pixels FROM colour"""))
 def flip_vertical(spark, sf):
     return IM.flip_vertical(V.pixel_images(spark, sf, "colour")).select("image_id", F.hex("image.data").alias("pixels"))
 
 
 @query("brightness", with_views("gray", f"""
-    SELECT image_id, {_hex_sql('''[CAST(floor(least(255, CAST(p AS FLOAT)
+    SELECT image_id, {hex_sql('''[CAST(floor(least(255, CAST(p AS FLOAT)
       * CAST(CAST(0.8 AS DOUBLE) + image_id % 5 / CAST(10 AS DOUBLE) AS FLOAT))) AS INTEGER) for p in px]''')} AS pixels
     FROM gray"""))
 def brightness(spark, sf):
@@ -80,7 +77,9 @@ def brightness(spark, sf):
     return IM.brightness(V.pixel_images(spark, sf), factor).select("image_id", F.hex("image.data").alias("pixels"))
 
 
-@query("rotate")
+@query("rotate", with_views("colour", f"""
+    SELECT image_id, {hex_sql('px')} AS pixels
+    FROM ({rotated_sql("(SELECT *, CAST(image_id % 31 - 15 AS DOUBLE) AS angle FROM colour)", 4, 6)})"""))
 def rotate(spark, sf):
     angle = (F.col("image_id") % 31 - 15).cast("double")
     return IM.rotate(V.pixel_images(spark, sf, "colour"), angle).select(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 from fieldlake.operators import dataset as DS, disease as D, images as IM
 from fieldlake.plans.registry import query
 from fieldlake.plans.scans import METADATA, image_metadata, processed_metadata
-from fieldlake.plans.views import uniform_sql, with_views
+from fieldlake.plans.views import hex_sql, resized_sql, rotated_sql, uniform_sql, with_views
 from fieldlake.schemas import IMAGE_METADATA, REGISTERED_FIELDS, REGISTERED_SENSORS, USERS
 from fieldlake.session import work_path
 from fieldlake.sinks import dataset as SD, stores as ST, tables as TS
@@ -251,7 +251,19 @@ def prepared_images(spark, sf, size: int = 16):
     return IM.apply_augmentation(drawn).withColumn("name", name)
 
 
-@query("sink_processed_images")
+PREPARED = f"""SELECT image_id, split, class_label, copy, suffix, factor, angle,
+    CASE WHEN mirror THEN [px[48 * (k // 48) + 45 - k % 48 // 3 * 3 + k % 3 + 1] for k in range(768)] ELSE px END AS px
+    FROM (SELECT * EXCLUDE (px), CASE WHEN copy > 0 THEN px ELSE original END AS px FROM (
+      {rotated_sql(f"""(SELECT *, px AS original, (draw_angle * 2 - 1) * 15 AS angle, copy > 0 AND draw_mirror > 5e-1 AS mirror,
+        8e-1 + draw_factor * CAST({1.2 - 0.8!r} AS DOUBLE) AS factor
+        FROM (SELECT *, {', '.join(f'{uniform_sql("image_id", "copy", "42", f"{chr(39)}{d}{chr(39)}")} AS draw_{d}' for d in ("angle", "mirror", "factor"))}
+        FROM ({resized_sql("px_fanned", 4, 6, 16, 16)})))""", 16, 16)}))"""
+BRIGHT = "[CASE WHEN copy = 0 THEN p ELSE CAST(floor(least(255, CAST(p AS FLOAT) * CAST(factor AS FLOAT))) AS INTEGER) END for p in px]"
+
+
+@query("sink_processed_images", with_views("px_fanned", f"""
+    SELECT split, class_label, 'image-' || image_id || suffix || '.jpg' AS name, 16 AS height, 16 AS width,
+    md5(unhex({hex_sql(BRIGHT)})) AS pixels FROM ({PREPARED})"""))
 def sink_processed_images(spark, sf):
     path = work_path(spark, "processed")
     SD.write_processed_images(prepared_images(spark, sf), path)

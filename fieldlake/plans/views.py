@@ -193,6 +193,55 @@ DEPENDS = {
 }
 
 
+def hex_sql(pixels: str) -> str:
+    return f"list_aggregate([printf('%02X', v) for v in {pixels}], 'string_agg', '')"
+
+
+def _lanczos_sql(source: int, target: int) -> str:
+    """Normalised weights [target][source] of the three-lobed window; it widens when shrinking."""
+    scale = source / target
+    stretch = max(scale, 1.0)
+    distance = f"(s + 5e-1 - (t + 5e-1) * CAST({scale!r} AS DOUBLE)) / CAST({stretch!r} AS DOUBLE)"
+    sinc = lambda x: f"sin(pi() * {x}) / (pi() * {x})"
+    weight = f"CASE WHEN abs(d) >= 3 THEN 0e0 WHEN d = 0 THEN 1e0 ELSE {sinc('d')} * {sinc('(d / 3e0)')} END"
+    raw = f"[[{weight} for d in [{distance} for s in range({source})]] for t in range({target})]"
+    return f"[[w / list_sum(ws) for w in ws] for ws in {raw}]"
+
+
+def resized_sql(rows: str, height: int, width: int, to_height: int, to_width: int) -> str:
+    """``rows`` with the three-channel pixels ``px`` in another size: columns first, then rows, each rounded."""
+    level = lambda total: f"CAST(least(255, greatest(0, floor({total} + 5e-1))) AS INTEGER)"
+    wide = " + ".join(f"wx[k // 3 % {to_width} + 1][{s + 1}] * px[k // {3 * to_width} * {3 * width} + {3 * s} + k % 3 + 1]" for s in range(width))
+    tall = " + ".join(f"wy[k // {3 * to_width} + 1][{s + 1}] * mid[{3 * to_width * s} + k % {3 * to_width} + 1]" for s in range(height))
+    return f"""SELECT * EXCLUDE (px, mid, wx, wy), [{level(tall)} for k in range({3 * to_height * to_width})] AS px FROM (
+        SELECT *, [{level(wide)} for k in range({3 * height * to_width})] AS mid FROM {rows},
+        (SELECT {_lanczos_sql(width, to_width)} AS wx, {_lanczos_sql(height, to_height)} AS wy))"""
+
+
+def rotated_sql(rows: str, height: int, width: int) -> str:
+    """``rows`` with the three-channel pixels ``px`` turned by ``angle`` degrees about the centre, bilinear, black outside."""
+    dx, dy = f"(k % {width} + 5e-1 - {width / 2}e0)", f"(k // {width} + 5e-1 - {height / 2}e0)"
+    at = "spot[k // 3 + 1]"
+    row, col = (lambda plus, axis=axis, most=most: f"CAST(least({most - 1}, greatest(0, floor({at}.{axis} - 5e-1) + {plus})) AS INTEGER)"
+                for axis, most in (("y", height), ("x", width)))
+    part = lambda axis: f"({at}.{axis} - 5e-1 - floor({at}.{axis} - 5e-1))"
+    pick = lambda r, c: f"px[({row(r)} * {width} + {col(c)}) * 3 + k % 3 + 1]"
+    line = lambda r: f"({pick(r, 0)} * (1e0 - {part('x')}) + {pick(r, 1)} * {part('x')})"
+    mixed = f"floor({line(0)} * (1e0 - {part('y')}) + {line(1)} * {part('y')} + 5e-1)"
+    inside = f"{at}.x >= 0 AND {at}.x < {width} AND {at}.y >= 0 AND {at}.y < {height}"
+    return f"""SELECT * EXCLUDE (px, spot, turn_cos, turn_sin),
+        [CASE WHEN {inside} THEN CAST(least(255, greatest(0, {mixed})) AS INTEGER) ELSE 0 END for k in range({3 * height * width})] AS px
+        FROM (SELECT *, [{{'x': turn_cos * {dx} - turn_sin * {dy} + {width / 2}e0, 'y': turn_sin * {dx} + turn_cos * {dy} + {height / 2}e0}}
+          for k in range({height * width})] AS spot
+        FROM (SELECT *, cos(radians(angle)) AS turn_cos, sin(radians(angle)) AS turn_sin FROM {rows}))"""
+
+
+# the image split and its copies over the pixel images
+VIEWS |= {f"px_{n}": VIEWS[n].replace("FROM images", "FROM colour").replace("FROM ranked", "FROM px_ranked").replace("FROM split", "FROM px_split").replace("split.split", "px_split.split")
+          for n in ("ranked", "split", "fanned")}
+DEPENDS |= {"px_ranked": ["colour"], "px_split": ["px_ranked"], "px_fanned": ["px_split"]}
+
+
 def with_views(names: str, body: str) -> str:
     """``body`` preceded by the named views and whatever they build on."""
     ordered: list[str] = []
