@@ -1,9 +1,11 @@
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from fieldlake.llm import queries, sharding, url_filter, warc
@@ -130,3 +132,40 @@ def test_moves_stay_inside_changed_subtrees(spark):
     sizes = Counter(r.a for r in rows)
     assert len(sizes) == 40 and max(sizes.values()) < 1.3 * 500 and min(sizes.values()) > 0.7 * 500
     assert 0.8 < Counter(r.h for r in rows)[7] / (20_000 * 3 / 42) < 1.2
+
+
+def plain_shard(doc_id, leaves):
+    """The three draws of a row, spelled out: per child the first eight bytes' hash of (key, level, child) as an arrival."""
+    def hashed(*parts):
+        seed = 42
+        for value, size in parts:
+            seed = xxhash.xxh64_intdigest(value.to_bytes(size, "little", signed=True), seed=seed)
+        return seed
+
+    key = hashed((doc_id, 8))
+    key -= (key >> 63) << 64
+    for level, name in enumerate(("region", "rack", "shard")):
+        draws = []
+        for node in {getattr(leaf, name) for leaf in leaves}:
+            below = [leaf for leaf in leaves if getattr(leaf, name) == node]
+            share = ((hashed((key, 8), (level, 4), (node, 4)) >> 11) + 0.5) / 2**53
+            draws.append((-math.log(share) / sum(leaf.weight for leaf in below), node, below))
+        leaves = min(draws, key=lambda d: d[:2])[2]
+    return leaves[0].shard
+
+
+def test_shards_equal_plain_draws(spark):
+    leaves = sharding.tree(43, {3: 4.0, 17: 0.0, 20: 0.5, 41: 2.0})
+    ids = [*range(-500, 2500), 2**62, -(2**63)]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", sharding.shard_of(F.xxhash64("doc_id"), leaves).alias("shard")).collect()
+    assert {r.doc_id: r.shard for r in rows} == {i: plain_shard(i, leaves) for i in ids}
+
+
+def test_shard_shares_follow_weights(spark):
+    leaves = sharding.tree(42, {0: 5.0, 40: 3.0, 12: 0.0})
+    n, total = 60_000, sum(leaf.weight for leaf in leaves)
+    counted = dict(spark.range(n).select(sharding.shard_of(F.xxhash64("id"), leaves).alias("s")).groupBy("s").count().collect())
+    for leaf in leaves:
+        share = leaf.weight / total
+        assert abs(counted[leaf.shard] - n * share) < 5 * math.sqrt(n * share)
+    assert 12 not in counted and sum(counted.values()) == n

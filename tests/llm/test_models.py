@@ -201,3 +201,28 @@ def test_domains_on_held_out_labels(spark):
     held = mixing.rates(docs, model, queries.SHARES).join(labels.filter("doc_id % 3 = 0"), "doc_id").collect()
     assert np.mean([(r.p_high >= 0.5) == (r.domain == "high") for r in held]) >= 0.85  # the labels are noisy
     assert queries.op6_soft_mixing(spark, folder).count() == 1000
+
+
+def test_ordinal_solver_equals_plain_descent():
+    """Weights, cuts and penalised loss against plain gradient descent with numeric gradients."""
+    rng = np.random.default_rng(12)
+    rows, truth = [], np.array([2.5, 1.5, -1.0, 0.0])
+    for _ in range(400):
+        words = np.flatnonzero(rng.random(4) < 0.4).tolist()
+        latent = truth[words].sum() + rng.logistic()
+        rows.append((words, int(latent > 1.0) + int(latent > 2.5)))
+    x = np.array([[w in words for w in range(4)] for words, _ in rows], float)
+    y = np.array([g for _, g in rows])
+
+    def loss(p):
+        cuts = np.array([p[4], p[4] + np.exp(p[5])])
+        above = 1 / (1 + np.exp(cuts[None, :] - (x @ p[:4])[:, None]))
+        chance = np.stack([1 - above[:, 0], above[:, 0] - above[:, 1], above[:, 1]], 1)[np.arange(len(y)), y]
+        return (-np.log(chance).sum() + 0.05 / 2 * (p[:4] ** 2).sum()) / len(y)
+
+    p = np.zeros(6)
+    for _ in range(1500):
+        p -= np.array([(loss(p + e) - loss(p - e)) / 2e-5 for e in np.eye(6) * 1e-5])
+    w, cuts = toxicity.solve(rows, 4, 3)
+    got = np.concatenate([w, cuts[:1], [np.log(cuts[1] - cuts[0])]])
+    assert abs(loss(got) - loss(p)) < 1e-4 and np.allclose(got, p, atol=0.05)
