@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -169,3 +170,32 @@ def test_shard_shares_follow_weights(spark):
         share = leaf.weight / total
         assert abs(counted[leaf.shard] - n * share) < 5 * math.sqrt(n * share)
     assert 12 not in counted and sum(counted.values()) == n
+
+
+def plain_grams(host, path, buckets):
+    out = set()
+    for kind, value in ((b"h", host), (b"p", path)):
+        marked = "\x02" + value + "\x03"
+        for n in (3, 4):
+            for i in range(len(marked) - n + 1):
+                h = xxhash.xxh64_intdigest(marked[i : i + n].encode(), seed=xxhash.xxh64_intdigest(kind, seed=42))
+                out.add((h - ((h >> 63) << 64)) % buckets)
+    return sorted(out)
+
+
+def test_url_weights_equal_plain_gradient_descent(spark):
+    buckets, steps, rate, ridge = 97, 8, 4.0, 1e-3
+    rows = [(f"http://{'ads' if i % 3 else 'news'}{i % 7}.example/{'pop' if i % 5 else 'article'}/é{i}", int(i % 3 > 0)) for i in range(60)]
+    rows += [("http://a", 1), ("no mark", 0), ("http://b/?q=1", 0), (rows[0][0], rows[0][1])]
+    got, got_bias = url_filter.train(spark.createDataFrame(rows + [(None, 1), ("http://x", None)], "url string, label int"), buckets=buckets, steps=steps, rate=rate, ridge=ridge)
+    x, y = np.zeros((len(rows), buckets)), np.array([label for _, label in rows], float)
+    for r, (url, _) in enumerate(rows):
+        rest = url.partition("://")[2]
+        host = re.split("[/?#]", rest)[0]
+        own = plain_grams(host.lower(), re.split("[?#]", rest[len(host) :])[0], buckets)
+        x[r, own] = 1 / math.sqrt(max(len(own), 1))
+    w, bias = np.zeros(buckets), math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    for _ in range(steps):
+        error = 1 / (1 + np.exp(-(bias + x @ w))) - y
+        w, bias = w * (1 - rate * ridge) - rate * (x.T @ error) / len(y), bias - rate * error.sum() / len(y)
+    assert np.abs(w).max() > 0.5 and np.allclose(got, w, atol=1e-9) and abs(got_bias - bias) < 1e-9
