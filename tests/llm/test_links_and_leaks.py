@@ -298,3 +298,22 @@ def test_pipeline(spark, small):
     for r in sorted(out, key=lambda r: r.start):
         assert r.start == at
         at += r.n_tokens
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null, repeated and missing ids, texts without words, no labels, extra columns, then no documents at all."""
+    item, a, b = prose(90, 40), prose(91, 60), prose(92, 60)
+    rows = [(1, a), (2, a + " more"), (None, b), (None, item + " tail"), (3, prose(93, 30)), (3, prose(94, 30)), (4, None), (5, ""), (6, "short"), (7, item[: 9 * len(item) // 10])]
+    docs = spark.createDataFrame([(*r, "web", i) for i, r in enumerate(rows)], "doc_id long, text string, source string, node int")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", spark.createDataFrame([(1, item)], "item_id long, text string"))):
+        df.write.parquet(f"{tmp_path}/some/{name}.parquet")
+        (df.limit(0) if name == "documents" else df).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert Counter(r.doc_id for r in out) == Counter([1, None, 3, 3, 4, 5, 6])
+    at = 0
+    for r in sorted(out, key=lambda r: (r.start, r.n_tokens)):
+        assert r.start == at
+        at += r.n_tokens
+    assert sum(r.n_tokens == 1 for r in out) == 2  # without text: the end id alone
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
