@@ -98,8 +98,28 @@ def freshness(ts: Column, reference: Column, seconds: int = K.FRESH_SECONDS) ->
     return gap < seconds * 1_000_000
 
 
+def two_places(x: Column) -> Column:
+    """A double with two decimals as C and Python print it; ``format_string`` rounds its shortest decimal form half up.
+
+    The binary value itself is rounded, a true half to the even digit. The fraction is cut in two so that
+    every product is exact; only the last sum is not, and its sign is right. From 2^52 on there is no
+    fraction, and the digits are Java's.
+    """
+    size = F.abs(x)
+    fraction = size - F.floor(size)
+    high = F.floor(fraction * (1 << 26)) / (1 << 26)
+    cents = F.floor(high * 100)
+    rest = (high * 100 - cents - 0.5) + (fraction - high) * 100
+    total = F.floor(size) * 100 + cents + ((rest > 0) | ((rest == 0) & (cents % 2 == 1))).cast("long")
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+    digits = F.format_string("%d.%02d", F.call_function("div", total, F.lit(100)), total % 100)
+    return (F.when(F.isnan(x), "nan").when(size == float("inf"), F.concat(sign, F.lit("inf")))
+            .when(size < 1 << 52, F.concat(sign, digits)).when(x.isNotNull(), F.format_string("%.2f", x)))
+
+
 def grid_key(lat: Column, lon: Column) -> Column:
-    return F.format_string("%.2f,%.2f", lat.cast("double"), lon.cast("double"))
+    """Both degrees with two decimals; none without both."""
+    return F.concat(two_places(lat.cast("double")), F.lit(","), two_places(lon.cast("double")))
 
 
 def is_weather(payload: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -142,3 +143,29 @@ def test_hash_draws_repeat_and_spread(spark):
     first, again = column(df, "u"), column(df.repartition(7).orderBy("u"), "u")
     assert sorted(first) == again
     assert 0 <= min(first) and max(first) < 1 and abs(sum(first) / 2000 - 0.5) < 0.03
+
+
+def test_grid_key_rounds_the_binary_value(spark):
+    """As Python and C print two decimals: true halves go to even, 1.005 lies below its half."""
+    rng = random.Random(1)
+    values = [n + f for n in (0, 1, 2, 44, 89, 179) for f in (0.125, 0.375, 0.625, 0.875, 0.005, 0.015, 0.995, 0.9999, 0.285, 0.5)]
+    values += [math.nextafter(v, t) for v in values for t in (-1000.0, 1000.0)] + [rng.uniform(0, 180) for _ in range(2000)]
+    values += [rng.randrange(10**6) / 1000 for _ in range(2000)] + [1e-300, 0.0049, 2.0**51 + 0.5, 2.0**45 + 0.125, 2.0**52 - 0.5, 1e15]
+    values += [-v for v in values] + [0.0, -0.0, math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(v, -v) for v in values], "lat double, lon double").coalesce(1)
+    assert column(df, W.grid_key(F.col("lat"), F.col("lon"))) == [f"{v:.2f},{-v:.2f}" for v in values]
+    large = spark.createDataFrame([(1e300, None), (None, 1.0), (1e300, 2.0**60)], "lat double, lon double")
+    assert column(large, W.grid_key(F.col("lat"), F.col("lon")))[:2] == [None, None]
+
+
+def test_geo_grid_key_equals_its_sql_on_halves(spark, tmp_path):
+    """An area of 8,192 is an eighth of a degree."""
+    import duckdb
+    from fieldlake.plans import registry
+
+    jobs, checks = registry.load()
+    rows = [(i, f"c{i}", 1, 8192.0 * (i % 9 - 4) if i else None, "M") for i in range(400)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    assert sorted(map(tuple, jobs["geo_grid_key"](spark, str(tmp_path)).collect())) == sorted(con.execute(checks["geo_grid_key"]).fetchall())
