@@ -2,8 +2,9 @@
 
 All rules of a row become one array of violations, so a table is scanned once however
 many rules it has. The primary key takes part as one more entry per row: after the
-aggregation by key and rule, which combines on the map side, keys met more than once
-are its violations.
+aggregation by key and rule, keys met more than once are its violations. Nearly every
+key is met once, so combining on the map side would only hold all of them: entries are
+dealt by key over as many tasks as the table needs, and counted there.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldlake import constants as K, schemas
+from fieldlake.session import tasks_for
 
 KEY_RULE = "primary_key"
 
@@ -53,10 +55,11 @@ def row_violations(rules: Constraints) -> Column:
     return F.array_compact(F.array(*found))
 
 
-def violations(rows: DataFrame, rules: Constraints) -> DataFrame:
+def violations(rows: DataFrame, rules: Constraints, size: int | None = None) -> DataFrame:
     """row_key, column_name, rule and n_rows: what breaks the rules, per key value.
 
-    A rule for a column that the table does not have is an error: it would pass unseen.
+    ``size`` is about how many rows there are; without it they are counted. A rule for a
+    column that the table does not have is an error: it would pass unseen.
     """
     missing = rules.columns() - set(rows.columns)
     if missing:
@@ -67,14 +70,15 @@ def violations(rows: DataFrame, rules: Constraints) -> DataFrame:
         whole = whole & F.col(c).isNotNull()
     mark = F.array_compact(F.array(F.when(whole, F.struct(F.lit(",".join(rules.key)).alias("column_name"), F.lit(KEY_RULE).alias("rule")))))
     entries = rows.select(key.alias("row_key"), F.inline(F.concat(mark, row_violations(rules))))
-    counted = entries.groupBy("row_key", "column_name", "rule").agg(F.count(F.lit(1)).alias("n_rows"))
+    dealt = entries.repartition(tasks_for(rows.count() if size is None else size), "row_key")
+    counted = dealt.groupBy("row_key", "column_name", "rule").agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.filter((F.col("rule") != KEY_RULE) | (F.col("n_rows") > 1))
 
 
-def declared_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """The violations of several declared tables, with the table's name; one scan each."""
+def declared_violations(tables: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
+    """The violations of several declared tables, with the table's name; one scan each. ``sizes`` as in ``violations``."""
     out = None
     for name, rows in tables.items():
-        own = violations(rows, declared(name)).select(F.lit(name).alias("table_name"), "*")
+        own = violations(rows, declared(name), (sizes or {}).get(name)).select(F.lit(name).alias("table_name"), "*")
         out = own if out is None else out.unionByName(own)
     return out

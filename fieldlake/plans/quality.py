@@ -125,13 +125,13 @@ RULES_SQL = " UNION ALL ".join([
 @query("dq_declared", with_views("r_fields r_sensors r_batch_jobs r_analytics_summary", FLAWED + RULES_SQL))
 def dq_declared(spark, sf):
     """Every declared rule of the four relational tables, one scan of each."""
-    return C.declared_violations(flawed_tables(spark, sf))
+    return C.declared_violations(flawed_tables(spark, sf), V.relational_sizes(spark, sf))
 
 
 @query("dq_length", with_views("r_fields r_sensors r_batch_jobs r_analytics_summary", FLAWED + f"SELECT * FROM ({RULES_SQL}) WHERE rule = 'length'"))
 def dq_length(spark, sf):
     """Texts longer than their declared column."""
-    return C.declared_violations(flawed_tables(spark, sf)).filter("rule = 'length'")
+    return C.declared_violations(flawed_tables(spark, sf), V.relational_sizes(spark, sf)).filter("rule = 'length'")
 
 
 @query("dq_expected_classes", with_views("images", f"""

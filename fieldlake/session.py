@@ -78,6 +78,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(rows: int, each: int = 250_000) -> int:
+    """Partitions of at most about ``each`` rows, so that a task's hash table does not grow with the table."""
+    return max(2, -(-rows // each))
+
+
 def file_system(spark: SparkSession, path: str):
     """The file system of a path, and the maker of its paths."""
     to_path = spark._jvm.org.apache.hadoop.fs.Path

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldlake import constants as K
+from fieldlake.session import tasks_for
 from fieldlake.sources.tables import table
 
 
@@ -170,11 +171,23 @@ def weather_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return readings(spark, folder).select("event_id", "field_id", "timestamp", payload.alias("payload"))
 
 
+def relational_sizes(spark: SparkSession, folder: str) -> dict[str, int]:
+    """At most how many rows the relational tables have, from the footers of the files behind them."""
+    behind = {"fields": "customer", "sensors": "events", "batch_jobs": "orders", "analytics_summary": "lineitem"}
+    return {name: table(spark, folder, source).count() for name, source in behind.items()}
+
+
 def relational_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The four relational tables, from customers, events, orders and line items."""
+    """The four relational tables, from customers, events, orders and line items.
+
+    Few line items share a day and a supplier: they are dealt to tasks before they are
+    summed up, so that no scanning task holds a group for nearly each of its rows.
+    """
     own, seen = fields(spark, folder), sensors(spark, folder)
     orders = table(spark, folder, "orders").withColumn("start_time", F.col("o_orderdate").cast("timestamp"))
-    lines = table(spark, folder, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("analysis_date"), F.col("l_suppkey").cast("string").alias("field_id"))
+    items = table(spark, folder, "lineitem")
+    daily = items.withColumns({"analysis_date": F.col("l_shipdate").cast("date"), "field_id": F.col("l_suppkey").cast("string")})
+    lines = daily.repartition(tasks_for(items.count()), "analysis_date", "field_id").groupBy("analysis_date", "field_id")
     whole = lambda total: F.floor(F.sum(total) / F.count(F.lit(1))).cast("decimal(5,2)")
     return {
         "fields": own.select(

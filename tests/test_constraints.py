@@ -61,3 +61,14 @@ def test_an_answer_is_parsed_once(spark, small):
     assert plan.count("from_json") == 1
     rows = spark.createDataFrame([("{}",), (None,), ('{"main": {"temp": 1}, "wind": {}, "clouds": {}}',)], "t string")
     assert W.normalised_payloads(rows, "t", schemas.WEATHER_PAYLOAD).select(F.col("p.main.temp")).collect() == [(1.0,)]
+
+
+def test_a_task_holds_a_bounded_number_of_keys(spark, small):
+    """More rows are more tasks, whatever the width of the shuffle; nothing is held before keys are dealt."""
+    rows = spark.range(2_000_000).select(F.col("id").cast("string").alias("k"), F.lit("long one").alias("name"))
+    found = C.violations(rows, C.Constraints(("k",), (), {"name": 4}))
+    per = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == 2_000_000 and max(per) < 300_000
+    for held in (found, V.relational_tables(spark, small)["analytics_summary"]):
+        below = held._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")[1]
+        assert "HashAggregate" not in below
