@@ -83,3 +83,24 @@ def test_a_large_array_is_read_by_many_tasks(spark, tmp_path):
         assert rows.select("text").distinct().count() == 1
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old.removesuffix("b"))
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_files_of_one_range_are_cut_in_one_pass(spark, tmp_path, batch):
+    """Nothing is summed up for them, whatever batches their pieces come in; one file breaks off, one has a rest."""
+    want = [{**r, "n": r["n"] + 1000 * f} for f in range(3) for r in odd_records(60, f)]
+    for f in range(3):
+        (tmp_path / f"{f}.json").write_text(json.dumps([r for r in want if r["n"] // 1000 == f], ensure_ascii=False, indent=f or None) + "\n")
+    (tmp_path / "off.json").write_text(json.dumps([{"n": 9000, "text": "\\\\}"}, {"n": 9001, "in": {}}])[:-2])
+    (tmp_path / "rest.json").write_text('{"n": 9500} {"n": 9501, "text": "}')
+    (tmp_path / "empty.json").write_text("")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert read(spark, tmp_path) == [*want, {"n": 9000, "text": "\\\\}"}, {"n": 9500}]
+        plan = JA.records(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Window" not in plan
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
