@@ -272,7 +272,8 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
         self.merge = self.tokenizer.model.tokenize
         whole = self.tokenizer.encode(" It's Été, 12", add_special_tokens=False).ids
         self.plain_rules = self.tokenizer.normalizer is None and whole == self._plain(" It's") + self._plain(" Été,") + self._plain(" 12")
@@ -283,6 +284,9 @@ class Encoder:
         self.flat, self.at = array("i"), array("q", [0])
 
     def _plain(self, piece: str) -> list[int]:
+        spelled = piece.replace(" ", BYTE_CHARS[32]) if piece.isascii() else None  # visible ASCII is spelled as it is
+        if spelled and (piece[1:] if piece[0] == " " else piece).isalpha():
+            return [t.id for t in self.merge(spelled)]
         return [t.id for s in CUT(piece) for t in self.merge(s.translate(SPELLED_SPACED))]
 
     def _add(self, ids: list[int]) -> int:
@@ -295,7 +299,7 @@ class Encoder:
         bare = piece[1:] if piece[:1] == " " else piece
         if not piece:
             n = self._add([])
-        elif not bare or bare[0].isspace() or bare[-1].isspace() or any(s in piece for s in self.special):
+        elif not bare or bare[0].isspace() or bare[-1].isspace() or self.special(piece):
             n = -1
         elif self.plain_rules and PLAIN(bare):
             n = self._add(self._plain(piece))

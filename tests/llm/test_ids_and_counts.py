@@ -91,3 +91,13 @@ def test_queries_against_the_library(spark, small):
         ids = np.array([*of.encode(docs[r.doc_id], add_special_tokens=False).ids, 2], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids))
         at += len(ids)
+
+
+def test_pieces_of_letters_special_strings_and_rests_are_as_the_tokenizer_gives_them():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    of = range_coder.Encoder(path)
+    special = [t.content for t in of.tokenizer.get_added_tokens_decoder().values()]
+    texts = ["word Word's don't x1y2 été naïve ÀÖ", " lead  two spaces ", "a\u0000b c", "tab\there new\nline", "", " ", "über-alles, so. (it) 12,5 it's'll", "日本 語 mixed日本",
+             *special, *[f"a {s} b{s}c" for s in special], "ª º µ ²", "I'm I've 'Sx 'sx x'sy"]
+    for text, ids in zip(texts, of.texts(texts, 2), strict=True):
+        assert list(ids) == [*of.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
