@@ -5,6 +5,10 @@ navigable small-world graph and stores it as flat arrays: vectors, row ids, and
 neighbour array per layer, and the search width at which it finds what it should,
 measured against all its vectors. Queries visit every shard; the shards' best are merged.
 
+The arrays of a shard are stored and sent in pieces, so no row is large. Shards are
+dealt to groups: a task holds the queries of its group in a temporary file, opens one
+shard after the other, and sends the best of all of them.
+
 Inside a shard vectors get one more component that makes all norms equal, so that
 the nearest direction is the largest inner product. Nodes are numbered by falling
 level, so a layer is the first so many nodes. Insertion and search run for many
@@ -13,12 +17,16 @@ nodes in step, as numpy operations.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+import tempfile
+from collections.abc import Iterable, Iterator
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from fieldlake.llm.common import bounded_batches, stored_wide, tidy
 from fieldlake.session import stored
 
 #: Links chosen for a new node; twice as many are kept in the lowest layer.
@@ -30,6 +38,10 @@ RECALL, TRIALS = 0.97, 128
 SHARD_BYTES = 128 << 20
 #: Nodes expanded at a time by one search.
 EXPAND = 4
+#: Most bytes of a piece of the index or of the queries, if it has more than one vector.
+PIECE_BYTES = 1 << 20
+#: Numbers that a step gathers, and candidates that it scores, at a time.
+GATHERED, SCORED = 1 << 21, 1 << 19
 
 
 def shard_rows(n: int, dims: int) -> int:
@@ -77,8 +89,9 @@ class Graph:
     def _diverse(self, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
         """Up to ``most`` ids per row, nearest first: those nearer to the row than to one chosen before, then the rest."""
         out = np.full((len(ids), most), -1, np.int32)
-        for at in range(0, len(ids), 256):
-            i, s = ids[at : at + 256], np.where(ids[at : at + 256] >= 0, sims[at : at + 256], -np.inf)
+        step = max(1, min(256, 2 * GATHERED // (ids.shape[1] * self.x.shape[1])))
+        for at in range(0, len(ids), step):
+            i, s = ids[at : at + step], np.where(ids[at : at + step] >= 0, sims[at : at + step], -np.inf)
             order = np.argsort(-s, axis=1, kind="stable")
             i, s = np.take_along_axis(i, order, 1), np.take_along_axis(s, order, 1)
             v = self.x[np.maximum(i, 0)]
@@ -90,14 +103,21 @@ class Graph:
             rank = np.where(np.isfinite(s), np.where(good, 0, 1), 2)
             take = np.argsort(rank, axis=1, kind="stable")[:, :most]
             kept = np.where(np.take_along_axis(rank, take, 1) < 2, np.take_along_axis(i, take, 1), -1)
-            out[at : at + 256, : kept.shape[1]] = kept
+            out[at : at + step, : kept.shape[1]] = kept
+        return out
+
+    def _products(self, ids: np.ndarray, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Products of nodes ``ids`` with ``rows`` of ``q``, so many pairs at a time that few vectors are copied."""
+        out, step = np.empty(len(ids), np.float32), max(1, GATHERED // q.shape[1])
+        for at in range(0, len(ids), step):
+            out[at : at + step] = np.einsum("ij,ij->i", self.x[ids[at : at + step]], q[rows[at : at + step]])
         return out
 
     def _tie_back(self, nbr: np.ndarray, source: np.ndarray, target: np.ndarray, room: int) -> None:
         """Adds ``source`` to the lists of ``target``; full lists keep a diverse choice."""
         ok = target >= 0
         source, target = source[ok], target[ok]
-        sims = np.einsum("ij,ij->i", self.x[source], self.x[target])
+        sims = self._products(source, self.x, target)
         order = np.lexsort((-sims, target))
         source, target = source[order], target[order]
         rows, first, count = np.unique(target, return_index=True, return_counts=True)
@@ -112,8 +132,9 @@ class Graph:
         packed = np.take_along_axis(wide, np.argsort(wide < 0, axis=1, kind="stable"), 1)[:, :room]
         nbr[rows[fits]] = packed[fits]
         over = np.flatnonzero(~fits)
-        for at in range(0, len(over), 512):
-            some = over[at : at + 512]
+        step = max(1, min(512, 2 * GATHERED // (wide.shape[1] * self.x.shape[1])))
+        for at in range(0, len(over), step):
+            some = over[at : at + step]
             s = np.einsum("rkd,rd->rk", self.x[np.maximum(wide[some], 0)], self.x[rows[some]])
             nbr[rows[some]] = self._diverse(wide[some], s, room)
 
@@ -129,7 +150,7 @@ class Graph:
         nbr = self.layers[layer]
         n = len(nbr)
         out_ids, out_sims = np.full((len(q), width), -1, np.int64), np.full((len(q), width), -np.inf, np.float32)
-        block = int(max(16, min(512, 32_000_000 // max(n, 1))))
+        block = int(max(16, min(512, 32_000_000 // max(n, 1), GATHERED // width)))
         for at in range(0, len(q), block):
             b = q[at : at + block]
             seen = np.zeros((len(b), n), bool)
@@ -152,7 +173,7 @@ class Graph:
                 fresh &= ~seen[rows[:, None], np.maximum(nb, 0)]
                 r, c = np.nonzero(fresh)
                 new = np.full(nb.shape, -np.inf, np.float32)
-                new[r, c] = np.einsum("ij,ij->i", self.x[nb[r, c]], b[rows[r]])
+                new[r, c] = self._products(nb[r, c], b, rows[r])
                 seen[rows[r], nb[r, c]] = True
                 all_ids = np.concatenate([ids[rows], np.where(fresh, nb, -1)], 1)
                 all_sims = np.concatenate([sims[rows], new], 1)
@@ -181,8 +202,8 @@ def search_width(graph: Graph, k: int, recall: float = RECALL) -> int:
     trial = graph.x[np.unique(np.linspace(0, n - 1, min(n, TRIALS)).astype(np.int64))].copy()
     trial[:, -1] = 0  # as queries come, without the filling component
     best = np.full((len(trial), k), -np.inf, np.float32)
-    for at in range(0, n, 65_536):
-        both = np.concatenate([best, trial @ graph.x[at : at + 65_536].T], 1)
+    for at in range(0, n, 16_384):
+        both = np.concatenate([best, trial @ graph.x[at : at + 16_384].T], 1)
         best = -np.partition(-both, k - 1, axis=1)[:, :k]
     least = best.min(axis=1) - 1e-5 * np.abs(best).max(axis=1)
     width = max(SEARCH_WIDTH, 2 * k)
@@ -203,17 +224,63 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    v = F.col(embedding).cast("array<double>")
+    kind = vectors.schema[embedding].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    v = F.col(embedding) if single else F.col(embedding).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return vectors.select(F.col(vec_id).alias("vec_id"), v.alias("v")).filter(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0.0)).distinct()
 
 
-INDEX = "shard long, dims int, width int, vectors binary, row_at binary, row_ids binary, layers binary, neighbours binary"
+#: ``part`` names the array that ``data`` is a piece of; pieces are numbered through the shard.
+INDEX = "shard long, dims int, piece int, part string, data binary"
+PARTS = ("header", "vectors", "row_at", "row_ids", "neighbours")
+QUERIES = "dims int, data binary"
+
+
+def _batch(columns: list, schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+
+def _cut(a: np.ndarray) -> Iterator[bytes]:
+    """The rows of ``a`` as bytes, in pieces of ``PIECE_BYTES`` or one row."""
+    step = max(1, PIECE_BYTES // (a.itemsize * (a.shape[1] if a.ndim > 1 else 1)))
+    return (a[at : at + step].tobytes() for at in range(0, len(a), step))
+
+
+def _fill_norms(wide: np.ndarray, x: np.ndarray) -> None:
+    """Sets the last component of ``wide`` so that all norms are equal; ``x`` has the vectors as given."""
+    square, step = np.empty(len(x)), max(1, GATHERED // x.shape[1])
+    for at in range(0, len(x), step):
+        some = x[at : at + step].astype(np.float64)
+        square[at : at + step] = np.einsum("ij,ij->i", some, some)
+    wide[:, -1] = np.sqrt(np.maximum(square.max() - square, 0))
+
+
+def pieces(xs: list[np.ndarray], counts: np.ndarray, ids: np.ndarray, keep: int) -> Iterator[tuple[str, bytes]]:
+    """Builds the graph of vectors given in blocks (taken from ``xs``) and gives its arrays: part and bytes.
+
+    ``counts`` has the number of ids of each vector, ``ids`` all of them.
+    """
+    n, dims, exact = sum(map(len, xs)), xs[0].shape[1], xs[0].dtype != np.float32
+    wide, at = np.empty((n, dims + 1), np.float32), 0
+    x = np.empty((n, dims)) if exact else wide[:, :-1]
+    while xs:
+        some = xs.pop(0)
+        wide[at : at + len(some), :-1] = x[at : at + len(some)] = some
+        at += len(some)
+    _fill_norms(wide, x)
+    sizes = layer_sizes(n)
+    graph = Graph.build(wide, sizes)
+    yield "header", np.array([n, len(ids), search_width(graph, keep), exact, *sizes], np.int64).tobytes()
+    for part, arrays in (("vectors", [x]), ("row_at", [np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]), ("row_ids", [ids]), ("neighbours", [layer.ravel() for layer in graph.layers])):
+        yield from ((part, data) for a in arrays for data in _cut(a))
 
 
 def build(base: DataFrame, shards: int, keep: int) -> DataFrame:
-    """The index of ``base`` (vec_id, v): one row of flat arrays per shard.
+    """The index of ``base`` (vec_id, v): flat arrays per shard, in pieces.
 
     Equal vectors are one node that carries its ``keep`` smallest ids; no search for
     fewer neighbours can need more. Ranks are limited before the shuffle, so a vector
@@ -221,100 +288,193 @@ def build(base: DataFrame, shards: int, keep: int) -> DataFrame:
     """
     rank = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     nodes = base.withColumn("rank", rank).filter(F.col("rank") <= keep).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    dealt = nodes.withColumn("shard", F.size("v").cast("long") * shards + F.pmod(F.xxhash64("v"), F.lit(shards))).withColumn("order", F.xxhash64("v", F.lit("level")))
-
-    def graph(shard: int, vs: list[np.ndarray], ids: list[list[int]]) -> dict:
-        x = np.stack(vs)
-        square = np.einsum("ij,ij->i", x, x)
-        wide = np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], 1).astype(np.float32)
-        sizes = layer_sizes(len(x))
-        g = Graph.build(wide, sizes)
-        return {
-            "shard": shard, "dims": x.shape[1], "width": search_width(g, keep), "vectors": x.tobytes(), "row_at": np.cumsum([0] + [len(i) for i in ids]).astype(np.int64).tobytes(),
-            "row_ids": np.concatenate([np.array(i, np.int64) for i in ids]).tobytes(), "layers": np.array(sizes, np.int64).tobytes(),
-            "neighbours": b"".join(layer.tobytes() for layer in g.layers)}
+    double = F.col("v").cast("array<double>")
+    dealt = nodes.withColumn("shard", F.size("v").cast("long") * shards + F.pmod(F.xxhash64(double), F.lit(shards))).withColumn("order", F.xxhash64(double, F.lit("level")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in INDEX.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 5
-
-        def out(one: dict) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([one[n]], t) for n, t in zip(names, types, strict=True)], names)
-
-        shard, vs, ids = None, [], []
-        for batch in batches:
-            flat, at = batch.column("v").values.to_numpy(), batch.column("v").offsets.to_numpy()
-            for i, (s, own) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist(), strict=True)):
-                if s != shard:
-                    if vs:
-                        yield out(graph(shard, vs, ids))
-                    shard, vs, ids = s, [], []
-                vs.append(flat[at[i] : at[i + 1]].copy())
+        def rows() -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+            """Runs of one shard: its number, vectors, how many ids each has, and the ids."""
+            for batch in batches:
+                shard, v, own = (batch.column(c) for c in ("shard", "v", "ids"))
+                shard, at, of = shard.to_numpy(), v.offsets.to_numpy(), own.offsets.to_numpy()
+                starts = np.flatnonzero(np.diff(shard, prepend=shard[:1] - 1))
+                for a, b in zip(starts, [*starts[1:], len(shard)], strict=True):
+                    flat = v.values.slice(at[a], at[b] - at[a]).to_numpy(zero_copy_only=False)
+                    yield int(shard[a]), flat.reshape(b - a, -1).copy(), np.diff(of[a : b + 1]), own.values.slice(of[a], of[b] - of[a]).to_numpy().copy()
+
+        for shard, runs in itertools.groupby(rows(), key=lambda r: r[0]):
+            xs, counts, ids = [], [], []
+            for _, x, count, own in runs:
+                xs.append(x)
+                counts.append(count)
                 ids.append(own)
-        if vs:
-            yield out(graph(shard, vs, ids))
-
-    sorted_ = dealt.repartition("shard").sortWithinPartitions("shard", "order")
-    return sorted_.select("shard", "v", "ids").mapInArrow(run, INDEX)
-
-
-def open_index(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Graph, original vectors, the ids of each node, and the search width of a stored index row."""
-    x = np.frombuffer(row["vectors"]).reshape(-1, row["dims"])
-    square = np.einsum("ij,ij->i", x, x)
-    wide = np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], 1).astype(np.float32)
-    layers, at, flat = [], 0, np.frombuffer(row["neighbours"], np.int32)
-    for k, n in enumerate(np.frombuffer(row["layers"], np.int64)):
-        room = LINKS * (2 if k == 0 else 1)
-        layers.append(flat[at : at + n * room].reshape(n, room))
-        at += n * room
-    return Graph(wide, layers), x, np.frombuffer(row["row_at"], np.int64), np.frombuffer(row["row_ids"], np.int64), row["width"]
-
-
-def _visit(index: DataFrame, queries: DataFrame, k: int, width: int | None) -> DataFrame:
-    """The best ``k`` of every shard for every query (shard, query, v)."""
-    empty = [F.lit(None).cast(t).alias(n) for n, t in (f.split() for f in INDEX.split(", ")[1:])]
-    both = index.select("*", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("query"), F.lit(None).cast("array<double>").alias("v")).unionByName(
-        queries.select("shard", *empty, F.lit(1).alias("kind"), "query", "v"))
-
-    def answer(opened: tuple, queries: list[int], vs: list[np.ndarray]) -> pa.RecordBatch:
-        graph, x, at, ids, own_width = opened
-        q = np.stack(vs)
-        wide = np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32)
-        nodes, _ = graph.search(wide, max(width or own_width, 2 * k))
+            dims = xs[0].shape[1]
+            for k, (part, data) in enumerate(pieces(xs, np.concatenate(counts), np.concatenate(ids), keep)):
+                yield _batch([[shard], [dims], [k], [part], [data]], INDEX)
+
+    sorted_ = dealt.repartitionById(shards, F.pmod("shard", F.lit(shards)).cast("int")).sortWithinPartitions("shard", "order")
+    return sorted_.select("shard", "v", "ids").mapInArrow(tidy(run), INDEX)
+
+
+def open_index(dims: int, parts: Iterable[tuple[str, memoryview]]) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Graph, vectors as given, the ids of each node, and the search width of a shard, from its pieces in order."""
+    parts = iter(parts)
+    n, n_ids, width, exact, *sizes = np.frombuffer(next(parts)[1], np.int64).tolist()
+    wide = np.empty((n, dims + 1), np.float32)
+    x = np.empty((n, dims)) if exact else wide[:, :-1]
+    rooms = [LINKS * (2 if k == 0 else 1) for k in range(len(sizes))]
+    into = {"row_at": np.empty(n + 1, np.int64), "row_ids": np.empty(n_ids, np.int64), "neighbours": np.empty(sum(map(int.__mul__, sizes, rooms)), np.int32)}
+    done = dict.fromkeys(PARTS, 0)
+    for part, data in parts:
+        if part == "vectors":
+            some = np.frombuffer(data, x.dtype).reshape(-1, dims)
+            at = slice(done[part], done[part] + len(some))
+            wide[at, :-1] = x[at] = some
+        else:
+            some = np.frombuffer(data, into[part].dtype)
+            into[part][done[part] : done[part] + len(some)] = some
+        done[part] += len(some)
+    _fill_norms(wide, x)
+    layers, at = [], 0
+    for size, room in zip(sizes, rooms, strict=True):
+        layers.append(into["neighbours"][at : at + size * room].reshape(size, room))
+        at += size * room
+    return Graph(wide, layers), x, into["row_at"], into["row_ids"], width
+
+
+def _best(row: np.ndarray, neg: np.ndarray, vec: np.ndarray, n: int, k: int) -> tuple[np.ndarray, ...]:
+    """Of entries (row under ``n``, negated score, id): the best ``k`` of each row in order, and how many each row has."""
+    order = np.lexsort((vec, neg, row))
+    row, neg, vec = row[order], neg[order], vec[order]
+    top = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[top], neg[top], vec[top], np.bincount(row[top], minlength=n)
+
+
+def answer(opened: tuple, q: np.ndarray, k: int, width: int | None) -> tuple[np.ndarray, ...]:
+    """The best ``k`` rows of a shard for each of ``q``: row of ``q``, negated score and id."""
+    graph, x, at, ids, own_width = opened
+    wanted = max(width or own_width, 2 * k)
+    step, pairs = max(16, min(512, SCORED // wanted)), max(1, GATHERED // 2 // q.shape[1])
+    out = []
+    for a in range(0, len(q), step):
+        some = q[a : a + step]
+        wide = np.concatenate([some, np.zeros((len(some), 1), some.dtype)], 1).astype(np.float32)
+        nodes, _ = graph.search(wide, wanted)
         r, c = np.nonzero(nodes >= 0)
+        score = np.full(nodes.shape, -np.inf)
+        for b in range(0, len(r), pairs):
+            to = slice(b, b + pairs)
+            score[r[to], c[to]] = product(some[r[to]].astype(np.float64), x[nodes[r[to], c[to]]].astype(np.float64))
+        # a node has at least one id: nodes below the k-th score have none of the best
+        least = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+        r, c = np.nonzero((nodes >= 0) & ~(score < least))
         node = nodes[r, c]
         count = at[node + 1] - at[node]
-        row = np.repeat(r, count)
         vec = ids[np.repeat(at[node] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-        score = np.repeat(product(q[r], x[node]), count)
-        order = np.lexsort((vec, -score, row))
-        row, vec, score = row[order], vec[order], score[order]
-        top = np.arange(len(row)) - np.searchsorted(row, row) < k
-        return pa.RecordBatch.from_arrays([pa.array(np.array(queries)[row[top]]), pa.array(vec[top]), pa.array(score[top])], ["query", "vec_id", "score"])
+        row, neg, vec, _ = _best(np.repeat(r, count), np.repeat(-score[r, c], count), vec, len(some), k)
+        out.append((row + a, neg, vec))
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
+
 
+def _record(kind: np.dtype, dims: int) -> np.dtype:
+    """A query among others: its id and its vector."""
+    return np.dtype([("query", np.int64), ("v", kind, (dims,))])
+
+
+def _packed(queries: DataFrame) -> DataFrame:
+    """Queries (query, v) in pieces of records of one length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, opened = None, None
         for batch in batches:
-            kinds, shards, names = (batch.column(c).to_pylist() for c in ("kind", "shard", "query"))
-            flat, at = batch.column("v").values.to_numpy(), batch.column("v").offsets.to_numpy()
-            asked: list[int] = []
-            for i, (kind, s) in enumerate(zip(kinds, shards, strict=True)):
-                if kind == 0:
-                    if asked:
-                        yield answer(opened, [names[j] for j in asked], [flat[at[j] : at[j + 1]] for j in asked])
-                        asked = []
-                    shard, opened = s, open_index({n: batch.column(n)[i].as_py() for n in ("dims", "width", "vectors", "row_at", "row_ids", "layers", "neighbours")})
-                elif s == shard:
-                    asked.append(i)
-                elif asked:  # a shard without vectors: its queries have no answer here
-                    yield answer(opened, [names[j] for j in asked], [flat[at[j] : at[j + 1]] for j in asked])
-                    asked = []
-            if asked:
-                yield answer(opened, [names[j] for j in asked], [flat[at[j] : at[j + 1]] for j in asked])
-
-    sorted_ = both.repartition("shard").sortWithinPartitions("shard", "kind")
-    return sorted_.mapInArrow(run, "query long, vec_id long, score double")
+            v, names = batch.column("v"), batch.column("query").to_numpy()
+            at, flat = v.offsets.to_numpy(), v.values.to_numpy(zero_copy_only=False)
+            size = np.diff(at)
+            for dims in np.unique(size).tolist():
+                rows, kind = np.flatnonzero(size == dims), _record(flat.dtype, dims)
+                step = max(1, PIECE_BYTES // kind.itemsize)
+                for some in (rows[a : a + step] for a in range(0, len(rows), step)):
+                    records = np.empty(len(some), kind)
+                    records["query"], records["v"] = names[some], flat[at[some][:, None] + np.arange(dims)]
+                    yield _batch([[dims], [records.tobytes()]], QUERIES)
+
+    return queries.select("query", "v").mapInArrow(tidy(run), QUERIES)
+
+
+class Held:
+    """Pieces of one group in a file: the queries, and the arrays of each shard."""
+
+    def __init__(self, file: IO[bytes]) -> None:
+        self.file, self.queries, self.shards = file, [], {}
+
+    def add(self, shard: int, piece: int, part: str, data: pa.Buffer) -> None:
+        at = self.file.seek(0, 2)
+        self.file.write(data)
+        (self.queries if part == "queries" else self.shards.setdefault(shard, [])).append((piece, part, at, len(data)))
+
+    def _read(self, at: int, size: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(size)
+
+    def shard(self, dims: int, shard: int) -> tuple:
+        return open_index(dims, ((part, self._read(at, size)) for _, part, at, size in sorted(self.shards[shard])))
+
+    def asked(self, kind: np.dtype) -> Iterator[np.ndarray]:
+        """The queries, as many pieces at a time as make up the bytes of one."""
+        some, size = [], 0
+        for _, _, at, n in self.queries:
+            if some and size + n > PIECE_BYTES:
+                yield np.frombuffer(b"".join(some), kind)
+                some, size = [], 0
+            some.append(self._read(at, n))
+            size += n
+        if some:
+            yield np.frombuffer(b"".join(some), kind)
+
+
+def _search_group(held: Held, dims: int, kind: np.dtype, k: int, width: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Queries, and records of the best ``k`` of a group's shards for each: how many, negated scores, ids."""
+    asked, best = _record(kind, dims), np.dtype([("n", np.int64), ("neg", np.float64, (k,)), ("vec", np.int64, (k,))])
+    with tempfile.TemporaryFile() as tops:
+        for some in held.asked(asked):
+            tops.write(bytes(best.itemsize * len(some)))
+        for shard in sorted(held.shards):
+            opened, at = held.shard(dims, shard), 0
+            for some in held.asked(asked):
+                tops.seek(at)
+                top = np.frombuffer(bytearray(tops.read(best.itemsize * len(some))), best)
+                r, c = np.nonzero(np.arange(k) < top["n"][:, None])
+                found = answer(opened, some["v"], k, width)
+                row, neg, vec, n = _best(*map(np.concatenate, zip((r, top["neg"][r, c], top["vec"][r, c]), found, strict=True)), len(some), k)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                top["n"], top["neg"][row, place], top["vec"][row, place] = n, neg, vec
+                tops.seek(at)
+                tops.write(top.tobytes())
+                at += top.nbytes
+            del opened
+        tops.seek(0)
+        for some in held.asked(asked):
+            yield some["query"], np.frombuffer(tops.read(best.itemsize * len(some)), best)
+
+
+def _visit(index: DataFrame, queries: DataFrame, single: bool, shards: int, groups: int, k: int, width: int | None) -> DataFrame:
+    """For every query and group of shards the best ``k`` (negated score and id). ``single``: components are floats."""
+    kind = np.dtype(np.float32 if single else np.float64)
+    both = index.select((F.pmod("shard", F.lit(shards)) % groups).cast("int").alias("group"), "dims", "shard", "piece", "part", "data").unionByName(
+        queries.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "dims", F.lit(-1).cast("long").alias("shard"), F.lit(0).alias("piece"), F.lit("queries").alias("part"), "data"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tempfile.TemporaryFile() as file:
+            held: dict[tuple[int, int], Held] = {}
+            for batch in batches:
+                for i, (group, dims, *rest) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("group", "dims", "shard", "piece", "part")), strict=True)):
+                    held.setdefault((group, dims), Held(file)).add(*rest, batch.column("data")[i].as_buffer())
+            for (_, dims), one in held.items():
+                for names, top in _search_group(one, dims, kind, k, width):
+                    r, c = np.nonzero(np.arange(k) < top["n"][:, None])
+                    entries = pa.StructArray.from_arrays([pa.array(top["neg"][r, c]), pa.array(top["vec"][r, c])], ["neg", "vec_id"])
+                    best = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(top["n"])]), pa.int32()), entries)
+                    yield pa.RecordBatch.from_arrays([pa.array(names), best], ["query", "best"])
+
+    return both.repartitionById(groups, "group").mapInArrow(tidy(run), "query long, best array<struct<neg: double, vec_id: long>>")
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, width: int | None = None, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -329,18 +489,20 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, width: int | None
     can't be among anyone's nearest. The result of the graph search is approximate; each
     shard has measured its search width (``search_width``) unless ``width`` is given.
     """
+    spark = vectors.sparkSession
+    bounded_batches(spark)
     base = stored(_usable(vectors, vec_id, embedding), "hnsw-base")
+    single = isinstance(base.schema["v"].dataType.elementType, T.FloatType)
     dims = [(r.d, r.n) for r in base.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]
     shards = max((-(-n // shard_rows(n, d)) for d, n in dims), default=1)
-    index = stored(build(base, shards, k + 1), "hnsw-index")
+    index = stored_wide(build(base, shards, k + 1), "hnsw-index")
     asking = base.filter(F.pmod("vec_id", F.lit(every)) == 0)
     names = stored(asking.groupBy("v").agg(F.min("vec_id").alias("query")), "hnsw-queries")
-    sent = names.withColumn("shard", F.explode(F.sequence(F.size("v").cast("long") * shards, F.size("v").cast("long") * shards + (shards - 1))))
-    found = _visit(index, sent, k + 1, width)
-    top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
-    best = found.withColumn("rank", top).filter(F.col("rank") <= k + 1).groupBy("query").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
+    # each group gets all queries: as few groups as keep all cores busy
+    groups = min(shards, 2 * spark.sparkContext.defaultParallelism)
+    found = _visit(index, stored_wide(_packed(names), "hnsw-packed"), single, shards, groups, k + 1, width)
+    best = found.groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k + 1).alias("best"))
     asked = asking.join(names, "v").select("vec_id", "query").join(stored(best, "hnsw-best"), "query")
     others = F.filter("best", lambda b: b["vec_id"] != F.col("vec_id"))
     return asked.select(F.col("vec_id").alias("query_id"), F.posexplode(F.slice(others, 1, k)).alias("rank", "b")).select(
-        "query_id", (F.col("rank") + 1).alias("rank"), "b.vec_id", "b.score")
+        "query_id", (F.col("rank") + 1).alias("rank"), "b.vec_id", (-F.col("b.neg")).alias("score"))

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +73,55 @@ def test_shards_are_bounded_by_rows_and_bytes():
     assert hnsw.shard_rows(10**5, 64) == 4096
 
 
+def test_a_search_task_holds_few_candidates():
+    """The products of 10,000 queries with all their candidates at once took a gigabyte a task."""
+    rng = np.random.default_rng(5)
+    x, asked = rng.normal(size=(600, 64)).astype(np.float32), rng.normal(size=(10_000, 64)).astype(np.float32)
+    parts = list(hnsw.pieces([x[:100].copy(), x[100:].copy()], np.full(600, 2), np.arange(1200), 21))
+    opened = hnsw.open_index(64, parts)
+    tracemalloc.start()
+    row, neg, vec = hnsw.answer(opened, asked, 21, None)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 150 << 20
+    assert (np.bincount(row) == 21).all()
+    true = np.argsort(-(asked[::100].astype(float) @ x.T.astype(float)), axis=1)[:, :10]
+    of = {r: vec[row == r][::2] // 2 for r in range(0, 10_000, 100)}  # each vector has two ids, the smaller one first
+    assert np.mean([len(set(t) & set(of[r])) for t, r in zip(true, of, strict=True)]) >= 9.5
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_a_shard_goes_through_its_pieces(kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 70)).astype(kind)
+    counts = np.arange(3000) % 3 + 1
+    parts = list(hnsw.pieces([x[:7].copy(), x[7:].copy()], counts, np.arange(counts.sum()), 21))
+    assert len(parts) > 5 and max(len(data) for _, data in parts) <= hnsw.PIECE_BYTES
+    graph, given, at, ids, width = hnsw.open_index(70, parts)
+    assert given.dtype == kind and np.array_equal(given, x) and np.array_equal(np.diff(at), counts) and np.array_equal(ids, np.arange(counts.sum()))
+    assert width >= hnsw.SEARCH_WIDTH and [len(layer) for layer in graph.layers] == hnsw.layer_sizes(3000)
+    same = hnsw.Graph.build(graph.x, hnsw.layer_sizes(3000))
+    assert all(np.array_equal(a, b) for a, b in zip(graph.layers, same.layers, strict=True))
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_many_shards_in_few_groups(spark, monkeypatch, kind):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=5 + i % 2)], 0) for i in range(400)]
+    rows += [(1000 + i, rows[3][1], 0) for i in range(30)]
+    monkeypatch.setattr(hnsw, "shard_rows", lambda n, dims: 3)
+    got = hnsw.nearest(spark.createDataFrame(rows, VEC.replace("float", kind)), every=20, k=5).collect()
+    assert sorted(map(tuple, got)) == exact(rows, 20, 5)  # so small shards are searched whole
+
+
+def test_no_row_of_the_index_is_large(spark):
+    rng = np.random.default_rng(9)
+    base = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(4000, 64)))], "vec_id long, v array<double>")
+    index = hnsw.build(base, 1, 21)
+    most = index.agg(F.max(F.greatest(*[F.octet_length(c) for c, t in index.dtypes if t == "binary"], F.lit(0)))).first()[0]
+    assert 0 < most <= 1 << 20
+
+
 def test_search_query_recall(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding, 0) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
