@@ -42,6 +42,8 @@ EXPAND = 4
 PIECE_BYTES = 1 << 20
 #: Numbers that a step gathers, and candidates that it scores, at a time.
 GATHERED, SCORED = 1 << 21, 1 << 19
+#: Numbers copied for products at a time: they stay in a core's cache.
+COPIED = 1 << 17
 
 
 def shard_rows(n: int, dims: int) -> int:
@@ -97,9 +99,14 @@ class Graph:
             v = self.x[np.maximum(i, 0)]
             between = np.matmul(v, v.transpose(0, 2, 1))
             good, closest = np.zeros(i.shape, bool), np.full(i.shape, -np.inf, np.float32)
+            left = np.minimum(np.isfinite(s).sum(1), most)
             for j in range(i.shape[1]):
-                good[:, j] = np.isfinite(s[:, j]) & (closest[:, j] < s[:, j]) & (good.sum(1) < most)
-                closest = np.maximum(closest, np.where(good[:, j : j + 1], between[:, j], -np.inf))
+                good[:, j] = np.isfinite(s[:, j]) & (closest[:, j] < s[:, j]) & (left > 0)
+                some = np.flatnonzero(good[:, j])
+                left[some] -= 1
+                if not left.any():
+                    break
+                closest[some] = np.maximum(closest[some], between[some, j])
             rank = np.where(np.isfinite(s), np.where(good, 0, 1), 2)
             take = np.argsort(rank, axis=1, kind="stable")[:, :most]
             kept = np.where(np.take_along_axis(rank, take, 1) < 2, np.take_along_axis(i, take, 1), -1)
@@ -108,9 +115,9 @@ class Graph:
 
     def _products(self, ids: np.ndarray, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Products of nodes ``ids`` with ``rows`` of ``q``, so many pairs at a time that few vectors are copied."""
-        out, step = np.empty(len(ids), np.float32), max(1, GATHERED // q.shape[1])
+        out, step = np.empty(len(ids), np.float32), max(1, COPIED // q.shape[1])
         for at in range(0, len(ids), step):
-            out[at : at + step] = np.einsum("ij,ij->i", self.x[ids[at : at + step]], q[rows[at : at + step]])
+            out[at : at + step] = np.einsum("ij,ij->i", self.x.take(ids[at : at + step], 0), q.take(rows[at : at + step], 0))
         return out
 
     def _tie_back(self, nbr: np.ndarray, source: np.ndarray, target: np.ndarray, room: int) -> None:
@@ -153,34 +160,38 @@ class Graph:
         block = int(max(16, min(512, 32_000_000 // max(n, 1), GATHERED // width)))
         for at in range(0, len(q), block):
             b = q[at : at + block]
-            seen = np.zeros((len(b), n), bool)
+            seen = np.zeros(len(b) * n, bool)
             ids, sims = out_ids[at : at + block], out_sims[at : at + block]
             open_ = np.zeros(ids.shape, bool)
             start = entry[at : at + block] if live is None else np.where(entry[at : at + block] < live, entry[at : at + block], 0)
             ids[:, 0], sims[:, 0], open_[:, 0] = start, np.einsum("ij,ij->i", self.x[start], b), True
-            seen[np.arange(len(b)), start] = True
+            seen[np.arange(len(b)) * n + start] = True
             while len(rows := np.flatnonzero(open_.any(1))):
                 o = open_[rows]
-                pick = o & (np.cumsum(o, 1) <= EXPAND)
-                r, c = np.nonzero(pick)
-                cur = np.full((len(rows), EXPAND), -1, np.int64)
-                cur[r, (np.cumsum(pick, 1) - 1)[r, c]] = ids[rows[r], c]
-                o &= ~pick
-                nb = np.where(cur[:, :, None] >= 0, nbr[np.maximum(cur, 0)], -1).reshape(len(rows), -1)
-                nb.sort(axis=1)
-                fresh = nb >= 0
-                fresh[:, 1:] &= nb[:, 1:] != nb[:, :-1]
-                fresh &= ~seen[rows[:, None], np.maximum(nb, 0)]
-                r, c = np.nonzero(fresh)
-                new = np.full(nb.shape, -np.inf, np.float32)
-                new[r, c] = self._products(nb[r, c], b, rows[r])
-                seen[rows[r], nb[r, c]] = True
-                all_ids = np.concatenate([ids[rows], np.where(fresh, nb, -1)], 1)
-                all_sims = np.concatenate([sims[rows], new], 1)
-                all_open = np.concatenate([o, fresh], 1)
-                best = np.argsort(-all_sims, axis=1, kind="stable")[:, :width]
-                ids[rows], sims[rows] = np.take_along_axis(all_ids, best, 1), np.take_along_axis(all_sims, best, 1)
-                open_[rows] = np.take_along_axis(all_open, best, 1)
+                r, c = np.nonzero(o & (np.cumsum(o, 1, dtype=np.int32) <= EXPAND))
+                r = rows[r]
+                open_[r, c] = False
+                nb = nbr[ids[r, c]]
+                key = (nb + (r * n)[:, None])[nb >= 0]  # of row and node
+                key = np.sort(key[~seen[key]])
+                key = key[np.diff(key, prepend=-1) != 0]
+                seen[key] = True
+                r, new = np.divmod(key, n)
+                near = self._products(new, b, r)
+                # what is behind a full list stays out; rows are in order
+                better = np.flatnonzero(~(near <= sims[r, -1]))
+                r, new, near = r[better], new[better], near[better]
+                first = np.flatnonzero(np.diff(r, prepend=-1))
+                rows, count = r[first], np.diff(first, append=len(r))
+                if not len(rows):
+                    continue
+                to = np.repeat(np.arange(len(rows)), count), np.arange(len(r)) - np.repeat(first, count) + width
+                all_ids, all_sims = np.full((len(rows), width + count.max()), -1, np.int64), np.full((len(rows), width + count.max()), -np.inf, np.float32)
+                all_open = np.zeros(all_ids.shape, bool)
+                all_ids[:, :width], all_sims[:, :width], all_open[:, :width] = ids[rows], sims[rows], open_[rows]
+                all_ids[to], all_sims[to], all_open[to] = new, near, True
+                best = np.argsort(-all_sims, axis=1, kind="stable")[:, :width] + (np.arange(len(rows)) * all_ids.shape[1])[:, None]
+                ids[rows], sims[rows], open_[rows] = all_ids.ravel()[best], all_sims.ravel()[best], all_open.ravel()[best]
         return out_ids, out_sims
 
 
